@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-CATALOGS = ["extraction", "cohort"]
+CATALOGS = ["extraction", "cohort", "severity"]
 
 
 def load_all() -> None:

@@ -170,36 +170,37 @@ VIEWS = {
                     ELSE 'IMG CT ORDERABLES' END AS firstprocedurecategory,
                [ADD_MIN e.arrivalinstant, (l_partkey * 5) % 400 - 20] AS orderinginstant
         FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey WHERE l_linenumber >= 6""",
+    # (slot, item, lowest value, step, span)
+    "vital_items": """
+        SELECT * FROM (VALUES (0, 'Pulse', 35, 11, 110), (1, 'Resp', 6, 7, 25), (2, 'SpO2', 82, 5, 19),
+          (3, 'Temp', 94, 1, 10), (4, 'BP', 0, 0, 1), (5, 'FiO2 (%)', 21, 3, 60), (6, 'Best Eye Response', 1, 1, 4),
+          (7, 'Best Verbal Response', 1, 1, 5), (8, 'Best Motor Response (upper extremities)', 1, 1, 6),
+          (9, 'Temp', 33, 1, 8)) AS t(slot, item, low, step, span)""",
     "vit": """
         SELECT encounterkey, item, ts, CASE WHEN item = 'BP' THEN bp ELSE CAST(num AS STRING) END AS value,
                CASE WHEN item <> 'BP' THEN CAST(num AS DOUBLE) END AS numericvalue, accepted
         FROM (SELECT e.encounterkey, [ADD_MIN e.arrivalinstant, (l_partkey * 17) % 4000 - 60] AS ts,
-                CASE WHEN l_quantity = 7 THEN 0 ELSE 1 END AS accepted,
+                CASE WHEN l_quantity = 7 THEN 0 ELSE 1 END AS accepted, item,
                 CAST(70 + (l_partkey * 13) % 160 AS STRING) || '/' || CAST(40 + (l_partkey * 3) % 60 AS STRING) AS bp,
-                CASE (l_partkey + l_linenumber) % 9 WHEN 0 THEN 'Pulse' WHEN 1 THEN 'Resp' WHEN 2 THEN 'SpO2'
-                     WHEN 3 THEN 'Temp' WHEN 4 THEN 'BP' WHEN 5 THEN 'FiO2 (%)' WHEN 6 THEN 'Best Eye Response'
-                     WHEN 7 THEN 'Best Verbal Response'
-                     ELSE 'Best Motor Response (upper extremities)' END AS item,
-                CASE (l_partkey + l_linenumber) % 9 WHEN 0 THEN 35 + (l_partkey * 11) % 110
-                     WHEN 1 THEN 6 + (l_partkey * 7) % 25 WHEN 2 THEN 82 + (l_partkey * 5) % 19
-                     WHEN 3 THEN CASE WHEN l_quantity < 25 THEN 33 + l_partkey % 8 ELSE 94 + l_partkey % 10 END
-                     WHEN 5 THEN 21 + (l_partkey * 3) % 60 WHEN 6 THEN 1 + l_partkey % 4
-                     WHEN 7 THEN 1 + l_partkey % 5 ELSE 1 + l_partkey % 6 END AS num
-              FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey) x""",
+                low + (l_partkey * step) % span AS num
+              FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey
+              JOIN {vital_items} ON slot = CASE WHEN (l_partkey + l_linenumber) % 9 = 3 AND l_quantity < 25 THEN 9
+                                                ELSE (l_partkey + l_linenumber) % 9 END) x""",
     "resp": """
         SELECT e.encounterkey, [ADD_MIN e.arrivalinstant, (l_suppkey * 37) % 6000] AS ts,
                CASE l_suppkey % 5 WHEN 0 THEN 'R RESP PEEP/CPAP SET' WHEN 1 THEN 'R RT VENT MODE'
                     WHEN 2 THEN 'R FIO2' WHEN 3 THEN 'R OXYGEN THERAPY' ELSE 'R RT MODE/BREATH TYPE' END AS flowsheetrowname
         FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey WHERE l_linenumber = 7""",
+    "lab_items": """
+        SELECT * FROM (VALUES (0, 'WBC Count'), (1, 'Creatinine'), (2, 'Lactate, plasma'), (3, 'Bilirubin, Total'),
+          (4, 'Platelet Count'), (5, 'Hemoglobin')) AS t(slot, componentname)""",
     "lab2": """
-        SELECT e.encounterkey, [ADD_MIN e.arrivalinstant, (l_partkey * 19) % 4000 - 60] AS ts,
-               CASE (l_partkey + 2 * l_linenumber) % 6 WHEN 0 THEN 'WBC Count' WHEN 1 THEN 'Creatinine'
-                    WHEN 2 THEN 'Lactate, plasma' WHEN 3 THEN 'Bilirubin, Total' WHEN 4 THEN 'Platelet Count'
-                    ELSE 'Hemoglobin' END AS componentname,
+        SELECT e.encounterkey, [ADD_MIN e.arrivalinstant, (l_partkey * 19) % 4000 - 60] AS ts, componentname,
                CASE WHEN l_quantity = 13 THEN 'PENDING'
-                    WHEN (l_partkey + 2 * l_linenumber) % 6 = 4 THEN CAST(CAST(l_quantity * 4 AS INT) AS STRING)
+                    WHEN slot = 4 THEN CAST(CAST(l_quantity * 4 AS INT) AS STRING)
                     ELSE CAST(CAST(CAST(l_quantity AS DECIMAL(10, 2)) / 4 AS DECIMAL(10, 2)) AS STRING) END AS value
-        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey""",
+        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey
+        JOIN {lab_items} ON slot = (l_partkey + 2 * l_linenumber) % 6""",
     "person": """
         SELECT c_custkey AS patientdurablekey, [ADD_DAYS_ (c_custkey * 37) % 34000] AS birthdate,
                CASE WHEN c_custkey % 2 = 0 THEN '2' ELSE '1' END AS sex,

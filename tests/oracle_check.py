@@ -114,7 +114,7 @@ if __name__ == "__main__":
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    names = [n for n in entry.queries() if not args or any(n == a or n.startswith(a + "*") for a in args)]
+    names = [n for n in entry.queries() if not args or any(n == a or (a.endswith("*") and n.startswith(a[:-1])) for a in args)]
     started = time.time()
     bad = run(spark, names, sf)
     print(f"{len(names) - len(bad)} of {len(names)} agree in {time.time() - started:.0f}s; bad: {bad}")
