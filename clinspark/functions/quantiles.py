@@ -1,47 +1,59 @@
-"""Exact quantiles without gathering a group in one task.
+"""Exact numeric profiles without gathering a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.  Here the values are
-counted first, the distinct values are cut into ranges, and only the range holding a wanted rank is
-looked into; the largest unit of work is one range of one group.
+counted first, the distinct values are cut into ranges, and ranks are looked up range by range; the
+largest unit of work is one range of one group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 256
+QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
 
-def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: dict[str, float]
+def numeric_profile(
+    df: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probabilities: dict[str, float] | None = None,
 ) -> DataFrame:
-    """One row per group with linearly interpolated quantiles, named by the keys of ``probabilities``.
+    """Per group: ``n``, ``missing``, ``mean``, ``sd`` (sample), ``min``, ``max`` and quantiles.
 
-    Missing values are left out; a group without values gives no row.
+    Quantiles interpolate linearly and are named by the keys of ``probabilities``.  ``n`` counts the
+    rows that have a value.  Everything is derived from one count per distinct value, which is the only
+    shuffle of the input.
     """
+    probabilities = QUARTILES if probabilities is None else probabilities
     keys = list(groups)
     if not keys:
         keys, df = ["_all"], df.withColumn("_all", F.lit(0))
+    # missing values are counted too and carry no weight below
     counted = (
         df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull())
         .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
     )
     cuts = [i / RANGES for i in range(1, RANGES)]
     per_group = counted.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"), F.percentile_approx("_v", cuts, 10 * RANGES).alias("_cuts")
+        F.sum("_n").alias("_total"),
+        (F.sum("_rows") - F.sum("_n")).alias("_missing"),
+        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", cuts, 10 * RANGES).alias("_cuts"),
     )
-    # distinct values below each cut share a range; every range holds about 1/256 of them
-    ranged = counted.join(per_group, keys).select(
-        *keys,
-        "_v",
-        "_n",
-        "_total",
-        F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_range"),
+    # distinct values below the same number of cuts share a range, so a range holds about 1/256 of them
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    ranged = (
+        counted.join(per_group, keys)
+        .withColumn("_range", F.when(F.col("_v").isNotNull(), below).otherwise(-1))
+        .drop("_cuts", "_rows")
     )
     before_range = (
         ranged.groupBy(*keys, "_range")
@@ -59,20 +71,39 @@ def exact_quantiles(
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
 
-    def at(rank):
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")), F.col("_v")))
+    def rank(p: float) -> Column:
+        return F.lit(p) * (F.col("_total") - 1)
+
+    def value_at(position: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= position) & (position < F.col("_end")), F.col("_v")))
 
     picked = []
     for name, p in probabilities.items():
-        rank = F.lit(p) * (F.col("_total") - 1)
-        picked += [at(F.floor(rank)).alias(f"_lo_{name}"), at(F.ceil(rank)).alias(f"_hi_{name}")]
-    ends = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *picked)
-    result = [
+        picked += [
+            value_at(F.floor(rank(p))).alias(f"_lo_{name}"),
+            value_at(F.ceil(rank(p))).alias(f"_hi_{name}"),
+        ]
+    away = F.col("_v") - F.col("_sum") / F.when(F.col("_total") > 0, F.col("_total"))
+    ends = placed.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ("_total", "_missing", "_sum", "_min", "_max")],
+        F.sum(F.col("_n") * away * away).alias("_squares"),
+        *picked,
+    )
+    present = F.when(F.col("_total") > 0, F.col("_total"))
+    quantiles = [
         (
             F.col(f"_lo_{name}")
-            + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-            * (p * (F.col("_total") - 1) - F.floor(p * (F.col("_total") - 1)))
+            + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (rank(p) - F.floor(rank(p)))
         ).alias(name)
         for name, p in probabilities.items()
     ]
-    return ends.select(*groups, *result)
+    return ends.select(
+        *groups,
+        F.col("_total").alias("n"),
+        F.col("_missing").alias("missing"),
+        (F.col("_sum") / present).alias("mean"),
+        F.sqrt(F.col("_squares") / F.when(F.col("_total") > 1, F.col("_total") - 1)).alias("sd"),
+        F.col("_min").alias("min"),
+        *quantiles,
+        F.col("_max").alias("max"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
-from clinspark.functions.quantiles import exact_quantiles
+from clinspark.functions.quantiles import numeric_profile
 from clinspark.functions.scalars import age_years, hours, n_pct, null_placeholders, null_safe_sum
 from clinspark.operators.severity import firsts_wide, lab_measures, score_measures, temp_flag, wbc_flag
 from clinspark.operators.windows import first_row
@@ -196,13 +196,7 @@ def table1(
     values = labelled.select("stratum", *[F.col(c).cast("double").alias(c) for c in continuous]).unpivot(
         "stratum", list(continuous), "variable", "value"
     )
-    moments = values.groupBy("stratum", "variable").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd")
-    )
-    quartiles = exact_quantiles(
-        values, ["stratum", "variable"], "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}
-    )
-    by_value = moments.join(quartiles, ["stratum", "variable"], "left").select(
+    by_value = numeric_profile(values, ["stratum", "variable"], "value").select(
         "stratum", "variable", F.lit(None).cast("string").alias("level"), "n",
         F.lit(None).cast("double").alias("pct"), "mean", "sd", "q25", "median", "q75",
     )

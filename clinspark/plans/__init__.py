@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-CATALOGS = ["extraction", "cohort", "severity"]
+CATALOGS = ["extraction", "cohort", "severity", "epochs"]
 
 
 def load_all() -> None:
