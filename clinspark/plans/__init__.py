@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-CATALOGS = ["extraction", "cohort", "severity", "epochs"]
+CATALOGS = ["extraction", "cohort", "severity", "epochs", "comorbidity", "summary"]
 
 
 def load_all() -> None:
