@@ -59,10 +59,9 @@ def resolve_time(
 
 
 def to_number(value: Column) -> Column:
-    """Text as a double; text that is no number, and NaN, become null."""
+    """Text as a double; text that is no number becomes null."""
     text = value.cast("string")
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def resolve_numeric(df: DataFrame, candidates: Sequence[str], what: str = "value") -> Column:
@@ -70,5 +69,4 @@ def resolve_numeric(df: DataFrame, candidates: Sequence[str], what: str = "value
     name = require_column(df, candidates, what)
     if dict(df.dtypes)[name] == "string":
         return to_number(F.col(name))
-    number = F.col(name).cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))

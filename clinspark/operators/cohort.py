@@ -143,7 +143,13 @@ def encounter_criteria(
     """
     kinds = {
         "cbc": (wbc_events(labs), fv.CBC_HOURS),
-        "temp": (temperature_events(flowsheets).where(_abnormal_temp()), fv.CBC_HOURS),
+        "temp": (
+            # only the fact of an abnormal temperature is needed further on
+            temperature_events(flowsheets)
+            .where(_abnormal_temp())
+            .withColumn("event_value", F.lit(None).cast("double")),
+            fv.CBC_HOURS,
+        ),
         "sbp": (pressure_events(flowsheets).where(F.col("event_value") < fv.SBP_LOW), fv.HYPOTENSION_HOURS),
         "image": (imaging_events(imaging), fv.IMAGING_HOURS),
     }

@@ -118,13 +118,36 @@ def ccsr_long(dx: DataFrame, mapping: DataFrame) -> DataFrame:
     return _long(matches)
 
 
+BITS = 60
+
+
+def category_bits(spark, categories: Sequence[str]) -> DataFrame:
+    """Word and bit of each category; the table is as long as the list of output columns."""
+    rows = [(c, i // BITS, 1 << (i % BITS)) for i, c in enumerate(categories)]
+    return F.broadcast(spark.createDataFrame(rows, "category string, word int, bit long"))
+
+
 def to_wide(
     long: DataFrame, cohort: DataFrame, categories: Sequence[str], prefix: str = ""
 ) -> DataFrame:
-    """One 0/1 column per category for every encounter of the cohort."""
-    wide = long.groupBy(KEY).pivot("category", list(categories)).agg(F.max(F.lit(1)))
-    flags = [F.coalesce(F.col(c), F.lit(0)).cast("byte").alias(prefix + c.lower()) for c in categories]
-    return cohort.select(KEY).distinct().join(wide, KEY, "left").select(KEY, *flags)
+    """One 0/1 column per category for every encounter of the cohort.
+
+    The categories of an encounter are gathered as bits of a few long values, which is a hash aggregate
+    with map-side reduction whatever the number of columns, and the columns are read off the bits.
+    """
+    words = range((len(categories) + BITS - 1) // BITS)
+    bits = long.select(KEY, "category").join(category_bits(long.sparkSession, categories), "category")
+    masks = bits.groupBy(KEY).agg(
+        *[F.bit_or(F.when(F.col("word") == i, F.col("bit"))).alias(f"_w{i}") for i in words]
+    )
+    flags = [
+        F.when(F.col(f"_w{i // BITS}").bitwiseAND(F.lit(1 << (i % BITS))) != 0, 1)
+        .otherwise(0)
+        .cast("byte")
+        .alias(prefix + c.lower())
+        for i, c in enumerate(categories)
+    ]
+    return cohort.select(KEY).distinct().join(masks, KEY, "left").select(KEY, *flags)
 
 
 def weighted_score(long: DataFrame, cohort: DataFrame, weights: Mapping[str, int]) -> DataFrame:
