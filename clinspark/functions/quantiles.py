@@ -30,8 +30,6 @@ def numeric_profile(
     """
     probabilities = QUARTILES if probabilities is None else probabilities
     keys = list(groups)
-    if not keys:
-        keys, df = ["_all"], df.withColumn("_all", F.lit(0))
     # missing values are counted too and carry no weight below
     counted = (
         df.select(*keys, F.col(value).cast("double").alias("_v"))
@@ -40,19 +38,25 @@ def numeric_profile(
         .withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
     )
     cuts = [i / RANGES for i in range(1, RANGES)]
-    per_group = counted.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"),
-        (F.sum("_rows") - F.sum("_n")).alias("_missing"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", cuts, 10 * RANGES).alias("_cuts"),
-    )
+    facts = {
+        "_total": F.sum("_n"),
+        "_missing": F.sum("_rows") - F.sum("_n"),
+        "_sum": F.sum(F.col("_v") * F.col("_n")),
+        "_min": F.min("_v"),
+        "_max": F.max("_v"),
+        "_cuts": F.percentile_approx("_v", cuts, 10 * RANGES),
+    }
+    if keys:
+        per_group = counted.groupBy(*keys).agg(*[c.alias(name) for name, c in facts.items()])
+        known = counted.join(per_group, keys)
+    else:
+        # a single row of facts is a scalar subquery, not a join
+        one = counted.agg(F.struct(*[c.alias(name) for name, c in facts.items()]).alias("_facts")).scalar()
+        known = counted.withColumn("_facts", one).select("*", "_facts.*").drop("_facts")
     # distinct values below the same number of cuts share a range, so a range holds about 1/256 of them
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
     ranged = (
-        counted.join(per_group, keys)
-        .withColumn("_range", F.when(F.col("_v").isNotNull(), below).otherwise(-1))
+        known.withColumn("_range", F.when(F.col("_v").isNotNull(), below).otherwise(-1))
         .drop("_cuts", "_rows")
     )
     before_range = (
@@ -99,8 +103,8 @@ def numeric_profile(
     ]
     return ends.select(
         *groups,
-        F.col("_total").alias("n"),
-        F.col("_missing").alias("missing"),
+        F.coalesce("_total", F.lit(0)).alias("n"),
+        F.coalesce("_missing", F.lit(0)).alias("missing"),
         (F.col("_sum") / present).alias("mean"),
         F.sqrt(F.col("_squares") / F.when(F.col("_total") > 1, F.col("_total") - 1)).alias("sd"),
         F.col("_min").alias("min"),
