@@ -96,6 +96,25 @@ def vital_epochs(flow: DataFrame, anchor: DataFrame, labels: Mapping = fv.EPOCH_
     return measure_epochs(labelled_vitals(flow, labels), anchor, list(labels))
 
 
+def first_given(
+    administrations: DataFrame,
+    actions: Sequence[str] = fv.GIVEN_ACTIONS,
+    time: str = "administrationinstant",
+) -> DataFrame:
+    """The first administration of an encounter that was given, and its action."""
+    given = administrations.where(F.col("administrationaction").isin(list(actions)))
+    return first_row(given, [KEY], [time], ["administrationaction"])
+
+
+def _action_columns(label: str, time: str) -> list[Column]:
+    """The action in the column of its epoch; there is one administration, so nothing is pivoted."""
+    epoch = epoch_number(F.col(time), F.col(START))
+    return [
+        F.when(epoch == i, F.col("administrationaction")).alias(f"epoch_{i}_{label}")
+        for i in range(1, EPOCHS + 1)
+    ]
+
+
 def mar_epochs(
     administrations: DataFrame,
     anchor: DataFrame,
@@ -104,10 +123,8 @@ def mar_epochs(
     time: str = "administrationinstant",
 ) -> DataFrame:
     """The action of the first administration of an encounter, in the column of its epoch."""
-    given = administrations.where(F.col("administrationaction").isin(list(actions)))
-    first = first_row(given, [KEY], [time], ["administrationaction"])
-    slots = assign_epoch(first, anchor, time).withColumn("slot", _slot(F.col("epoch"), F.lit(label)))
-    return slots.groupBy(KEY).pivot("slot", epoch_columns([label])).agg(F.max("administrationaction"))
+    first = first_given(administrations, actions, time).join(anchor.select(KEY, START), KEY)
+    return first.select(KEY, *_action_columns(label, time))
 
 
 def _micros(time: Column) -> Column:
@@ -189,10 +206,12 @@ def epoch_matrix(
     measures = labelled_labs(labs).unionByName(labelled_vitals(flow))
     labels = [*fv.EPOCH_LABS, *fv.EPOCH_VITALS]
     flags_only = [c for c in esofa.columns if c.startswith("esofa")]
+    time = "administrationinstant"
+    treated = epoch_bounds(anchor).join(first_given(antibiotics, time=time), KEY, "left")
     return (
-        epoch_bounds(anchor)
+        treated.select("*", *_action_columns("abx", time))
+        .drop(time, "administrationaction")
         .join(measure_matrix(measures, anchor, labels), KEY, "left")
-        .join(mar_epochs(antibiotics, anchor), KEY, "left")
         .join(esofa.select(KEY, *flags_only), KEY, "left")
         .join(flags, KEY, "left")
     )
