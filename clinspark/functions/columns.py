@@ -6,6 +6,7 @@ All choices are made on ``df.columns`` while the plan is built, so nothing here
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,3 +71,10 @@ def resolve_numeric(df: DataFrame, candidates: Sequence[str], what: str = "value
     if dict(df.dtypes)[name] == "string":
         return to_number(F.col(name))
     return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys of which a missing one equals a missing one, as in a grouping."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, condition).drop(*[f"_r_{k}" for k in keys])

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinspark.functions.columns import join_same
+
 RANGES = 256
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
@@ -29,30 +31,27 @@ def numeric_profile(
     shuffle of the input.
     """
     probabilities = QUARTILES if probabilities is None else probabilities
-    keys = list(groups)
+    # without groups every distinct value carries the same key, made in the aggregation
+    keys = list(groups) or ["_all"]
+    same_key = [] if groups else [F.min(F.lit(0)).alias("_all")]
     # missing values are counted too and carry no weight below
     counted = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_rows"))
+        df.select(*groups, F.col(value).cast("double").alias("_v"))
+        .groupBy(*groups, "_v")
+        .agg(F.count("*").alias("_rows"), *same_key)
         .withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
     )
     cuts = [i / RANGES for i in range(1, RANGES)]
-    facts = {
-        "_total": F.sum("_n"),
-        "_missing": F.sum("_rows") - F.sum("_n"),
-        "_sum": F.sum(F.col("_v") * F.col("_n")),
-        "_min": F.min("_v"),
-        "_max": F.max("_v"),
-        "_cuts": F.percentile_approx("_v", cuts, 10 * RANGES),
-    }
-    if keys:
-        per_group = counted.groupBy(*keys).agg(*[c.alias(name) for name, c in facts.items()])
-        known = counted.join(per_group, keys)
-    else:
-        # a single row of facts is a scalar subquery, not a join
-        one = counted.agg(F.struct(*[c.alias(name) for name, c in facts.items()]).alias("_facts")).scalar()
-        known = counted.withColumn("_facts", one).select("*", "_facts.*").drop("_facts")
+    per_group = counted.groupBy(*keys).agg(
+        F.sum("_n").alias("_total"),
+        (F.sum("_rows") - F.sum("_n")).alias("_missing"),
+        F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", cuts, 10 * RANGES).alias("_cuts"),
+    )
+    # a single row without groups; with groups their number decides, which Spark checks itself
+    known = join_same(counted, per_group if groups else F.broadcast(per_group), keys)
     # distinct values below the same number of cuts share a range, so a range holds about 1/256 of them
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
     ranged = (
@@ -70,7 +69,7 @@ def numeric_profile(
     )
     running = Window.partitionBy(*keys, "_range").orderBy("_v")
     placed = (
-        ranged.join(before_range, [*keys, "_range"])
+        join_same(ranged, before_range, [*keys, "_range"])
         .withColumn("_end", F.col("_before") + F.sum("_n").over(running))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
@@ -87,12 +86,16 @@ def numeric_profile(
             value_at(F.floor(rank(p))).alias(f"_lo_{name}"),
             value_at(F.ceil(rank(p))).alias(f"_hi_{name}"),
         ]
+    whole = ("_total", "_missing", "_sum", "_min", "_max")
     away = F.col("_v") - F.col("_sum") / F.when(F.col("_total") > 0, F.col("_total"))
     ends = placed.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in ("_total", "_missing", "_sum", "_min", "_max")],
+        *[F.max(c).alias(c) for c in whole],
         F.sum(F.col("_n") * away * away).alias("_squares"),
         *picked,
     )
+    if not groups:
+        # one row even where the table has none
+        ends = ends.agg(*[F.max(c).alias(c) for c in ends.columns if c != "_all"])
     present = F.when(F.col("_total") > 0, F.col("_total"))
     quantiles = [
         (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
+from clinspark.functions.columns import join_same
 from clinspark.functions.quantiles import numeric_profile
 from clinspark.functions.scalars import age_years, hours, n_pct, null_placeholders, null_safe_sum
 from clinspark.operators.severity import firsts_wide, lab_measures, score_measures, temp_flag, wbc_flag
@@ -190,7 +191,7 @@ def table1(
     )
     numeric = [F.lit(None).cast("double").alias(c) for c in ("mean", "sd", "q25", "median", "q75")]
     share = F.when(F.col("level").isNotNull(), n_pct(F.col("n"), F.col("total"), 2))
-    by_level = counts.join(totals, ["stratum", "variable"]).select(
+    by_level = join_same(counts, totals, ["stratum", "variable"]).select(
         "stratum", "variable", "level", "n", share.alias("pct"), *numeric
     )
     values = labelled.select("stratum", *[F.col(c).cast("double").alias(c) for c in continuous]).unpivot(

@@ -116,6 +116,12 @@ def test_profile_without_values(rows):
     assert (row["n"], row["missing"], row["mean"], row["median"]) == (0, 2, None, None)
 
 
+def test_profile_keeps_the_missing_group(rows):
+    df = rows("g string, v double", (None, 1.0), (None, 3.0), ("a", 5.0))
+    got = sorted((str(r["g"]), r["n"], r["median"]) for r in numeric_profile(df, ["g"], "v").collect())
+    assert got == [("None", 2, 2.0), ("a", 1, 5.0)]
+
+
 def test_profile_of_no_rows(rows):
     df = rows("v double", (1.0,)).where("v > 5")
     assert tuple(numeric_profile(df, [], "v").select("n", "missing", "median").first()) == (0, 0, None)
