@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles
+from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_length_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_packing.packed(_read(spark, sf_dir, "documents"))
+
+
+@_query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
