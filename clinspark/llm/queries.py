@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, suffix_dedup
+from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.without_repeats(_read(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_query("op9_subspace_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = subspace_join.near_vectors(_read(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
