@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup
+from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = subspace_join.near_vectors(_read(spark, sf_dir, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@_query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(_read(spark, sf_dir, "documents"), path, with_ids=False)
