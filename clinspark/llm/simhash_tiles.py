@@ -14,6 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from clinspark.llm.components import components
 from clinspark.llm.store import stored
 from clinspark.llm.tiles import by_group, forest, with_tile_pairs
-from clinspark.llm.workers import map_pandas
+from clinspark.llm.workers import map_arrow
 
 #: Bytes that end a word.
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -50,14 +51,14 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """``(id, fp)``: ``fp`` holds the 64 bits of the fingerprint as a long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch["_text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": batch["_id"], "fp": found.view(np.int64)})
+            found = np.array([fingerprint(t, shingle) for t in batch.column("_text").to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(found.view(np.int64))], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     read = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return map_pandas(read, run, f"id {kind}, fp long")
+    return map_arrow(read, run, f"id {kind}, fp long")
 
 
 def _cuts(blocks: int) -> list[int]:
@@ -135,4 +136,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     best = ends.join(nodes, ends["node"] == nodes["fp"]).groupBy("component").agg(F.min(nodes["node"]).alias("component_id"))
     linked = ends.join(best, "component").select(F.col("node").alias("fp"), "component_id")
     classes = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", nodes["node"]).alias("component_id"))
-    return made.join(classes, "fp")
+    # stored, so that both sides of the join come straight from a shuffle and a hot fingerprint can be split
+    return made.join(stored(classes, "fingerprint-classes"), "fp")
