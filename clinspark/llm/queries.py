@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup, token_files
+from clinspark.llm import decontam, language_spans, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +68,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("word_bpe_49k.json")
     return token_files.round_trip(_read(spark, sf_dir, "documents"), path, with_ids=False)
+
+
+@_query("op10_language_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = language_spans.learn(docs.filter(fold != 0), "doc_id", "text", "lang")
+    found = language_spans.language_spans(docs.select("doc_id", "text"), model, with_spans=False)
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")

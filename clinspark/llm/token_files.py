@@ -20,13 +20,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinspark.llm.ranks import before
 from clinspark.llm.store import new_folder
-from clinspark.llm.workers import map_pandas, ship
+from clinspark.llm.workers import map_arrow, map_pandas, ship
 
 MAGIC = b"CTF1"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -191,11 +192,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
 
     Documents are dealt to tasks by ranges of their id.  File names sort as the documents do.  A task that runs again, because
     an executor was lost or was slow, writes the same files; each appears under its name only when whole."""
-    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ranged = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         context = TaskContext.get()
@@ -214,21 +214,21 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
             made, numbers, chunks, counts, held = made + 1, [], [], [], 0
 
         for batch in batches:
-            for number, text in zip(batch["id"], batch["text"], strict=True):
+            for number, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids: list[int] = []
                 encoder.encode(text, ids)
                 ids.append(end_id)
                 chunks.append(np.array(ids, np.uint32))
-                numbers.append(None if pd.isna(number) else int(number))
+                numbers.append(number)
                 counts.append(len(ids))
                 held += len(ids)
                 if held >= file_ids:
                     close()
         if numbers:
             close()
-        yield pd.DataFrame({"files": [made]})
+        yield pa.RecordBatch.from_pydict({"files": pa.array([made], pa.int32())})
 
-    map_pandas(ranged, work, "files int").agg(F.sum("files")).collect()
+    map_arrow(ranged, work, "files int").agg(F.sum("files")).collect()
 
 
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:

@@ -3,11 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, length_packing, line_dedup, simhash_tiles
+from clinspark.llm import decontam, language_spans, length_packing, line_dedup, simhash_tiles
 from clinspark.llm.store import stored
 
 
+#: Least share of letters in spans of a document's language.
+LANGUAGE_SHARE = 0.5
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters, and those in no language for at least half of their letters.
+
+    The model is learned from the documents' own labels; none is changed.  Without any label nothing is known of
+    languages, and every document stays."""
+    model = language_spans.learn(docs, "doc_id", "text", "lang")
+    if not model.langs:
+        return docs
+    fine = (F.col("lang_pred") != language_spans.UNDETERMINED) & (F.col("score") >= LANGUAGE_SHARE)
+    return language_spans.language_spans(docs, model, with_spans=False).filter(fine).select(*docs.columns)
+
+
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that a large share of the documents of one source repeat; every document stays."""
     return line_dedup.without_boilerplate(docs, host="source", text="text").select(*docs.columns)
@@ -32,6 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", keep_known_language),
     ("line dedup", drop_boilerplate),
     ("simhash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_benchmark_leaks),
