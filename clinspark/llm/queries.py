@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import decontam, language_spans, length_packing, line_dedup, simhash_tiles, subspace_join, suffix_dedup, token_files
+from clinspark.llm import (
+    chat_links,
+    decontam,
+    hmm_lm,
+    language_spans,
+    length_packing,
+    line_dedup,
+    simhash_tiles,
+    subspace_join,
+    suffix_dedup,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +88,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_spans.learn(docs.filter(fold != 0), "doc_id", "text", "lang")
     found = language_spans.language_spans(docs.select("doc_id", "text"), model, with_spans=False)
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op2_chat_links", chat_links.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat_links.calls_of_turns(_read(spark, sf_dir, "conversations"))
+    return chat_links.linked(calls, results, chat_links.TURN_TOOLS)
+
+
+@_query("op7_hmm_lm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    found = hmm_lm.scored(docs, fold != 2)
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
