@@ -179,12 +179,14 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
         """``(language, score, spans)`` of each text; a span is a language and its first and last word."""
+        made: list[tuple[str, float, list[tuple[str, int, int]]]] = [(UNDETERMINED, 0.0, [])] * len(texts)
+        if not self.model.langs:
+            return made
         if len(self.index) > CACHE:
             self.forget()
         rows = [self._rows((t or "").split()) for t in texts]
         worded = [i for i, r in enumerate(rows) if len(r) and self.letters[r].any()]
-        made: list[tuple[str, float, list[tuple[str, int, int]]]] = [(UNDETERMINED, 0.0, [])] * len(texts)
-        if not worded or not self.model.langs:
+        if not worded:
             return made
         langs = self.model.langs
         paths = _label([self.scores[rows[i]] for i in worded], self.model.prior, self.penalty)
@@ -197,13 +199,15 @@ class Labeller:
         return made
 
 
-def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, with_spans: bool = True) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (the share of letters in spans of that language) and ``spans`` added.
+def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, added: tuple[str, ...] = ("lang_pred", "score", "spans")) -> DataFrame:
+    """``docs`` with the language, its score (the share of letters in spans of that language) and the spans added, under
+    the names in ``added``; two names leave out the spans.
 
     A span is a language and the numbers of its first and last word, words being what white space separates.  A null text, or one
     without a letter, is ``und`` with score 0 and no spans; so is every text if no language was learned.  Texts are read whole.
     Added columns replace others of their names, and all other columns stay."""
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "spans")]
+    with_spans = len(added) == 3
+    names = [c for c in docs.columns if c not in added]
     fields = [docs.schema[c].dataType.simpleString() for c in names]
     span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))
 
@@ -219,7 +223,6 @@ def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalt
                 kept = [some.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*(f"_{i}" for i in range(len(names))), *added])
 
-    added = ["lang_pred", "score", *(["spans"] if with_spans else [])]
     kinds = ["string", "double", *(["array<struct<lang:string,first:int,last:int>>"] if with_spans else [])]
     rows = docs.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)), F.col(text_col).alias("_text"))
     schema = ", ".join([*(f"_{i} {k}" for i, k in enumerate(fields)), *(f"{a} {k}" for a, k in zip(added, kinds, strict=True))])

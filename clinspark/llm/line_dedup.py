@@ -44,8 +44,9 @@ def boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio:
     )
 
 
-def without_boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5) -> DataFrame:
-    """``pages`` with the boilerplate lines of their host cut out of ``text``; ``n_lines`` and ``n_dropped`` are added.
+def without_boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5, added: tuple[str, ...] = ("n_lines", "n_dropped")) -> DataFrame:
+    """``pages`` with the boilerplate lines of their host cut out of ``text``; the numbers of lines and of dropped lines are added
+    under the names in ``added``, if it has any.
 
     Every row stays, and so do its other columns.  A null text stays null and has no lines; an empty one has none.
     Pages without a host are left as they are.  An added column replaces one of the same name."""
@@ -59,15 +60,9 @@ def without_boilerplate(pages: DataFrame, host: str = "host", text: str = "text"
     kept = F.filter(parts, lambda x: ~F.array_contains(F.coalesce(F.col("_boilerplate"), none), F.trim(x)))
     filled = F.size(F.filter(parts, lambda x: F.trim(x) != ""))
     dropped = F.size(parts) - F.size(kept)
-    return (
-        pages.join(found, F.col(host) == F.col("_host"), "left")
-        .withColumns({
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(filled),
-            "n_dropped": F.when(F.col(text).isNull(), 0).otherwise(dropped),
-            text: F.array_join(kept, "\n"),
-        })
-        .drop("_host", "_boilerplate")
-    )
+    counts = [F.when(F.col(text).isNull(), 0).otherwise(n) for n in (filled, dropped)]
+    new = dict(zip(added, counts, strict=False)) | {text: F.array_join(kept, "\n")}
+    return pages.join(found, F.col(host) == F.col("_host"), "left").withColumns(new).drop("_host", "_boilerplate")
 
 
 #: Fixed patterns: markup that holds no text, markup that ends a line, any other markup, the host of a URL.

@@ -86,7 +86,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     model = language_spans.learn(docs.filter(fold != 0), "doc_id", "text", "lang")
-    found = language_spans.language_spans(docs.select("doc_id", "text"), model, with_spans=False)
+    found = language_spans.language_spans(docs.select("doc_id", "text"), model, added=("lang_pred", "score"))
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 

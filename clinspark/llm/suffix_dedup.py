@@ -337,7 +337,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pd.DataFrame(out, columns=["t", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     touched = held.join(spans, "t").select("t", "data", F.col("spans.lo").alias("los"), F.col("spans.hi").alias("his"))
-    changed = stored(map_pandas(touched, work, "t string, n_removed long, n_spans long, kept_sha256 string, kept binary"), "kept").dropDuplicates(["t"])
+    # stored after the last aggregation: both sides of the join then come straight from a shuffle, and a hot text can be split
+    changed = stored(map_pandas(touched, work, "t string, n_removed long, n_spans long, kept_sha256 string, kept binary").dropDuplicates(["t"]), "kept")
     plain = rows.select("id", F.length("data").cast("long").alias("n_bytes"), "sha", F.substring("sha", 1, 32).alias("t"))
     return plain.join(changed, "t", "left").select(
         "id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),

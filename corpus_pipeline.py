@@ -21,13 +21,13 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     model = language_spans.learn(docs, "doc_id", "text", "lang")
     if not model.langs:
         return docs
-    fine = (F.col("lang_pred") != language_spans.UNDETERMINED) & (F.col("score") >= LANGUAGE_SHARE)
-    return language_spans.language_spans(docs, model, with_spans=False).filter(fine).select(*docs.columns)
+    fine = (F.col("_lang_pred") != language_spans.UNDETERMINED) & (F.col("_lang_score") >= LANGUAGE_SHARE)
+    return language_spans.language_spans(docs, model, added=("_lang_pred", "_lang_score")).filter(fine).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that a large share of the documents of one source repeat; every document stays."""
-    return line_dedup.without_boilerplate(docs, host="source", text="text").select(*docs.columns)
+    return line_dedup.without_boilerplate(docs, host="source", text="text", added=())
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
