@@ -13,10 +13,12 @@ others lie in the exception list, and zero bits stand in their place.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinspark.llm.ranks import before
-from clinspark.llm.store import new_folder
-from clinspark.llm.workers import map_arrow, map_pandas, ship
+from clinspark.llm.store import new_folder, stored
+from clinspark.llm.workers import map_arrow, map_pandas
 
 MAGIC = b"CTF1"
 SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -35,8 +37,11 @@ BLOCK = 128
 KEEP = 0.9
 #: A file is closed after the document with which it reaches so many ids.
 FILE_IDS = 2_000_000
-#: Words whose ids a worker remembers.
-CACHE = 400_000
+#: Offsets of up to so many files are broadcast; more are joined by shuffle.
+BROADCAST_FILES = 100_000
+#: New words after which a worker begins to forget.
+CACHE = 450_000
+_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 # ---------------------------------------------------------------- file format
@@ -145,41 +150,83 @@ def decode_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 
 class WordEncoder:
-    """Token ids of texts by a tokenizer that never joins what white space separates.
+    """Token ids of texts, as little-endian bytes, by a tokenizer that never joins what white space separates.
 
-    The ids of a text are those of its words, so a word is encoded once and remembered.  An all-letter word before a comma or
-    full stop is looked up without it: the tokenizer splits letters from other signs.  That holds for letters below U+0130, which
-    stay single letters when normalised and lower-cased."""
+    The ids of a text are those of its words, so a word is encoded once and remembered.  An all-letter word is looked up in lower case and
+    without a comma or full stop behind it: the tokenizer lowers letters and splits them from other signs.  That holds for letters
+    below U+0130, which stay single letters when normalised and lowered.  New words of that kind are encoded many at a time, as one text,
+    and told apart by the tokens that end a word."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # for lower-case words of letters, which need neither normalising nor the pattern that splits words
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(words), 4096):
+            some = words[at : at + 4096]
+            (whole,) = self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(whole.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):
+                out += self._plain(some)
+                continue
+            data, bounds = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            out += [data[x:y] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        return out
 
     def _add(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE:
-            self.known.clear()
-        for word, made in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[word] = tuple(made.ids)
-
-    def encode(self, text: str, out: list[int]) -> None:
-        words = []
-        for word in text.replace("\n", " ").replace("\t", " ").split(" "):
-            if word and word[-1] in ",." and word[:-1].isalpha() and max(word) < "\u0130":
-                words += (word[:-1], word[-1])
-            elif word:
-                words.append(word)
+        """Makes ``words`` known."""
+        known, older = self.known, self.older
+        stems, other = {}, []
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif max(word) < "\u0130" and (stem := word[:-1] if word[-1] in ",." else word).isalpha():
+                stems[word] = stem.lower()
+            else:
+                other.append(word)
+        new = [s for s in set(stems.values()) if s not in known]
+        for s in new:
+            if s in older:
+                known[s] = older[s]
+        new = [s for s in new if s not in known]
+        known.update(zip(new, self._letters(new), strict=True))
+        known.update(zip(other, self._plain(other), strict=True))
+        signs = {sign: self._plain([sign])[0] for sign in ",."} if stems else {}
+        for word, stem in stems.items():
+            if word != stem:
+                known[word] = known[stem] + signs.get(word[-1], b"")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.  Words of the last two spells are remembered, a spell being ``CACHE`` new words."""
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        # str.split also parts at these four signs, which the tokenizer does not take for white space
+        odd = [i for i, t in enumerate(texts) if _SEPARATORS.search(t)]
+        words = [t.split() for t in texts]
+        for i in odd:
+            words[i] = []
         known = self.known
-        missing = {w for w in words if w not in known}
+        missing = set(chain.from_iterable(words)).difference(known)
         if missing:
             self._add(list(missing))
-            known = self.known
-            lost = {w for w in words if w not in known}
-            if lost:  # the memory was cleared for the new words
-                self._add(list(lost | missing))
-        for word in words:
-            out += known[word]
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        for i, data in zip(odd, self._plain([texts[i] for i in odd]), strict=True):
+            out[i] = data
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -190,7 +237,8 @@ def _encoder(path: str) -> WordEncoder:
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, file_ids: int = FILE_IDS) -> None:
     """Writes the ids of every text, each followed by ``end_id``, to files in ``folder`` in ascending order of id.
 
-    Documents are dealt to tasks by ranges of their id.  File names sort as the documents do.  A task that runs again, because
+    Documents are dealt to tasks by ranges of their id.  Files are named by task, number in the task and number of ids, and
+    sort as the documents do.  A task that runs again, because
     an executor was lost or was slow, writes the same files; each appears under its name only when whole."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ranged = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
@@ -207,23 +255,24 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
         def close() -> None:
             nonlocal made, numbers, chunks, counts, held
             system.create_dir(root, recursive=True)
-            name = f"{root}/{part:06d}-{made:06d}.tokens"
+            name = f"{root}/{part:06d}-{made:06d}-{held}.tokens"
             with system.open_output_stream(f"{name}.{attempt}.writing") as sink:
                 sink.write(encode_file(numbers, np.array(counts), np.concatenate(chunks)))
             system.move(f"{name}.{attempt}.writing", name)
             made, numbers, chunks, counts, held = made + 1, [], [], [], 0
 
+        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for number, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids: list[int] = []
-                encoder.encode(text, ids)
-                ids.append(end_id)
-                chunks.append(np.array(ids, np.uint32))
-                numbers.append(number)
-                counts.append(len(ids))
-                held += len(ids)
-                if held >= file_ids:
-                    close()
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                for number, data in zip(some.column("id").to_pylist(), encoder.encode(some.column("text").to_pylist()), strict=True):
+                    ids = np.frombuffer(data, "<u4")
+                    chunks += (ids, end)
+                    numbers.append(number)
+                    counts.append(len(ids) + 1)
+                    held += len(ids) + 1
+                    if held >= file_ids:
+                        close()
         if numbers:
             close()
         yield pa.RecordBatch.from_pydict({"files": pa.array([made], pa.int32())})
@@ -234,18 +283,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
 def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32, ids)`` of every document in the files of ``folder``; ``start`` counts the ids of all
     documents before it.  ``ids`` is left out on request; it is most of what the workers send."""
-    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tokens").load(folder)
-    name = F.regexp_extract("path", "([0-9]+)-([0-9]+)[.]tokens$", 1).cast("long"), F.regexp_extract("path", "([0-9]+)-([0-9]+)[.]tokens$", 2).cast("long")
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            totals = [struct.unpack_from("<Q", d, 12)[0] for d in batch["content"]]
-            yield pd.DataFrame({"part": batch["part"], "nth": batch["nth"], "n": totals})
-
-    named = files.select(name[0].alias("part"), name[1].alias("nth"), "content")
-    totals = map_pandas(named, heads, "part long, nth long, n long").withColumn("all", F.lit(0))
-    offsets = before(totals, "all", "part", ["nth"], F.col("n"), "offset").select("part", "nth", "offset")
+    part = lambda i: F.regexp_extract("path", "([0-9]+)-([0-9]+)-([0-9]+)[.]tokens$", i).cast("long")
+    # names alone give the offsets; the contents are not read for them, and with few enough files never shuffled
+    listed = files.select("path", part(1).alias("part"), part(2).alias("nth"), part(3).alias("n"), F.lit(0).alias("all"))
+    offsets = stored(before(listed, "all", "part", ["nth"], F.col("n"), "offset").select(F.col("path").alias("_path"), "offset"), "file-offsets")
+    if offsets.count() <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    named = files.select("path", "content").join(offsets, F.col("path") == F.col("_path"))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -263,7 +308,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) ->
                     })
                     yield made.assign(ids=[x.astype(np.int64) for x in cut[some]]) if with_ids else made
 
-    return map_pandas(named.join(offsets, ["part", "nth"]).select("content", "offset"), work, SCHEMA + (", ids array<long>" if with_ids else ""))
+    return map_pandas(named.select("content", "offset"), work, SCHEMA + (", ids array<long>" if with_ids else ""))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, file_ids: int = FILE_IDS, with_ids: bool = True) -> DataFrame:
