@@ -8,10 +8,9 @@ language, labels each word; the language with most letters is that of the text.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,47 +37,75 @@ SCRIPT_RANGES = {
     "kana": [(0x3040, 0x30FF), (0x31F0, 0x31FF)],
     "han": [(0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3134F)],
 }
-_FIRST = np.array(sorted((lo, hi, i) for i, ranges in enumerate(SCRIPT_RANGES.values()) for lo, hi in ranges))
+_STARTS, _ENDS, _SCRIPTS = np.array(sorted((lo, hi, i) for i, ranges in enumerate(SCRIPT_RANGES.values()) for lo, hi in ranges)).T
 OTHER_SCRIPT = len(SCRIPT_RANGES)
-_LETTERS = re.compile(r"[^\W\d_]+")
+_NO_LETTER = re.compile(r"[^\w\n]+|[\d_]+")
 #: Hashed letter sequences of one to three letters.
 FEATURES = 1 << 15
-GRAMS = (1, 2, 3)
 #: Texts of each language that a model is learned from, about, at most.
 PER_LANG = 500
 #: A worker remembers the scores of so many words.
-CACHE = 200_000
+CACHE = 300_000
 UNDETERMINED = "und"
 
 
-@lru_cache(maxsize=65536)
-def _script(letter: str) -> int:
-    at = int(np.searchsorted(_FIRST[:, 0], ord(letter), "right")) - 1
-    return int(_FIRST[at, 2]) if at >= 0 and ord(letter) <= _FIRST[at, 1] else OTHER_SCRIPT
+def scripts_of(points: np.ndarray) -> np.ndarray:
+    """The number of the script of each code point."""
+    at = np.maximum(np.searchsorted(_STARTS, points, "right") - 1, 0)
+    inside = (points >= _STARTS[at]) & (points <= _ENDS[at])
+    return np.where(inside, _SCRIPTS[at], OTHER_SCRIPT)
 
 
-def _features(word: str) -> list[int]:
-    """Hashed letter sequences of a word of letters, its ends marked."""
-    marked = f" {word} "
-    return [zlib.crc32(marked[i : i + n].encode("utf-8", "surrogatepass")) % FEATURES for n in GRAMS for i in range(len(marked) - n + 1)]
+def letters_of(words: list[str]) -> list[str]:
+    """The letters of each word, in lower case."""
+    found = _NO_LETTER.sub("", "\n".join(words).lower()).split("\n")
+    return [w if w.isalpha() or not w else "".join(c for c in w if c.isalpha()) for w in found]
+
+
+def _features(letters: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For words of letters: the features of every place (place x 3, ``FEATURES`` where there is none), the code points, and the first place of
+    each word.  A word's places are its letters and the gap behind it; a place stands for the one, the two and the three letters that end
+    there, just behind, and one later."""
+    points = np.frombuffer(f" {' '.join(letters)} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    before, here, after = points[:-1], points[1:], np.append(points[2:], np.uint64(32))
+
+    def hashed(*parts: np.ndarray) -> np.ndarray:
+        h = np.full(len(here), len(parts), np.uint64)
+        for part in parts:
+            h = (h + part) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        return (h % np.uint64(FEATURES)).astype(np.int64)
+
+    gap, whole = here == 32, before == 32
+    single = np.where(gap, FEATURES, hashed(here))
+    double = np.where(gap & whole, FEATURES, hashed(before, here))
+    triple = np.where(gap, FEATURES, hashed(before, here, after))
+    ends = np.flatnonzero(gap)
+    return np.stack([single, double, triple], axis=1), here, np.concatenate(([0], ends[:-1] + 1))
 
 
 class Model:
     """Learned languages, log-probabilities of features (features x languages) and the scripts each language uses."""
 
     def __init__(self, langs: list[str], logs: np.ndarray, scripts: np.ndarray, prior: np.ndarray):
-        self.langs, self.logs, self.scripts, self.prior = langs, logs.astype(np.float32), scripts, prior
-
-    def word_scores(self, word: str) -> np.ndarray:
-        letters = "".join(_LETTERS.findall(word.lower()))
-        if not letters:
-            return np.zeros(len(self.langs), np.float32)
-        score = self.logs[_features(letters)].sum(axis=0)
-        used = {_script(c) for c in letters}
-        allowed = self.scripts[:, sorted(used)].all(axis=1)
-        if allowed.any() and not allowed.all():
-            score = np.where(allowed, score, score.min() - 20)
-        return score - score.max()
+        self.langs, self.prior = langs, prior
+        self.logs = np.vstack([logs, np.zeros((1, len(langs)))]).astype(np.float32)
+        self.unused = np.array([sum(1 << i for i, used in enumerate(row) if not used) for row in scripts], np.int64)
+
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``(words x languages, letters)``; the best language of a word has score 0, and so has each of a word without letters."""
+        letters = letters_of(words)
+        places, points, first = _features(letters)
+        totals = np.add.reduceat(self.logs[places].sum(axis=1), first, axis=0)
+        used = np.bitwise_or.reduceat(np.where(points == 32, 0, 1 << scripts_of(points)), first)
+        barred = (used[:, None] & self.unused[None, :]) != 0
+        # a word in scripts that no language uses together leaves all of them
+        barred &= ~barred.all(axis=1, keepdims=True)
+        totals = np.where(barred, totals.min(axis=1, keepdims=True) - 20, totals)
+        totals -= totals.max(axis=1, keepdims=True)
+        lengths = np.fromiter(map(len, letters), np.int64, len(letters))
+        totals[lengths == 0] = 0
+        return totals, lengths
 
 
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int = PER_LANG, script_share: float = 0.01) -> Model:
@@ -97,11 +124,13 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang:
         words: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
+                words.setdefault(lang, Counter()).update(text.split())
         for lang, found in words.items():
-            sums = np.zeros(FEATURES + OTHER_SCRIPT + 1, np.int64)
-            for word, n in found.items():
-                np.add.at(sums, _features(word) + [FEATURES + _script(c) for c in word], n)
+            places, points, first = _features(letters_of(list(found)))
+            times = np.repeat(list(found.values()), np.diff(first, append=len(points)))
+            sums = np.bincount(places.ravel(), np.repeat(times, 3), FEATURES + 1)[:FEATURES]
+            letters = np.bincount(scripts_of(points), np.where(points == 32, 0, times), OTHER_SCRIPT + 1)
+            sums = np.concatenate([sums, letters]).astype(np.int64)
             at = np.flatnonzero(sums)
             yield pd.DataFrame({"lang": lang, "at": at, "n": sums[at]})
 
@@ -116,40 +145,32 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang:
     return Model(langs, logs, (share >= script_share).T, prior)
 
 
-def _label(scores: list[np.ndarray], prior: np.ndarray, penalty: float) -> list[np.ndarray]:
-    """The best sequence of languages for each text; ``scores`` has words x languages, at least one word each.
+def best_paths(scores: np.ndarray, lengths: np.ndarray, prior: np.ndarray, penalty: float) -> np.ndarray:
+    """The best language of every word, texts one after the other; ``scores`` has words x languages, each text one word or more.
 
-    All texts of a batch advance together, word by word, the longest first."""
-    order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
-    lengths = np.array([len(scores[i]) for i in order])
-    offsets = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    flat = np.concatenate([scores[i] for i in order])
-    alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
-    best = flat[offsets] + prior
-    stay = np.ones(flat.shape, bool)  # whether the best path to this language came from the same one
-    jump = np.zeros(len(flat), np.int8 if flat.shape[1] < 128 else np.int32)  # and else from which
-    for t in range(1, int(lengths[0])):
+    Texts advance together, word by word, the longest first."""
+    order = np.argsort(-lengths, kind="stable")
+    starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
+    alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
+    best = scores[starts] + prior
+    stay = np.ones(scores.shape, bool)  # whether the best path to this language came from the same one
+    jump = np.zeros(len(scores), np.int32)  # and else from which
+    for t in range(1, int(sizes[0])):
         n = alive[t]
-        at = offsets[:n] + t
-        now = best[:n]
-        top = now.argmax(axis=1)
-        other = now[np.arange(n), top][:, None] - penalty
-        kept = now >= other
-        stay[at] = kept
-        jump[at] = top
-        best[:n] = np.where(kept, now, other) + flat[at]
-    out: list[np.ndarray] = [np.empty(0)] * len(scores)
-    path = np.zeros(len(flat), np.int32)
+        at, now = starts[:n] + t, best[:n]
+        other = now.max(axis=1, keepdims=True) - penalty
+        stay[at] = now >= other
+        jump[at] = now.argmax(axis=1)
+        best[:n] = np.maximum(now, other) + scores[at]
+    path = np.empty(len(scores), np.int32)
     current = best.argmax(axis=1)
-    for t in range(int(lengths[0]) - 1, -1, -1):
+    for t in range(int(sizes[0]) - 1, -1, -1):
         n = alive[t]
-        at = offsets[:n] + t
-        path[at] = current[:n]
+        at, now = starts[:n] + t, current[:n]
+        path[at] = now
         if t:
-            current[:n] = np.where(stay[at, current[:n]], current[:n], jump[at])
-    for k, i in enumerate(order):
-        out[i] = path[offsets[k] : offsets[k] + lengths[k]]
-    return out
+            current[:n] = np.where(stay[at, now], now, jump[at])
+    return path
 
 
 class Labeller:
@@ -161,41 +182,47 @@ class Labeller:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(self.model.langs)), np.float32)
-        self.letters = np.zeros(1024, np.int32)
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        index = self.index
-        for word in words:
-            if word not in index:
-                at = len(index)
-                if at == len(self.letters):
-                    self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                    self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-                self.scores[at] = self.model.word_scores(word)
-                self.letters[at] = sum(map(len, _LETTERS.findall(word)))
-                index[word] = at
-        return np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        self.scores = np.zeros((0, len(self.model.langs)), np.float32)
+        self.letters = np.zeros(0, np.int64)
+
+    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words, and how many each text has."""
+        words = [(t or "").split() for t in texts]
+        new = list(set(chain.from_iterable(words)).difference(self.index))
+        if new:
+            scores, letters = self.model.word_scores(new)
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+            self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, letters])
+        lengths = np.array([len(w) for w in words], np.int64)
+        return np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, lengths.sum()), lengths
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
         """``(language, score, spans)`` of each text; a span is a language and its first and last word."""
         made: list[tuple[str, float, list[tuple[str, int, int]]]] = [(UNDETERMINED, 0.0, [])] * len(texts)
-        if not self.model.langs:
+        langs = self.model.langs
+        if not langs:
             return made
         if len(self.index) > CACHE:
             self.forget()
-        rows = [self._rows((t or "").split()) for t in texts]
-        worded = [i for i, r in enumerate(rows) if len(r) and self.letters[r].any()]
-        if not worded:
-            return made
-        langs = self.model.langs
-        paths = _label([self.scores[rows[i]] for i in worded], self.model.prior, self.penalty)
-        for i, path in zip(worded, paths, strict=True):
-            weight = np.bincount(path, self.letters[rows[i]], len(langs))
-            cut = np.flatnonzero(np.diff(path))
-            begins, ends = [0, *(cut + 1).tolist()], [*cut.tolist(), len(path) - 1]
-            spans = [(langs[path[a]], a, b) for a, b in zip(begins, ends, strict=True)]
-            made[i] = (langs[int(weight.argmax())], float(weight.max() / weight.sum()), spans)
+        # word lists are made for a few texts at a time; their numbers take less room
+        parts = [self._words(texts[at : at + 256]) for at in range(0, len(texts), 256)]
+        rows, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        starts = np.cumsum(lengths) - lengths
+        order = [int(i) for i in np.argsort(-lengths, kind="stable") if lengths[i] and self.letters[rows[starts[i] : starts[i] + lengths[i]]].any()]
+        at = 0
+        while at < len(order):
+            # texts of similar length, as many as hold about 250,000 words
+            some = order[at : at + max(1, 250_000 // int(lengths[order[at]]))]
+            at += len(some)
+            own = [rows[starts[i] : starts[i] + lengths[i]] for i in some]
+            paths = best_paths(self.scores[np.concatenate(own)], lengths[some], self.model.prior, self.penalty)
+            ends = np.cumsum(lengths[some])
+            for i, words, path in zip(some, own, np.split(paths, ends[:-1]), strict=True):
+                weight = np.bincount(path, self.letters[words], len(langs))
+                cut = np.flatnonzero(np.diff(path))
+                begins, lasts = [0, *(cut + 1).tolist()], [*cut.tolist(), len(path) - 1]
+                spans = [(langs[path[a]], a, b) for a, b in zip(begins, lasts, strict=True)]
+                made[i] = (langs[int(weight.argmax())], float(weight.max() / weight.sum()), spans)
         return made
 
 
@@ -214,8 +241,8 @@ def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalt
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model, penalty)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):  # together at most so many texts, which may be long
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 4096):  # together at most so many texts, which may be long
+                some = batch.slice(at, 4096)
                 found = labeller.label(some.column("_text").to_pylist())
                 made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
                 if with_spans:
