@@ -11,12 +11,23 @@ from clinspark.llm.queries import QUERIES
 def test_viterbi_equals_enumeration():
     rng = np.random.default_rng(0)
     scores = [rng.normal(size=(n, 3)).astype(np.float32) * 3 for n in (1, 6, 2, 5, 1, 4)]
-    prior = np.log([0.5, 0.3, 0.2])
-    for s, path in zip(scores, ls._label(scores, prior, 2.0)):
+    prior, lengths = np.log([0.5, 0.3, 0.2]), np.array([len(s) for s in scores])
+    paths = np.split(ls.best_paths(np.concatenate(scores), lengths, prior, 2.0), np.cumsum(lengths)[:-1])
+    for s, path in zip(scores, paths):
         value = lambda p, s=s: prior[p[0]] + sum(s[t, p[t]] for t in range(len(p))) - 2.0 * sum(a != b for a, b in zip(p, p[1:]))
         assert value(path.tolist()) == pytest.approx(max(value(p) for p in product(range(3), repeat=len(s))))
 
 
+def test_words_are_scored_alike_alone_and_together(spark):
+    model = ls.learn(spark.createDataFrame(corpus(), "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    words = ["the", "The,", "12", "katze", "σπίτι", "x" * 500, "²", "é", "и", "a1b2"]
+    together, letters = model.word_scores(words)
+    assert letters.tolist() == [3, 3, 0, 5, 5, 500, 0, 1, 1, 2] and not together[[2, 6]].any()
+    for word, scores in zip(words, together):
+        assert np.allclose(model.word_scores([word])[0][0], scores, atol=1e-3)
+    assert np.allclose(together[0], together[1]) and together[4].argmax() == model.langs.index("el")
+
+
 def corpus():
     english, german, greek = "the cat and the dog with that thing", "der hund und die katze mit ich schon", "και το σπίτι με την γάτα"
     return [(i, " ".join([t] * 4), k) for i, (t, k) in enumerate([(english, "en"), (german, "de"), (greek, "el")] * 30)]
@@ -35,8 +46,8 @@ def test_spans_scripts_and_edges(spark):
 
 
 def test_scripts():
-    assert [ls._script(c) for c in "aéЖσ漢"] == [list(ls.SCRIPT_RANGES).index(s) for s in ("latin", "latin", "cyrillic", "greek", "han")]
-    assert ls._script("ᚠ") == ls.OTHER_SCRIPT
+    names = [*ls.SCRIPT_RANGES, "other"]
+    assert [names[i] for i in ls.scripts_of(np.array([*map(ord, "aéЖσ漢ᚠ!")]))] == ["latin", "latin", "cyrillic", "greek", "han", "other", "other"]
 
 
 def test_nothing_learned(spark):
