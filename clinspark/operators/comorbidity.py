@@ -2,6 +2,11 @@
 
 A long table has one row per encounter and category with ``poa``: whether the category also counts
 when evidence of presence on admission is asked for.  Both variants come out of one aggregation.
+
+The functions that group codes take either a code set (``icd_code`` beside the encounter), or facts with a
+diagnosis key and, in ``codes``, the terminology's codes by that key.  Terminology and mapping are then joined
+first, which are both small against the facts, and the facts are never shuffled by code, where one code may hold
+much of the table.
 """
 
 from __future__ import annotations
@@ -9,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
@@ -57,6 +62,34 @@ def mapping_coverage(dx: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
+def dx_facts(dx: DataFrame, cohort: DataFrame, site: str | None = None) -> DataFrame:
+    """Diagnosis facts of the cohort's encounters by diagnosis key, with their admission evidence."""
+    on = ["diagnosiskey"] if site is None else ["diagnosiskey", site]
+    evidence = poa_qualified(F.col("presentonadmission"), F.col("type")).alias("poa_qualified")
+    return dx.join(cohort.select(KEY), KEY, "left_semi").select(KEY, *on, evidence)
+
+
+def term_codes(terms: DataFrame, spelling: str = "dots", site: str | None = None) -> DataFrame:
+    """ICD-10-CM codes by diagnosis key."""
+    on = ["diagnosiskey"] if site is None else ["diagnosiskey", site]
+    return icd10_terms(terms).select(*on, normalise_icd(F.col("value"), spelling).alias("icd_code"))
+
+
+def by_fact_key(mapping: DataFrame, codes: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    """The mapping by what facts are joined on, and the names of that: codes as they are, or diagnosis keys."""
+    if codes is None:
+        return mapping, ["icd_code"]
+    on = [c for c in codes.columns if c != "icd_code"]
+    return codes.join(mapping, "icd_code").drop("icd_code").distinct(), on
+
+
+def _matches(dx: DataFrame, mapping: DataFrame, codes: DataFrame | None) -> DataFrame:
+    """``(encounter, category, evidence)`` from a mapping with ``category`` and ``poa_dependent``."""
+    keyed, on = by_fact_key(mapping, codes)
+    evidence = ~F.col("poa_dependent") | F.col("poa_qualified")
+    return dx.join(keyed, on).select(KEY, "category", evidence.alias("evidence"))
+
+
 def _long(matches: DataFrame) -> DataFrame:
     return matches.groupBy(KEY, "category").agg(F.bool_or("evidence").alias("poa"))
 
@@ -66,65 +99,107 @@ def poa_only(long: DataFrame) -> DataFrame:
     return long.where("poa").select(KEY, "category")
 
 
-def ahrq_long(dx: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Refined Elixhauser categories by exact code.
-
-    Whether a category needs evidence is decided on the mapping's own categories, before the two parts
-    of cerebrovascular disease are merged.
-    """
+def _ahrq_mapping(mapping: DataFrame) -> DataFrame:
     dependent = F.col("category").isin(fv.AHRQ_POA_DEPENDENT)
     merged = reduce(
         lambda chain, item: F.when(F.col("category") == item[0], item[1]).otherwise(chain),
         fv.AHRQ_MERGED.items(),
         F.col("category"),
     )
-    tagged = mapping.select("icd_code", merged.alias("category"), dependent.alias("poa_dependent"))
-    matches = dx.join(tagged, "icd_code").select(
-        KEY, "category", (~F.col("poa_dependent") | F.col("poa_qualified")).alias("evidence")
-    )
-    return _long(matches)
+    return mapping.select("icd_code", merged.alias("category"), dependent.alias("poa_dependent"))
+
+
+def ahrq_long(dx: DataFrame, mapping: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Refined Elixhauser categories by exact code.
+
+    Whether a category needs evidence is decided on the mapping's own categories, before the two parts
+    of cerebrovascular disease are merged.
+    """
+    return _long(_matches(dx, _ahrq_mapping(mapping), codes))
 
 
 def quan_prefixes(spark) -> DataFrame:
     """The 399 (prefix, category) rows of the published mapping."""
     rows = [
         (prefix, category, category not in fv.QUAN_POA_EXEMPT)
-        for category, codes in fv.QUAN_CODES.items()
-        for prefix in fv.expand_icd_ranges(codes)
+        for category, prefixes in fv.QUAN_CODES.items()
+        for prefix in prefixes
     ]
     return spark.createDataFrame(rows, "prefix string, category string, poa_dependent boolean")
 
 
-def quan_long(dx: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
-    """Elixhauser categories by code prefix.
+QUAN_LENGTHS = (3, 4)
 
-    All prefixes have three or four characters, so a code is looked up by its first three and its first
-    four characters: an equality join with a table of fixed size instead of a LIKE against every prefix.
+
+def prefix_mapping(codes: DataFrame, prefixes: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``prefixes`` as a mapping of the whole codes in ``codes``.
+
+    A code is looked up by its first characters in each of ``lengths``: an equality join instead of a LIKE against
+    every prefix.  A prefix of another length would never be found, so it fails the query.
     """
+    sizes = sorted(set(lengths))
+    known = F.length("prefix").isin(sizes)
+    message = F.concat(F.lit(f"prefix of a length not among {sizes}: "), F.col("prefix"))
+    checked = prefixes.withColumn("prefix", F.when(known, F.col("prefix")).otherwise(F.raise_error(message)))
+    heads = F.array_distinct(F.array(*[F.left("icd_code", F.lit(n)) for n in sizes]))
+    whole = codes.select("icd_code").distinct()
+    return whole.select("icd_code", F.explode(heads).alias("prefix")).join(checked, "prefix").drop("prefix").distinct()
+
+
+def quan_long(
+    dx: DataFrame,
+    prefixes: DataFrame | None = None,
+    codes: DataFrame | None = None,
+    lengths: Sequence[int] = QUAN_LENGTHS,
+) -> DataFrame:
+    """Elixhauser categories by code prefix; ``lengths`` are those of the prefixes."""
     if prefixes is None:
-        prefixes = F.broadcast(quan_prefixes(dx.sparkSession))
-    heads = F.array_distinct(F.array(F.left("icd_code", F.lit(3)), F.left("icd_code", F.lit(4))))
-    matches = (
-        dx.select(KEY, "poa_qualified", F.explode(heads).alias("prefix"))
-        .join(prefixes, "prefix")
-        .select(KEY, "category", (~F.col("poa_dependent") | F.col("poa_qualified")).alias("evidence"))
-    )
-    return _long(matches)
+        prefixes = quan_prefixes(dx.sparkSession)
+    mapping = prefix_mapping(dx if codes is None else codes, prefixes, lengths)
+    return _long(_matches(dx, mapping, codes))
 
 
-def ccsr_long(dx: DataFrame, mapping: DataFrame) -> DataFrame:
+def ccsr_long(dx: DataFrame, mapping: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """CCSR categories; every category needs evidence in the present-on-admission variant."""
-    matches = dx.join(mapping, "icd_code").select(KEY, "category", F.col("poa_qualified").alias("evidence"))
-    return _long(matches)
+    return _long(_matches(dx, mapping.withColumn("poa_dependent", F.lit(True)), codes))
 
 
 BITS = 60
 
 
-def category_bits(spark, categories: Sequence[str]) -> DataFrame:
-    """Word and bit of each category; the table is as long as the list of output columns."""
-    rows = [(c, i // BITS, 1 << (i % BITS)) for i, c in enumerate(categories)]
-    return F.broadcast(spark.createDataFrame(rows, "category string, word int, bit long"))
+def _bit(categories: Sequence[str]) -> tuple[Column, Column]:
+    """Word and bit of a category, null where it is not listed, as lookups in literal maps."""
+    def table(value) -> Column:
+        return F.create_map(*[x for i, c in enumerate(categories) for x in (F.lit(c), F.lit(value(i)))])
+
+    category = F.col("category")
+    return F.element_at(table(lambda i: i // BITS), category), F.element_at(table(lambda i: 1 << (i % BITS)), category)
+
+
+def _refused(category: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("category without a column: "), category))
+
+
+def bit_masks(long: DataFrame, categories: Sequence[str], variants: Mapping[str, Column], name: str = "") -> list[Column]:
+    """Aggregates that OR the categories of a group together, for each variant the rows where its condition holds.
+
+    A category without a place among ``categories`` fails the query, as it would be lost."""
+    word, bit = _bit(categories)
+    word = F.coalesce(word, _refused(F.col("category")).cast("int"))
+    return [
+        F.bit_or(F.when((word == i) & condition, bit)).alias(f"_{name}{variant}{i}")
+        for variant, condition in variants.items()
+        for i in range((len(categories) + BITS - 1) // BITS)
+    ]
+
+
+def bit_flags(categories: Sequence[str], prefix: str, variant: str, name: str = "") -> list[Column]:
+    """The 0/1 columns read off the masks of a variant."""
+    return [
+        F.when(F.col(f"_{name}{variant}{i // BITS}").bitwiseAND(F.lit(1 << (i % BITS))) != 0, 1)
+        .otherwise(0).cast("byte").alias(prefix + c.lower())
+        for i, c in enumerate(categories)
+    ]
 
 
 def to_wide(
@@ -133,21 +208,11 @@ def to_wide(
     """One 0/1 column per category for every encounter of the cohort.
 
     The categories of an encounter are gathered as bits of a few long values, which is a hash aggregate
-    with map-side reduction whatever the number of columns, and the columns are read off the bits.
+    with map-side reduction whatever the number of columns, and the columns are read off the bits.  A category that
+    is not listed fails the query.
     """
-    words = range((len(categories) + BITS - 1) // BITS)
-    bits = long.select(KEY, "category").join(category_bits(long.sparkSession, categories), "category")
-    masks = bits.groupBy(KEY).agg(
-        *[F.bit_or(F.when(F.col("word") == i, F.col("bit"))).alias(f"_w{i}") for i in words]
-    )
-    flags = [
-        F.when(F.col(f"_w{i // BITS}").bitwiseAND(F.lit(1 << (i % BITS))) != 0, 1)
-        .otherwise(0)
-        .cast("byte")
-        .alias(prefix + c.lower())
-        for i, c in enumerate(categories)
-    ]
-    return cohort.select(KEY).distinct().join(masks, KEY, "left").select(KEY, *flags)
+    masks = long.select(KEY, "category").groupBy(KEY).agg(*bit_masks(long, categories, {"w": F.lit(True)}))
+    return cohort.select(KEY).distinct().join(masks, KEY, "left").select(KEY, *bit_flags(categories, prefix, "w"))
 
 
 def weighted_score(long: DataFrame, cohort: DataFrame, weights: Mapping[str, int]) -> DataFrame:
@@ -169,36 +234,65 @@ def weighted_score(long: DataFrame, cohort: DataFrame, weights: Mapping[str, int
     )
 
 
-def elixhauser_features(ahrq: DataFrame, quan: DataFrame, cohort: DataFrame) -> DataFrame:
-    """Both mappings in both variants as 0/1 columns, with score and count of each, in one pivot."""
-    systems = {"ahrq": (ahrq, fv.VW_WEIGHTS_AHRQ), "quan": (quan, fv.VW_WEIGHTS_QUAN)}
-    stacked, columns, scores = None, [], []
-    for system, (long, weights) in systems.items():
-        names = F.array(
-            F.concat(F.lit(f"{system}_all_"), F.lower("category")),
-            F.when(F.col("poa"), F.concat(F.lit(f"{system}_poa_"), F.lower("category"))),
-        )
-        rows = long.select(KEY, F.explode(names).alias("category")).where(F.col("category").isNotNull())
-        stacked = rows if stacked is None else stacked.unionByName(rows)
+def elixhauser_features(
+    dx: DataFrame,
+    cohort: DataFrame,
+    ahrq: DataFrame,
+    quan: DataFrame | None = None,
+    codes: DataFrame | None = None,
+    lengths: Sequence[int] = QUAN_LENGTHS,
+    categories: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """Both Elixhauser mappings in both variants as 0/1 columns, with score and count of each.
+
+    One pass: a fact is joined once with the categories of both mappings, and one aggregation per encounter ORs
+    the bits of all four variants.  ``categories`` lists the columns of each mapping, by default those that have
+    a weight; a listed category without a weight is a column and counts, and scores nothing.
+    """
+    weights = {"ahrq": fv.VW_WEIGHTS_AHRQ, "quan": fv.VW_WEIGHTS_QUAN}
+    listed = {system: list((categories or weights)[system]) for system in weights}
+    if quan is None:
+        quan = quan_prefixes(dx.sparkSession)
+    by_prefix = prefix_mapping(dx if codes is None else codes, quan, lengths)
+    both = _ahrq_mapping(ahrq).withColumn("category", F.concat(F.lit("ahrq_"), "category")).unionByName(
+        by_prefix.withColumn("category", F.concat(F.lit("quan_"), "category"))
+    )
+    names = [f"{system}_{c}" for system in weights for c in listed[system]]
+    masks = _matches(dx, both, codes).groupBy(KEY).agg(
+        *bit_masks(dx, names, {"all": F.lit(True), "poa": F.col("evidence")})
+    )
+    wide = cohort.select(KEY).distinct().join(masks, KEY, "left")
+    columns, scores = [], []
+    for variant in ("all", "poa"):
+        # the mapping's name leads a column, the variant comes second
+        for flag, name in zip(bit_flags(names, "", variant), names, strict=True):
+            system, _, category = name.partition("_")
+            columns.append(flag.alias(f"{system}_{variant}_{category.lower()}"))
+    for system, table in weights.items():
         for variant in ("all", "poa"):
             prefix = f"{system}_{variant}_"
-            columns += [prefix + c.lower() for c in weights]
-            weighted = [F.col(prefix + c.lower()).cast("int") * w for c, w in weights.items() if w]
-            counted = [F.col(prefix + c.lower()).cast("int") for c in weights]
+            flags = {c: F.col(prefix + c.lower()).cast("int") for c in listed[system]}
+            weighted = [flag * table[c] for c, flag in flags.items() if table.get(c)]
             scores += [
-                reduce(lambda a, b: a + b, weighted).cast("short").alias(prefix + "vw_score"),
-                reduce(lambda a, b: a + b, counted).cast("byte").alias(prefix + "count"),
+                reduce(lambda a, b: a + b, weighted, F.lit(0)).cast("short").alias(prefix + "vw_score"),
+                reduce(lambda a, b: a + b, flags.values()).cast("byte").alias(prefix + "count"),
             ]
-    return to_wide(stacked, cohort, columns).select("*", *scores)
+    return wide.select(KEY, *columns).select("*", *scores)
+
 
+def prevalence(long: DataFrame, cohort: DataFrame, labels: Mapping[str, str] | DataFrame | None = None) -> DataFrame:
+    """Encounters per category, with and without evidence, as count and share of the cohort.
 
-def prevalence(long: DataFrame, cohort: DataFrame, labels: Mapping[str, str] | None = None) -> DataFrame:
-    """Encounters per category, with and without evidence, as count and share of the cohort."""
+    ``labels`` name the categories, as a dictionary or as a table of ``(category, label)``.
+    """
     total = cohort.agg(F.count_distinct(KEY)).scalar()
     counts = long.groupBy("category").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("poa"), True)).alias("n_poa")
     )
-    if labels:
+    if isinstance(labels, DataFrame):
+        named = labels.select("category", "label").dropDuplicates(["category"])
+        counts = counts.join(named, "category", "left").withColumn("label", F.coalesce("label", "category"))
+    elif labels:
         table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
         counts = counts.withColumn(
             "label", F.coalesce(F.element_at(table, F.col("category")), F.col("category"))
@@ -232,6 +326,35 @@ def any_category(long: DataFrame, cohort: DataFrame) -> DataFrame:
     )
 
 
+def all_systems(longs: Mapping[str, DataFrame]) -> DataFrame:
+    """Long tables of several systems under one another, with the system in front of each category."""
+    parts = [
+        long.select(KEY, F.lit(system).alias("system"), F.col("category").cast("string").alias("category"), "poa")
+        for system, long in longs.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def prevalence_all(longs: Mapping[str, DataFrame], cohort: DataFrame) -> DataFrame:
+    """As :func:`prevalence`, one row per system and category, from one aggregation."""
+    total = cohort.agg(F.count_distinct(KEY)).scalar()
+    counts = all_systems(longs).groupBy("system", "category").agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("poa"), True)).alias("n_poa")
+    )
+    return counts.withColumns({"pct": 100.0 * F.col("n") / total, "pct_poa": 100.0 * F.col("n_poa") / total})
+
+
+def poa_impact_all(prevalences: DataFrame, min_points: float = 0.1, k: int = 10) -> DataFrame:
+    """As :func:`poa_impact`, the ``k`` largest drops of each system."""
+    window = Window.partitionBy("system").orderBy(F.desc("delta_pct"), "category")
+    return (
+        prevalences.withColumn("delta_pct", F.col("pct") - F.col("pct_poa"))
+        .where(F.col("delta_pct") > min_points)
+        .withColumn("rank", F.row_number().over(window))
+        .where(F.col("rank") <= k)
+    )
+
+
 def poa_impact(prevalences: DataFrame, min_points: float = 0.1, k: int = 10) -> DataFrame:
     """Categories whose share drops most when evidence is asked for, in percentage points."""
     drop = F.col("pct") - F.col("pct_poa")
@@ -243,6 +366,38 @@ def poa_impact(prevalences: DataFrame, min_points: float = 0.1, k: int = 10) ->
     )
 
 
+def ccsr_features(long: DataFrame, cohort: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """Both variants of every category as 0/1 columns, with the numbers of categories and body systems of each.
+
+    One aggregation per encounter makes the bits; the counts are read off them, as a system has a category where
+    one of its bits is set.
+    """
+    masks = long.groupBy(KEY).agg(*bit_masks(long, categories, {"all": F.lit(True), "poa": F.col("poa")}))
+    wide = cohort.select(KEY).distinct().join(masks, KEY, "left")
+    words = range((len(categories) + BITS - 1) // BITS)
+    by_system: dict[str, dict[int, int]] = {}
+    for i, c in enumerate(categories):
+        word = by_system.setdefault(c[:3], {})
+        word[i // BITS] = word.get(i // BITS, 0) | 1 << (i % BITS)
+
+    def total(parts: list[Column]) -> Column:
+        return reduce(lambda a, b: a + b, parts, F.lit(0))
+
+    flags, counts = [], []
+    for variant in ("all", "poa"):
+        mask = [F.coalesce(F.col(f"_{variant}{i}"), F.lit(0).cast("long")) for i in words]
+        held = [
+            reduce(lambda a, b: a | b, [mask[i].bitwiseAND(F.lit(bits)) != 0 for i, bits in parts.items()])
+            for parts in by_system.values()
+        ]
+        flags += bit_flags(categories, f"ccsr_{variant}_", variant)
+        counts += [
+            total([F.bit_count(m) for m in mask]).cast("short").alias(f"ccsr_{variant}_count"),
+            total([h.cast("int") for h in held]).cast("short").alias(f"ccsr_{variant}_sys_count"),
+        ]
+    return wide.select(KEY, *flags, *counts)
+
+
 def ccsr_counts(long: DataFrame, cohort: DataFrame) -> DataFrame:
     """Number of categories and of body systems, for both variants."""
     system = F.left("category", F.lit(3))

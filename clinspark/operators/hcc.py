@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
-from clinspark.functions.scalars import age_completed
+from clinspark.functions.quantiles import numeric_profile
+from clinspark.functions.scalars import age_completed, n_pct
+from clinspark.operators.comorbidity import by_fact_key
 
 KEY = "encounterkey"
 DROPPED = -1
@@ -23,16 +25,20 @@ def _ints(values: Sequence[int]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def hcc_cc_set(dx: DataFrame, crosswalk: DataFrame, key: str = KEY, poa_only: bool = False) -> DataFrame:
+def hcc_cc_set(
+    dx: DataFrame, crosswalk: DataFrame, key: str = KEY, poa_only: bool = False, codes: DataFrame | None = None
+) -> DataFrame:
     """The set of condition categories per encounter.
 
-    A ``cc_override`` column, as made by :func:`age_sex_edits`, replaces the crosswalk: a category of its
+    ``dx`` holds codes, or facts whose codes are in ``codes`` (see :mod:`clinspark.operators.comorbidity`).  A
+    ``cc_override`` column, as made by :func:`age_sex_edits`, replaces the crosswalk: a category of its
     own, or no category at all.
     """
     if poa_only:
         dx = dx.where("poa_qualified")
     if "cc_override" not in dx.columns:
-        mapped = dx.join(crosswalk, "icd_code").select(key, "hcc")
+        keyed, on = by_fact_key(crosswalk, codes)
+        mapped = dx.join(keyed, on).select(key, "hcc")
     else:
         mapped = (
             dx.join(crosswalk, "icd_code", "left")
@@ -42,6 +48,15 @@ def hcc_cc_set(dx: DataFrame, crosswalk: DataFrame, key: str = KEY, poa_only: bo
     return mapped.groupBy(key).agg(F.sort_array(F.collect_set("hcc")).alias("cc"))
 
 
+def hcc_cc_sets(dx: DataFrame, crosswalk: DataFrame, key: str = KEY, codes: DataFrame | None = None) -> DataFrame:
+    """Both variants of the set in one row, ``cc`` and ``cc_poa``, from one aggregation."""
+    keyed, on = by_fact_key(crosswalk, codes)
+    qualified = F.when(F.col("poa_qualified"), F.col("hcc"))
+    return dx.join(keyed, on).groupBy(key).agg(
+        F.sort_array(F.collect_set("hcc")).alias("cc"), F.sort_array(F.collect_set(qualified)).alias("cc_poa")
+    )
+
+
 def heart_patch(cc: Column) -> Column:
     """The patched category goes when none of the other heart categories is there."""
     patched, others = fv.HCC_HEART_PATCH
@@ -49,9 +64,24 @@ def heart_patch(cc: Column) -> Column:
     return F.when(alone, F.array_remove(cc, patched)).otherwise(cc)
 
 
-def apply_hierarchy(cc: Column, rules: Sequence[tuple[int, Sequence[int]]] = fv.HCC_HIERARCHY) -> Column:
-    """Drop what each parent suppresses, rule by rule; a parent dropped earlier suppresses nothing."""
-    table = F.array(*[F.struct(F.lit(p).alias("p"), _ints(c).alias("c")) for p, c in rules])
+def rule_table(rules: DataFrame) -> Column:
+    """Hierarchy rules read from a file, ``(position, parent, children)``, as one array in their order.
+
+    A scalar subquery, so nothing is collected while the plan is built; there are some sixty rules.
+    """
+    rows = F.sort_array(F.collect_list(F.struct("position", F.col("parent").alias("p"), F.col("children").alias("c"))))
+    return rules.agg(rows.alias("rules")).scalar()
+
+
+def apply_hierarchy(cc: Column, rules: Sequence[tuple[int, Sequence[int]]] | DataFrame = fv.HCC_HIERARCHY) -> Column:
+    """Drop what each parent suppresses, rule by rule; a parent dropped earlier suppresses nothing.
+
+    ``rules`` are pairs, or the table that :func:`clinspark.sources.mappings.hcc_hierarchy` reads.
+    """
+    if isinstance(rules, DataFrame):
+        table = rule_table(rules)
+    else:
+        table = F.array(*[F.struct(F.lit(p).alias("p"), _ints(c).alias("c")) for p, c in rules])
 
     def step(kept: Column, rule: Column) -> Column:
         return F.when(F.array_contains(kept, rule["p"]), F.array_except(kept, rule["c"])).otherwise(kept)
@@ -105,9 +135,11 @@ def _features(hcc: Column, products: dict[str, Column]) -> Column:
     return F.array_compact(F.concat(_hcc_names(hcc), terms))
 
 
-def hcc_sets(dx: DataFrame, crosswalk: DataFrame, key: str = KEY, poa_only: bool = False) -> DataFrame:
+def hcc_sets(
+    dx: DataFrame, crosswalk: DataFrame, key: str = KEY, poa_only: bool = False, codes: DataFrame | None = None
+) -> DataFrame:
     """Categories after the heart patch and the hierarchy, one row per encounter with a category."""
-    sets = hcc_cc_set(dx, crosswalk, key, poa_only)
+    sets = hcc_cc_set(dx, crosswalk, key, poa_only, codes)
     return sets.select(key, apply_hierarchy(heart_patch(F.col("cc"))).alias("hcc"))
 
 
@@ -124,9 +156,89 @@ def raf_score(sets: DataFrame, coefficients: DataFrame, key: str = KEY) -> DataF
 
 
 def hcc_features(
-    dx: DataFrame, crosswalk: DataFrame, coefficients: DataFrame, poa_only: bool = False
+    dx: DataFrame, crosswalk: DataFrame, coefficients: DataFrame, poa_only: bool = False, codes: DataFrame | None = None
 ) -> DataFrame:
-    return raf_score(hcc_sets(dx, crosswalk, poa_only=poa_only), coefficients)
+    return raf_score(hcc_sets(dx, crosswalk, poa_only=poa_only, codes=codes), coefficients)
+
+
+VARIANTS = ("all", "poa")
+
+
+def hcc_both(
+    dx: DataFrame, crosswalk: DataFrame, coefficients: DataFrame, codes: DataFrame | None = None, key: str = KEY
+) -> DataFrame:
+    """Categories, count and score of both variants side by side, one row per encounter with a category.
+
+    Columns are ``hcc_<variant>``, ``n_<variant>`` and ``raf_<variant>``.  The terms of both variants are scored by
+    one join and one aggregation.
+    """
+    final = hcc_cc_sets(dx, crosswalk, key, codes).select(
+        key, apply_hierarchy(heart_patch(F.col("cc"))).alias("hcc_all"),
+        apply_hierarchy(heart_patch(F.col("cc_poa"))).alias("hcc_poa"),
+    )
+    named = [
+        F.struct(F.lit(v).alias("variant"), _features(F.col(f"hcc_{v}"), _products(F.col(f"hcc_{v}"), fv.HCC_INTERACTIONS)).alias("f"))
+        for v in VARIANTS
+    ]
+    terms = final.select(key, F.explode(F.array(*named)).alias("t")).select(key, "t.variant", F.explode("t.f").alias("feature"))
+    exact = coefficients.select("feature", F.col("coef").cast("decimal(12,6)").alias("coef"))
+    sums = [F.sum(F.when(F.col("variant") == v, F.col("coef"))).alias(f"_{v}") for v in VARIANTS]
+    scores = terms.join(exact, "feature").groupBy(key).agg(*sums)
+    columns = []
+    for v in VARIANTS:
+        columns += [
+            f"hcc_{v}", F.size(f"hcc_{v}").alias(f"n_{v}"),
+            F.coalesce(F.col(f"_{v}"), F.lit(0)).cast("double").alias(f"raf_{v}"),
+        ]
+    return final.join(scores, key, "left").select(key, *columns)
+
+
+def hcc_long(both: DataFrame) -> DataFrame:
+    """Categories of :func:`hcc_both` in the long form of the other systems.
+
+    The hierarchy can leave a category in the present-on-admission variant alone, where its parent lacks
+    evidence; such a row has ``poa`` without being among the categories of all diagnoses, so it is left out here.
+    """
+    return both.select(KEY, F.explode("hcc_all").alias("hcc"), "hcc_poa").select(
+        KEY, F.concat(F.lit("HCC"), F.col("hcc").cast("string")).alias("category"),
+        F.array_contains("hcc_poa", F.col("hcc")).alias("poa"),
+    )
+
+
+def hcc_features_wide(both: DataFrame, cohort: DataFrame, categories: Sequence[int] = fv.HCC_NUMBERS) -> DataFrame:
+    """Both variants of every category as 0/1 columns, with count and score, for every encounter of the cohort."""
+    columns = []
+    for v in VARIANTS:
+        held = F.col(f"hcc_{v}")
+        columns += [
+            F.coalesce(F.array_contains(held, c), F.lit(False)).cast("byte").alias(f"hcc_{v}_hcc{c}") for c in categories
+        ]
+        columns += [
+            F.coalesce(f"raf_{v}", F.lit(0.0)).cast("float").alias(f"hcc_{v}_raf_score"),
+            F.coalesce(f"n_{v}", F.lit(0)).cast("byte").alias(f"hcc_{v}_count"),
+        ]
+    return cohort.select(KEY).distinct().join(both, KEY, "left").select(KEY, *columns)
+
+
+def hcc_summary(both: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Per variant: encounters with any category and their share, mean count, mean and median score of the cohort."""
+    every = cohort.select(KEY).distinct().join(both, KEY, "left")
+    rows = [
+        F.struct(
+            F.lit(v).alias("variant"), F.coalesce(f"n_{v}", F.lit(0)).alias("n"),
+            F.coalesce(f"raf_{v}", F.lit(0.0)).alias("raf"),
+        )
+        for v in VARIANTS
+    ]
+    long = every.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    counts = long.groupBy("variant").agg(
+        F.count(F.when(F.col("n") > 0, True)).alias("n_any"), F.count("*").alias("_total"), F.avg("n").alias("mean_count")
+    )
+    profile = numeric_profile(long, ["variant"], "raf", {"median": 0.5})
+    profile = profile.select("variant", F.col("mean").alias("mean_raf"), F.col("median").alias("median_raf"))
+    return counts.join(profile, "variant").select(
+        "variant", "n_any", n_pct(F.col("n_any"), F.col("_total"), 4).alias("pct_any"), "mean_count", "mean_raf", "median_raf"
+    )
 
 
 def hcc_wide(

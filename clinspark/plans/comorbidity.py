@@ -80,7 +80,7 @@ shared("hcc_map", values_sql(pairs(HCC), "icd_code, hcc"))
 shared("ccsr_map", values_sql(pairs(CCSR), "icd_code, category"))
 shared("coefs", values_sql(list(COEFFICIENTS.items()), "feature, coef"))
 shared("quan_map", values_sql(
-    [(p, c, c not in fv.QUAN_POA_EXEMPT) for c, text in fv.QUAN_CODES.items() for p in fv.expand_icd_ranges(text)],
+    [(p, c, c not in fv.QUAN_POA_EXEMPT) for c, prefixes in fv.QUAN_CODES.items() for p in prefixes],
     "prefix, category, poa_dependent"))
 
 # --- mapping tables -----------------------------------------------------------------------------------
@@ -174,14 +174,19 @@ def codes(w, spelling, **options):
     return cm.dx_code_set(dx, terms, cohort(w), spelling, **options)
 
 
-def codes_dots(w):
-    return codes(w, "dots", distinct=False)
-
-
 def codes_full(w):
     return codes(w, "full", distinct=False)
 
 
+def facts(w):
+    """Diagnosis facts of both sites by diagnosis key; the keys of the sites clash, as in the default code set."""
+    return cm.dx_facts(sites(w)[0], cohort(w))
+
+
+def terms(w, spelling):
+    return cm.term_codes(sites(w)[1], spelling)
+
+
 @query("dx_code_set", "SELECT * FROM {codes_dots}")
 def _(w):
     return codes(w, "dots")
@@ -216,15 +221,15 @@ shared("ccsr", """
 
 
 def ahrq(w):
-    return cm.ahrq_long(codes_dots(w), ahrq_map(w))
+    return cm.ahrq_long(facts(w), ahrq_map(w), terms(w, "dots"))
 
 
 def quan(w):
-    return cm.quan_long(codes_dots(w))
+    return cm.quan_long(facts(w), codes=terms(w, "dots"))
 
 
 def ccsr(w):
-    return cm.ccsr_long(codes_full(w), ccsr_map(w))
+    return cm.ccsr_long(facts(w), ccsr_map(w), terms(w, "full"))
 
 
 SYSTEMS = {"ahrq": ahrq, "quan": quan, "ccsr": ccsr}
@@ -277,8 +282,8 @@ def variant_sql(system, categories, weights, variant):
     return f"""
         SELECT c.encounterkey, {wide_sql(system, categories, prefix, where)},
                coalesce(sum(weight) FILTER (WHERE {where}), 0)::BIGINT AS {prefix}vw_score,
-               count(weight) FILTER (WHERE {where}) AS {prefix}count
-        FROM {{gcohort}} c LEFT JOIN ({{{system}}} q JOIN {{{weights}}} USING (category))
+               count(category) FILTER (WHERE {where}) AS {prefix}count
+        FROM {{gcohort}} c LEFT JOIN ({{{system}}} q LEFT JOIN {{{weights}}} USING (category))
           ON c.encounterkey = q.encounterkey GROUP BY c.encounterkey"""
 
 
@@ -288,7 +293,24 @@ def variant_sql(system, categories, weights, variant):
            for system, weights, table in (("ahrq", fv.VW_WEIGHTS_AHRQ, "vw_ahrq"), ("quan", fv.VW_WEIGHTS_QUAN, "vw"))
            for variant in ("all", "poa")]))
 def _(w):
-    return cm.elixhauser_features(ahrq(w), quan(w), cohort(w))
+    return cm.elixhauser_features(facts(w), cohort(w), ahrq_map(w), codes=terms(w, "dots"))
+
+
+# prefixes of three lengths, and a category that has no weight
+PREFIXES = [("I4261", "deep", True), ("E112", "mid", False), ("I426", "alcohol", False), ("J44", "cpd", True), ("K746", "unweighted", False)]
+shared("prefix_map", values_sql(PREFIXES, "prefix, category, poa_dependent"))
+shared("by_prefix", """
+    SELECT encounterkey, category, bool_or(NOT poa_dependent OR poa_qualified) AS poa
+    FROM (SELECT encounterkey, CASE WHEN icd_code = 'I426' AND encounterkey % 2 = 0 THEN 'I4261' ELSE icd_code END AS icd_code,
+                 poa_qualified FROM {codes_dots})
+    JOIN {prefix_map} ON icd_code LIKE prefix || '%' GROUP BY 1, 2""")
+
+
+@query("quan_long_prefixes", "SELECT * FROM {by_prefix}")
+def _(w):
+    longer = F.when((F.col("icd_code") == "I426") & (F.col("encounterkey") % 2 == 0), "I4261").otherwise(F.col("icd_code"))
+    table = w.spark.createDataFrame(PREFIXES, "prefix string, category string, poa_dependent boolean")
+    return cm.quan_long(codes(w, "dots", distinct=False).withColumn("icd_code", longer), table, lengths=(3, 4, 5))
 
 
 shared("prev", """
@@ -323,6 +345,44 @@ def _(w):
     return rounded(cm.poa_impact(cm.prevalence(quan(w), cohort(w))), "pct", "pct_poa", "delta_pct")
 
 
+def all_sql(source):
+    return " UNION ALL ".join(f"SELECT '{system}' AS system, encounterkey, category, poa FROM {{{table}}}" for system, table in source.items())
+
+
+shared("hcc_rows", """
+    SELECT a.encounterkey, 'HCC' || a.h AS category, p.h IS NOT NULL AS poa
+    FROM (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final}) a
+    LEFT JOIN (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final_poa}) p ON a.encounterkey = p.encounterkey AND a.h = p.h""")
+shared("systems", all_sql({"ahrq": "ahrq", "quan": "quan", "hcc": "hcc_rows", "ccsr": "ccsr"}))
+shared("prev_all", """
+    SELECT system, category, count(*) AS n, count(*) FILTER (WHERE poa) AS n_poa,
+           100.0 * n / (SELECT count(*) FROM {gcohort}) AS pct,
+           100.0 * n_poa / (SELECT count(*) FROM {gcohort}) AS pct_poa
+    FROM {systems} GROUP BY system, category""")
+
+
+def hcc_both(w):
+    return hc.hcc_both(facts(w), hcc_map(w), coefficients(w), terms(w, "full"))
+
+
+def four_systems(w):
+    return {"ahrq": ahrq(w), "quan": quan(w), "hcc": hc.hcc_long(hcc_both(w)), "ccsr": ccsr(w)}
+
+
+@query("prevalence_all", "SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa) FROM {prev_all}")
+def _(w):
+    return rounded(cm.prevalence_all(four_systems(w), cohort(w)), "pct", "pct_poa")
+
+
+@query("poa_impact_all", """
+    SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa, round(delta_pct, 6) AS delta_pct) FROM (
+      SELECT *, pct - pct_poa AS delta_pct,
+             row_number() OVER (PARTITION BY system ORDER BY pct - pct_poa DESC, category) AS rank
+      FROM {prev_all} WHERE pct - pct_poa > 0.1) WHERE rank <= 10""")
+def _(w):
+    return rounded(cm.poa_impact_all(cm.prevalence_all(four_systems(w), cohort(w))), "pct", "pct_poa", "delta_pct")
+
+
 @query("ccsr_counts", """
     SELECT c.encounterkey, count(category) AS ccsr_all_count, count(category) FILTER (WHERE poa) AS ccsr_poa_count,
            count(DISTINCT left(category, 3)) AS ccsr_all_sys_count,
@@ -342,6 +402,16 @@ def _(w):
     return cm.to_wide(cm.poa_only(ccsr(w)), cohort(w), CCSR_CATEGORIES, "ccsr_poa_")
 
 
+@query("ccsr_features", f"""
+    SELECT c.encounterkey, {wide_sql("ccsr", CCSR_CATEGORIES, "ccsr_all_")}, {wide_sql("ccsr", CCSR_CATEGORIES, "ccsr_poa_", "poa")},
+           count(category) AS ccsr_all_count, count(category) FILTER (WHERE poa) AS ccsr_poa_count,
+           count(DISTINCT left(category, 3)) AS ccsr_all_sys_count,
+           count(DISTINCT left(category, 3)) FILTER (WHERE poa) AS ccsr_poa_sys_count
+    FROM {{gcohort}} c LEFT JOIN {{ccsr}} q ON c.encounterkey = q.encounterkey GROUP BY c.encounterkey""")
+def _(w):
+    return cm.ccsr_features(ccsr(w), cohort(w), CCSR_CATEGORIES)
+
+
 shared("system_names", values_sql(list(fv.CCSR_SYSTEMS.items()), "system, name"))
 
 
@@ -418,17 +488,17 @@ TEXT = "list_aggregate(list_sort({}), 'string_agg', ',')"
 
 
 def hcc_sets(w, poa_only=False):
-    return hc.hcc_sets(codes_full(w), hcc_map(w), poa_only=poa_only)
+    return hc.hcc_sets(facts(w), hcc_map(w), poa_only=poa_only, codes=terms(w, "full"))
 
 
 @query("hcc_cc_set", f"SELECT encounterkey, {TEXT.format('cc')} AS cc FROM {{cc}}")
 def _(w):
-    return as_text(hc.hcc_cc_set(codes_full(w), hcc_map(w)), "cc")
+    return as_text(hc.hcc_cc_set(facts(w), hcc_map(w), codes=terms(w, "full")), "cc")
 
 
 @query("hcc_heart_patch", f"SELECT encounterkey, {TEXT.format('hcc')} AS hcc FROM {{patched}}")
 def _(w):
-    sets = hc.hcc_cc_set(codes_full(w), hcc_map(w))
+    sets = hc.hcc_cc_set(facts(w), hcc_map(w), codes=terms(w, "full"))
     return as_text(sets.select("encounterkey", hc.heart_patch(F.col("cc")).alias("hcc")), "hcc")
 
 
@@ -461,7 +531,7 @@ def _(w):
 def register_raf(name, source, poa_only):
     @query(name, f"SELECT * REPLACE ({TEXT.format('hcc')} AS hcc, round(raf_score, 6) AS raf_score) FROM {{{source}}}")
     def _(w):
-        features = hc.hcc_features(codes_full(w), hcc_map(w), coefficients(w), poa_only)
+        features = hc.hcc_features(facts(w), hcc_map(w), coefficients(w), poa_only, terms(w, "full"))
         return rounded(as_text(features, "hcc"), "raf_score")
 
 
@@ -473,11 +543,36 @@ register_raf("hcc_raf_poa", "raf_poa", True)
        "coalesce(hcc_count, 0) AS hcc_all_count FROM {{gcohort}} c LEFT JOIN {{raf}} r ON c.encounterkey = r.encounterkey".format(
            ", ".join(f"coalesce(list_contains(hcc, {n}), false)::INT AS hcc_all_hcc{n}" for n in fv.HCC_NUMBERS)))
 def _(w):
-    features = hc.hcc_features(codes_full(w), hcc_map(w), coefficients(w))
+    features = hc.hcc_features(facts(w), hcc_map(w), coefficients(w), codes=terms(w, "full"))
     wide = hc.hcc_wide(features, cohort(w))
     return wide.withColumn("hcc_all_raf_score", F.round(F.col("hcc_all_raf_score").cast("double"), 4))
 
 
+def hcc_variant_sql(variant, source):
+    held = ", ".join(f"coalesce(list_contains(hcc, {n}), false)::INT AS hcc_{variant}_hcc{n}" for n in fv.HCC_NUMBERS)
+    return f"""SELECT c.encounterkey, {held}, round(coalesce(raf_score, 0), 4) AS hcc_{variant}_raf_score,
+        coalesce(hcc_count, 0) AS hcc_{variant}_count FROM {{gcohort}} c LEFT JOIN {{{source}}} r ON c.encounterkey = r.encounterkey"""
+
+
+@query("hcc_features_wide", f"SELECT * FROM ({hcc_variant_sql('all', 'raf')}) JOIN ({hcc_variant_sql('poa', 'raf_poa')}) USING (encounterkey)")
+def _(w):
+    wide = hc.hcc_features_wide(hcc_both(w), cohort(w))
+    scores = {f"hcc_{v}_raf_score": F.round(F.col(f"hcc_{v}_raf_score").cast("double"), 4) for v in hc.VARIANTS}
+    return wide.withColumns(scores)
+
+
+def hcc_summary_sql(variant, source):
+    return f"""SELECT '{variant}' AS variant, count(*) FILTER (WHERE hcc_count > 0) AS n_any, round(100.0 * n_any / count(*), 4) AS pct_any,
+        round(avg(coalesce(hcc_count, 0)), 6) AS mean_count, round(avg(coalesce(raf_score, 0)), 6) AS mean_raf,
+        round(quantile_cont(coalesce(raf_score, 0), 0.5), 6) AS median_raf
+        FROM {{gcohort}} c LEFT JOIN {{{source}}} r ON c.encounterkey = r.encounterkey"""
+
+
+@query("hcc_summary", f"{hcc_summary_sql('all', 'raf')} UNION ALL {hcc_summary_sql('poa', 'raf_poa')}")
+def _(w):
+    return rounded(hc.hcc_summary(hcc_both(w), cohort(w)), "mean_count", "mean_raf", "median_raf")
+
+
 GROUPS = ", ".join(f"CAST({any_of(ns)} AS INT) AS {name}" for name, ns in fv.HCC_GROUPS.items())
 DISABLED = ", ".join(
     f"CAST(disabl = 1 AND {any_of(fv.HCC_GROUPS[g])} AS INT) AS {name}" for name, g in fv.HCC_DISABLED_INTERACTIONS.items()
