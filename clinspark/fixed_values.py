@@ -634,3 +634,8 @@ CCSR_SYSTEMS = {
     "PNL": "Perinatal", "PRG": "Pregnancy", "RSP": "Respiratory", "SKN": "Skin", "SYM": "Symptoms/Signs",
 }
 POA_TYPES = ["Medical History", "Problem List"]
+
+# a hierarchy rule in the published macro text: parent, then children
+HIERARCHY_RULE = r"%SET0\s*\(\s*CC\s*=\s*(\d+)\s*,\s*HIER\s*=\s*%STR\(([^)]+)\)\s*\)"
+# a word that rules out one that comes after it
+RULED_OUT = r"WITHOUT\b.*\b"

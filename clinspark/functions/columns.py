@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    """All column names in lower case."""
-    return df.toDF(*[c.lower() for c in df.columns])
-
-
 def resolve_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
     """The first candidate that ``df`` has, whatever its case; ``None`` if it has none of them."""
     present = {c.lower(): c for c in df.columns}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clinspark.functions.columns import join_same
 
-RANGES = 256
+MIN_RANGES, MAX_RANGES = 256, 8192
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
 
@@ -23,36 +23,42 @@ def numeric_profile(
     groups: Sequence[str],
     value: str,
     probabilities: dict[str, float] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Per group: ``n``, ``missing``, ``mean``, ``sd`` (sample), ``min``, ``max`` and quantiles.
 
     Quantiles interpolate linearly and are named by the keys of ``probabilities``.  ``n`` counts the
-    rows that have a value.  Everything is derived from one count per distinct value, which is the only
-    shuffle of the input.
+    rows that have a value; NaN is no value.  Everything is derived from one count per distinct value, which is the
+    only shuffle of the input.  The distinct values of a group are cut into ``ranges``, by default eight for each
+    shuffle partition of the session, so that the largest unit of work shrinks as the cluster grows.
     """
     probabilities = QUARTILES if probabilities is None else probabilities
+    if ranges is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(MAX_RANGES, max(MIN_RANGES, 8 * partitions))
+    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     # without groups every distinct value carries the same key, made in the aggregation
     keys = list(groups) or ["_all"]
     same_key = [] if groups else [F.min(F.lit(0)).alias("_all")]
     # missing values are counted too and carry no weight below
     counted = (
-        df.select(*groups, F.col(value).cast("double").alias("_v"))
+        df.select(*groups, number.alias("_v"))
         .groupBy(*groups, "_v")
         .agg(F.count("*").alias("_rows"), *same_key)
         .withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
     )
-    cuts = [i / RANGES for i in range(1, RANGES)]
+    cuts = [i / ranges for i in range(1, ranges)]
     per_group = counted.groupBy(*keys).agg(
         F.sum("_n").alias("_total"),
         (F.sum("_rows") - F.sum("_n")).alias("_missing"),
         F.sum(F.col("_v") * F.col("_n")).alias("_sum"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.percentile_approx("_v", cuts, 10 * RANGES).alias("_cuts"),
+        F.percentile_approx("_v", cuts, 10 * ranges).alias("_cuts"),
     )
     # a single row without groups; with groups their number decides, which Spark checks itself
     known = join_same(counted, per_group if groups else F.broadcast(per_group), keys)
-    # distinct values below the same number of cuts share a range, so a range holds about 1/256 of them
+    # distinct values below the same number of cuts share a range, so the ranges are about equally long
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
     ranged = (
         known.withColumn("_range", F.when(F.col("_v").isNotNull(), below).otherwise(-1))

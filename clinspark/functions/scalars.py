@@ -39,10 +39,6 @@ def minutes_between(later: Column, earlier: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", earlier, later) / 60_000_000
 
 
-def hours_between(later: Column, earlier: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", earlier, later) / 3_600_000_000
-
-
 def hours(n: float) -> Column:
     """``n`` hours as an interval, to be added to a timestamp."""
     return F.expr(f"make_dt_interval(0, 0, 0, {n * 3600:.6f})")
@@ -103,10 +99,6 @@ def contains_any(text: Column, words: Sequence[str]) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, [text.contains(w) for w in words]), F.lit(False))
 
 
-def starts_any(code: Column, prefixes: Sequence[str]) -> Column:
-    return F.coalesce(reduce(lambda a, b: a | b, [code.startswith(p) for p in prefixes]), F.lit(False))
-
-
 def like_any(text: Column, patterns: Sequence[str]) -> Column:
     """Case-insensitive SQL LIKE over several patterns."""
     return reduce(lambda a, b: a | b, [F.lower(text).like(p.lower()) for p in patterns])

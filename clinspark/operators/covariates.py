@@ -42,7 +42,7 @@ def map_concepts(stats: DataFrame, concepts: Mapping[str, Sequence[str]] = fv.CO
     """Add the clinical concept of a raw name; a name without concept is its own."""
     rows = [(raw, concept) for concept, names in concepts.items() for raw in names]
     table = stats.sparkSession.createDataFrame(rows, "raw_name string, concept string")
-    joined = stats.join(F.broadcast(table), "raw_name", "left")
+    joined = stats.join(table, "raw_name", "left")
     return joined.withColumn("concept", F.coalesce("concept", "raw_name"))
 
 

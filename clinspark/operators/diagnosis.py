@@ -25,7 +25,7 @@ def _has(text: Column, words: Sequence[str]) -> Column:
 
 def _mentions(text: Column, word: str) -> Column:
     """The word is there and not ruled out by an earlier WITHOUT."""
-    return text.contains(word) & ~text.rlike(rf"WITHOUT\b.*\b{word}")
+    return text.contains(word) & ~text.rlike(fv.RULED_OUT + word)
 
 
 def sepsis_category(
@@ -85,8 +85,8 @@ def sepsis_category(
     )
 
 
-def top_icd_codes(dx: DataFrame, n: int = 5000) -> DataFrame:
-    """The most frequent codes with their commonest name, type, hierarchy names and class.
+def top_icd_codes(dx: DataFrame, n: int | None = 5000) -> DataFrame:
+    """The ``n`` most frequent codes, or all, with their commonest name, type, hierarchy names and class.
 
     Events are first counted per code and name, so a frequent code is small before its name is chosen.
     Of equally common names the first in order is taken, and of differing types or levels the lowest.
@@ -103,7 +103,7 @@ def top_icd_codes(dx: DataFrame, n: int = 5000) -> DataFrame:
         F.sum("c").alias("count"),
         *[F.min(k).alias(k) for k in kept],
     )
-    top = codes.orderBy(F.desc("count"), "icd_value").limit(n)
+    top = codes if n is None else codes.orderBy(F.desc("count"), "icd_value").limit(n)
     category = sepsis_category(
         *[F.col(c) for c in ("icd_value", "diagnosisname", "icd_l1_name", "icd_l2_name", "icd_l3_name")]
     )
@@ -122,7 +122,7 @@ def department_counts(dx: DataFrame) -> DataFrame:
 
 
 def category_counts(codes: DataFrame) -> DataFrame:
-    """Number of codes per class."""
+    """Number of codes per class; give it all codes, not a list cut at a number of them."""
     return (
         codes.where(F.col("sepsis_category").isNotNull())
         .groupBy("sepsis_category")

@@ -44,9 +44,9 @@ def epoch_bounds(anchor: DataFrame, minutes: float = 30, n: int = EPOCHS) -> Dat
 
 
 def label_of(name: Column, labels: Mapping[str, Sequence[str]]) -> Column:
-    """The label whose names hold ``name``, null for other names."""
+    """The first label whose names hold ``name``, null for other names."""
     chain = F.lit(None).cast("string")
-    for label, names in labels.items():
+    for label, names in reversed(labels.items()):
         chain = F.when(name.isin(list(names)), label).otherwise(chain)
     return chain
 

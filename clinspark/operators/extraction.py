@@ -76,6 +76,13 @@ def _levels(terms: DataFrame) -> list[Column]:
     return [F.col(name).alias(f"icd_l{level}_name") for level, name in found if name]
 
 
+def coded_terms(terms: DataFrame) -> DataFrame:
+    """The terminology's ICD-10-CM codes by diagnosis key, with type and hierarchy names."""
+    return icd10_terms(terms).select(
+        "diagnosiskey", F.col("type").alias("icd_type"), F.col("value").alias("icd_value"), *_levels(terms)
+    )
+
+
 def encounter_primary_dx(encounters: DataFrame, keys: DataFrame, terms: DataFrame) -> DataFrame:
     """Encounters with their primary diagnosis; one row per code when a diagnosis has several."""
     coded = icd10_terms(terms).select(
@@ -92,13 +99,7 @@ def diagnosis_events(
     dx: DataFrame, keys: DataFrame, terms: DataFrame, ordered: bool = True
 ) -> DataFrame:
     """Diagnosis events of the cohort with code and hierarchy, in the order of the patient's history."""
-    coded = icd10_terms(terms).select(
-        "diagnosiskey",
-        F.col("type").alias("icd_type"),
-        F.col("value").alias("icd_value"),
-        *_levels(terms),
-    )
-    events = extract_by_key(dx, keys).join(coded, "diagnosiskey")
+    events = extract_by_key(dx, keys).join(coded_terms(terms), "diagnosiskey")
     if not ordered:
         return events
     sort = [

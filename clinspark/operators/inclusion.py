@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
-from clinspark.functions.columns import join_same
 from clinspark.functions.quantiles import numeric_profile
 from clinspark.functions.scalars import age_years, hours, n_pct, null_placeholders, null_safe_sum
+from clinspark.operators.extraction import coded_terms
 from clinspark.operators.severity import firsts_wide, lab_measures, score_measures, temp_flag, wbc_flag
 from clinspark.operators.windows import first_row
 
@@ -114,20 +114,29 @@ def septic_shock_codes(dx: DataFrame, levels: Sequence[int] = range(3, 8)) -> Da
     return dx.where(_any_level(levels, _names_septic_shock)).select("icd_value").distinct()
 
 
-def dx_flags(dx: DataFrame) -> DataFrame:
-    """Whether an encounter has a sepsis or a septic shock code.
-
-    A code counts for every event that carries it, whichever event its name was found on, so the flags
-    are made once per code and joined back to the distinct codes of each encounter.
-    """
-    per_code = dx.groupBy("icd_value").agg(
+def _code_flags(coded: DataFrame) -> DataFrame:
+    """Per code, whether one of its rows has a name that says sepsis or septic shock."""
+    return coded.groupBy("icd_value").agg(
         F.bool_or(_any_level(range(3, 7), _names_sepsis)).alias("sepsis"),
         F.bool_or(_any_level(range(3, 8), _names_septic_shock)).alias("septic_shock"),
     )
+
+
+def dx_flags(dx: DataFrame, terms: DataFrame, keys: DataFrame) -> DataFrame:
+    """Whether an encounter of the cohort has a sepsis or a septic shock code.
+
+    A code counts for every event that carries it, whichever row of the terminology its name was found on.  The flags are
+    made on the terminology, per code and then per diagnosis key, and the events, which are never shuffled by code,
+    are joined once by that key.  An encounter without a coded diagnosis has no row.
+    """
+    coded = coded_terms(terms)
+    per_key = (
+        coded.select("diagnosiskey", "icd_value").distinct().join(_code_flags(coded), "icd_value")
+        .groupBy("diagnosiskey")
+        .agg(F.bool_or("sepsis").alias("sepsis"), F.bool_or("septic_shock").alias("septic_shock"))
+    )
     return (
-        dx.select(KEY, "icd_value")
-        .distinct()
-        .join(per_code, "icd_value")
+        dx.select(KEY, "diagnosiskey").join(keys.select(KEY), KEY, "left_semi").join(per_key, "diagnosiskey")
         .groupBy(KEY)
         .agg(F.bool_or("sepsis").alias("sepsis"), F.bool_or("septic_shock").alias("septic_shock"))
     )
@@ -180,28 +189,29 @@ def inclusion_groups(
 def table1(
     df: DataFrame, categorical: Sequence[str], continuous: Sequence[str], stratum: str
 ) -> DataFrame:
-    """Level counts and numeric summaries per stratum, in long form."""
-    labelled = df.withColumn("stratum", F.col(stratum).cast("string"))
-    levels = labelled.select("stratum", *[F.col(c).cast("string").alias(c) for c in categorical]).unpivot(
-        "stratum", list(categorical), "variable", "level"
-    )
-    counts = levels.groupBy("stratum", "variable", "level").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("stratum", "variable").agg(
-        F.sum(F.when(F.col("level").isNotNull(), F.col("n"))).alias("total")
-    )
-    numeric = [F.lit(None).cast("double").alias(c) for c in ("mean", "sd", "q25", "median", "q75")]
-    share = F.when(F.col("level").isNotNull(), n_pct(F.col("n"), F.col("total"), 2))
-    by_level = join_same(counts, totals, ["stratum", "variable"]).select(
-        "stratum", "variable", "level", "n", share.alias("pct"), *numeric
-    )
-    values = labelled.select("stratum", *[F.col(c).cast("double").alias(c) for c in continuous]).unpivot(
-        "stratum", list(continuous), "variable", "value"
-    )
-    by_value = numeric_profile(values, ["stratum", "variable"], "value").select(
-        "stratum", "variable", F.lit(None).cast("string").alias("level"), "n",
-        F.lit(None).cast("double").alias("pct"), "mean", "sd", "q25", "median", "q75",
+    """Level counts and numeric summaries per stratum, in long form.
+
+    Every row is spread once into its levels and values, which are then counted; both parts come out of those
+    counts.  A level is a group without values, and its rows are the missing ones.
+    """
+    none, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def cell(numeric: bool, name: str, level: Column, value: Column) -> Column:
+        return F.struct(
+            F.lit(numeric).alias("numeric"), F.lit(name).alias("variable"), level.alias("level"), value.alias("value")
+        )
+
+    cells = [cell(False, c, F.col(c).cast("string"), no_number) for c in categorical]
+    cells += [cell(True, c, none, F.col(c).cast("double")) for c in continuous]
+    rows = df.select(F.col(stratum).cast("string").alias("stratum"), F.explode(F.array(*cells)).alias("c"))
+    profile = numeric_profile(rows.select("stratum", "c.*"), ["stratum", "numeric", "variable", "level"], "value")
+    n = F.when(F.col("numeric"), F.col("n")).otherwise(F.col("missing"))
+    known = F.when(F.col("level").isNotNull(), n)
+    total = F.sum(known).over(Window.partitionBy("stratum", "numeric", "variable"))
+    return profile.select(
+        "stratum", "variable", "level", n.alias("n"),
+        F.when(F.col("level").isNotNull(), n_pct(n, total, 2)).alias("pct"), "mean", "sd", "q25", "median", "q75",
     )
-    return by_level.unionByName(by_value)
 
 
 def visits_per_year(df: DataFrame, date: str = "arrivaldatekeyvalue") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
+from clinspark.functions.columns import resolve_column
 from clinspark.functions.quantiles import numeric_profile
 from clinspark.functions.scalars import minutes_between, n_pct
 from clinspark.operators.windows import first_row
@@ -68,12 +69,18 @@ def _measures(spark, measures: Mapping[str, tuple[Column, Column]]) -> DataFrame
     )
 
 
+def _dead(deaths: DataFrame) -> Column:
+    """The patient of a registry row that has a date of death; of every row where the registry has no such column."""
+    date = resolve_column(deaths, ["deathdate"])
+    return F.col(PATIENT) if date is None else F.when(F.col(date).isNotNull(), F.col(PATIENT))
+
+
 def outcome_rates(keys: DataFrame, admissions: DataFrame, icu: DataFrame, deaths: DataFrame) -> DataFrame:
     """Admission, intensive care and death rates, and intensive care among the admitted."""
     encounters = _one(keys, F.count("*"))
     admitted = _one(admissions, F.count_distinct(KEY))
     in_icu = _one(icu, F.count_distinct(KEY))
-    died = _one(deaths, F.count_distinct(PATIENT))
+    died = _one(deaths, F.count_distinct(_dead(deaths)))
     patients = _one(keys, F.count_distinct(PATIENT))
     return _measures(
         keys.sparkSession,
@@ -230,9 +237,9 @@ def dataset_summary(tables: Mapping[str, DataFrame | None], keys: DataFrame) ->
     imaging; a table the site lacks counts zero.
     """
 
-    def encounters(name: str, key: str = KEY) -> Column:
+    def encounters(name: str, key=lambda df: F.col(KEY)) -> Column:
         df = tables.get(name)
-        return F.lit(0).cast("long") if df is None else _one(df, F.count_distinct(key))
+        return F.lit(0).cast("long") if df is None else _one(df, F.count_distinct(key(df)))
 
     def rows(name: str) -> Column:
         df = tables.get(name)
@@ -246,7 +253,7 @@ def dataset_summary(tables: Mapping[str, DataFrame | None], keys: DataFrame) ->
         F.struct(
             encounters("admissions").alias("n_hospital_admissions"),
             encounters("icu").alias("n_icu_admissions"),
-            encounters("deaths", PATIENT).alias("n_deaths"),
+            encounters("deaths", _dead).alias("n_deaths"),
         ).alias("outcomes"),
         F.struct(
             encounters("antibiotics").alias("encounters_with_antibiotics"),

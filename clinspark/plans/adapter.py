@@ -91,8 +91,9 @@ VIEWS = {
         SELECT o_orderkey AS encounterkey, CAST(o_totalprice / 50000 AS DOUBLE) AS iculengthofstay
         FROM {orders} WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
     "death": """
-        SELECT c_custkey AS patientdurablekey, [ADD_DAYS_ 30000 + c_custkey % 3000] AS deathdate
-        FROM {customer} WHERE c_custkey % 7 = 0""",
+        SELECT c_custkey AS patientdurablekey,
+               CASE WHEN c_custkey % 7 = 0 THEN [ADD_DAYS_ 30000 + c_custkey % 3000] END AS deathdate
+        FROM {customer}""",
     "sdoh": """
         SELECT CASE WHEN event_id % 11 <> 0 THEN event_id END AS socialdeterminantkey,
                event_id AS encounterkey, event_type AS socialdeterminantdomain
@@ -142,10 +143,11 @@ VIEWS = {
         SELECT -l_orderkey - 1 AS encounterkey, l_partkey AS diagnosiskey,
                CASE WHEN l_linestatus = 'O' THEN 'YES' END AS presentonadmission,
                CASE WHEN l_linenumber = 2 THEN 'Medical History' ELSE 'Encounter Diagnosis' END AS type
-        FROM {lineitem} WHERE l_linenumber <= 2""",
+        FROM {lineitem}""",
     "term_b": """
-        SELECT p_partkey AS diagnosiskey, 'ICD-10-CM' AS type, lower(code) || ' ' AS value
-        FROM {part} JOIN {icd} ON (p_partkey + 5) % 24 = i WHERE p_partkey % 3 <> 0""",
+        SELECT p_partkey AS diagnosiskey, CASE WHEN p_partkey % 3 <> 0 THEN 'ICD-10-CM' ELSE 'SNOMED' END AS type,
+               lower(code) || ' ' AS value
+        FROM {part} JOIN {icd} ON (p_partkey + 5) % 24 = i""",
     "codes": """
         SELECT p_partkey AS medicationkey,
                CASE CAST(p_partkey % 12 AS INT)
@@ -164,12 +166,13 @@ VIEWS = {
         FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey JOIN {part} ON p_partkey = l_partkey""",
     "img": """
         SELECT e.encounterkey,
-               CASE l_suppkey % 4 WHEN 0 THEN 'XR Chest 1 View' WHEN 1 THEN 'CT LUNG SCREEN'
-                    WHEN 2 THEN 'CT HEAD' ELSE 'MR SPINE' END AS firstprocedurename,
-               CASE l_suppkey % 4 WHEN 0 THEN 'IMG XR PROCEDURES' WHEN 3 THEN 'OTHER'
-                    ELSE 'IMG CT ORDERABLES' END AS firstprocedurecategory,
+               CASE WHEN l_linenumber < 6 THEN 'US ABDOMEN' WHEN l_suppkey % 4 = 0 THEN 'XR Chest 1 View'
+                    WHEN l_suppkey % 4 = 1 THEN 'CT LUNG SCREEN' WHEN l_suppkey % 4 = 2 THEN 'CT HEAD'
+                    ELSE 'MR SPINE' END AS firstprocedurename,
+               CASE WHEN l_linenumber < 6 THEN 'IMG US PROCEDURES' WHEN l_suppkey % 4 = 0 THEN 'IMG XR PROCEDURES'
+                    WHEN l_suppkey % 4 = 3 THEN 'OTHER' ELSE 'IMG CT ORDERABLES' END AS firstprocedurecategory,
                [ADD_MIN e.arrivalinstant, (l_partkey * 5) % 400 - 20] AS orderinginstant
-        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey WHERE l_linenumber >= 6""",
+        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey""",
     # (slot, item, lowest value, step, span)
     "vital_items": """
         SELECT * FROM (VALUES (0, 'Pulse', 35, 11, 110), (1, 'Resp', 6, 7, 25), (2, 'SpO2', 82, 5, 19),
@@ -188,9 +191,10 @@ VIEWS = {
                                                 ELSE (l_partkey + l_linenumber) % 9 END) x""",
     "resp": """
         SELECT e.encounterkey, [ADD_MIN e.arrivalinstant, (l_suppkey * 37) % 6000] AS ts,
-               CASE l_suppkey % 5 WHEN 0 THEN 'R RESP PEEP/CPAP SET' WHEN 1 THEN 'R RT VENT MODE'
-                    WHEN 2 THEN 'R FIO2' WHEN 3 THEN 'R OXYGEN THERAPY' ELSE 'R RT MODE/BREATH TYPE' END AS flowsheetrowname
-        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey WHERE l_linenumber = 7""",
+               CASE WHEN l_linenumber < 7 THEN 'R SPARE ROW' WHEN l_suppkey % 5 = 0 THEN 'R RESP PEEP/CPAP SET'
+                    WHEN l_suppkey % 5 = 1 THEN 'R RT VENT MODE' WHEN l_suppkey % 5 = 2 THEN 'R FIO2'
+                    WHEN l_suppkey % 5 = 3 THEN 'R OXYGEN THERAPY' ELSE 'R RT MODE/BREATH TYPE' END AS flowsheetrowname
+        FROM {lineitem} JOIN {ed} e ON l_orderkey = e.encounterkey""",
     "lab_items": """
         SELECT * FROM (VALUES (0, 'WBC Count'), (1, 'Creatinine'), (2, 'Lactate, plasma'), (3, 'Bilirubin, Total'),
           (4, 'Platelet Count'), (5, 'Hemoglobin')) AS t(slot, componentname)""",

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 from clinspark import fixed_values as fv
 from clinspark.operators import epochs as ep
 from clinspark.operators.extraction import meds_by_class
-from clinspark.operators.inclusion import dx_flags
 from clinspark.operators.windows import last_before_anchor
 from clinspark.plans.extraction import in_list, keys
 from clinspark.plans.registry import query, shared
-from clinspark.plans.severity import dx_events, esofa, window
+from clinspark.plans.severity import dx_flags, esofa, window
 
 LABS, VITALS = list(fv.EPOCH_LABS), list(fv.EPOCH_VITALS)
 
@@ -120,7 +119,7 @@ shared("matrix", f"""
 
 def matrix(w):
     return ep.epoch_matrix(
-        window(w), w["lab2"], w["vit"], meds_by_class(w["mar"], keys(w)), esofa(w), dx_flags(dx_events(w))
+        window(w), w["lab2"], w["vit"], meds_by_class(w["mar"], keys(w)), esofa(w), dx_flags(w)
     )
 
 

@@ -314,6 +314,10 @@ def dx_events(w):
     return diagnosis_events(w["dx"], keys(w), w["term"], ordered=False)
 
 
+def dx_flags(w):
+    return inc.dx_flags(w["dx"], w["term"], keys(w))
+
+
 @query("sepsis_codes", "SELECT * FROM {c_sepsis}")
 def _(w):
     return inc.sepsis_codes(dx_events(w))
@@ -326,7 +330,7 @@ def _(w):
 
 @query("dx_flags", "SELECT * FROM {dxflags}")
 def _(w):
-    return inc.dx_flags(dx_events(w))
+    return dx_flags(w)
 
 
 def unknown(column):
@@ -375,7 +379,7 @@ def groups(w):
         w["dur"].withColumnRenamed("years", "durationage"), "durationkey"
     )
     images = inc.first_imaging_flag(lung_images(w), arrival(w))
-    return inc.inclusion_groups(inclusion(w), inc.dx_flags(dx_events(w)), patients(w), images, ages)
+    return inc.inclusion_groups(inclusion(w), dx_flags(w), patients(w), images, ages)
 
 
 @query("inclusion_groups", "SELECT * REPLACE (round(age, 6) AS age, round(age_delta, 6) AS age_delta) FROM {groups}")

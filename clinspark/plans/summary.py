@@ -152,19 +152,28 @@ shared("top_codes", class_sql(
     "icd_value, diagnosisname, count, icd_type, icd_l1_name, icd_l2_name, icd_l3_name"))
 
 
-def top_codes(w):
-    return dg.top_icd_codes(dx_events(w))
+def all_codes(w):
+    return dg.top_icd_codes(dx_events(w), None)
 
 
 @query("top_icd_codes", "SELECT * FROM {top_codes} ORDER BY count DESC, icd_value LIMIT 5000")
 def _(w):
-    return top_codes(w)
+    return dg.top_icd_codes(dx_events(w))
+
+
+# a list shorter than there are codes, and the classes in that list
+shared("top_ten", "SELECT * FROM {top_codes} ORDER BY count DESC, icd_value LIMIT 10")
+
+
+@query("category_counts_top10", "SELECT sepsis_category, count(*) AS n FROM {top_ten} WHERE sepsis_category IS NOT NULL GROUP BY ALL")
+def _(w):
+    return dg.category_counts(dg.top_icd_codes(dx_events(w), 10))
 
 
 @query("category_counts", """
     SELECT sepsis_category, count(*) AS n FROM {top_codes} WHERE sepsis_category IS NOT NULL GROUP BY ALL""")
 def _(w):
-    return dg.category_counts(top_codes(w))
+    return dg.category_counts(all_codes(w))
 
 
 @query("top_codes_per_category", """
@@ -172,7 +181,7 @@ def _(w):
                           row_number() OVER (PARTITION BY sepsis_category ORDER BY count DESC, icd_value) AS rank
                    FROM {top_codes} WHERE sepsis_category IS NOT NULL) WHERE rank <= 5""")
 def _(w):
-    return dg.top_codes_per_category(top_codes(w))
+    return dg.top_codes_per_category(all_codes(w))
 
 
 ICU = "coalesce(" + has("upper(departmentname)", fv.ICU_WORDS) + " OR regexp_matches(upper(departmentname), '[0-9]+\\s*(ICU|ICC)'), false)"
@@ -195,6 +204,7 @@ def _(w):
 shared("k_adm", "SELECT adm.* FROM {adm} JOIN {keys} ON adm.encounterkey = keys.encounterkey")
 shared("k_icu", "SELECT icu.* FROM {icu} JOIN {keys} ON icu.encounterkey = keys.encounterkey")
 shared("k_death", "SELECT death.* FROM {death} JOIN {keys} ON death.patientdurablekey = keys.patientdurablekey")
+shared("k_dead", "SELECT * FROM {k_death} WHERE deathdate IS NOT NULL")
 shared("k_pt", "SELECT pt.* FROM {pt} JOIN {ptkeys} ON pt.patientkey = ptkeys.patientkey")
 
 
@@ -263,7 +273,7 @@ def _(w):
       UNION ALL SELECT 'icu', (SELECT count(DISTINCT encounterkey) FROM {k_icu}), (SELECT count(*) FROM {keys})
       UNION ALL SELECT 'icu among admitted', (SELECT count(DISTINCT encounterkey) FROM {k_icu}),
                        (SELECT count(DISTINCT encounterkey) FROM {k_adm})
-      UNION ALL SELECT 'deaths', (SELECT count(DISTINCT patientdurablekey) FROM {k_death}),
+      UNION ALL SELECT 'deaths', (SELECT count(DISTINCT patientdurablekey) FROM {k_dead}),
                        (SELECT count(DISTINCT patientdurablekey) FROM {keys}))""")
 def _(w):
     k = keys(w)
@@ -405,7 +415,7 @@ SUMMARY = {
     "n_encounters": "count(*) FROM {keys}",
     "n_hospital_admissions": "count(DISTINCT encounterkey) FROM {k_adm}",
     "n_icu_admissions": "count(DISTINCT encounterkey) FROM {k_icu}",
-    "n_deaths": "count(DISTINCT patientdurablekey) FROM {k_death}",
+    "n_deaths": "count(DISTINCT patientdurablekey) FROM {k_dead}",
     "encounters_with_antibiotics": "count(DISTINCT encounterkey) FROM {abx}",
     "encounters_with_vasopressors": "count(DISTINCT encounterkey) FROM {pressors}",
     "lab_results": "count(*) FROM {k_lab2}",

@@ -67,11 +67,10 @@ def hcc_crosswalk(spark: SparkSession, path: str) -> DataFrame:
 
 def hcc_hierarchy(spark: SparkSession, path: str) -> DataFrame:
     """Hierarchy rules of a macro text: position in the file, parent, children."""
-    rule = r"%SET0\s*\(\s*CC\s*=\s*(\d+)\s*,\s*HIER\s*=\s*%STR\(([^)]+)\)\s*\)"
     text = spark.read.text(path, wholetext=True)
     found = F.arrays_zip(
-        F.regexp_extract_all("value", F.lit(rule), 1).alias("parent"),
-        F.regexp_extract_all("value", F.lit(rule), 2).alias("children"),
+        F.regexp_extract_all("value", F.lit(fv.HIERARCHY_RULE), 1).alias("parent"),
+        F.regexp_extract_all("value", F.lit(fv.HIERARCHY_RULE), 2).alias("children"),
     )
     children = F.filter(
         F.transform(F.split("r.children", ","), lambda c: F.trim(F.translate(c, "\r\n", "  ")).try_cast("int")),
@@ -82,21 +81,40 @@ def hcc_hierarchy(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def hcc_coefficients(spark: SparkSession, path: str, segment: str = "CNA") -> DataFrame:
-    """Coefficients of one segment as ``(feature, kind, coef)``; kinds are hcc, interaction and count."""
+def _coefficient_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(name, coef)`` of a coefficient file; a coefficient that is no number fails the query that needs it."""
     raw = spark.read.csv(
         path, header=True, encoding="ISO-8859-1", schema="name string, coef string", mode="PERMISSIVE"
     )
-    feature = F.regexp_extract(F.trim("name"), f"^{segment}_(.*)$", 1)
+    name, number = F.trim("name"), to_number(F.trim("coef"))
+    bad = F.raise_error(F.concat(F.lit("coefficient that is no number: "), name, F.lit(" = "), F.coalesce("coef", F.lit(""))))
+    return raw.where(F.col("name").isNotNull()).select(name.alias("name"), F.when(number.isNotNull(), number).otherwise(bad).alias("coef"))
+
+
+def hcc_segment_coefficients(spark: SparkSession, path: str) -> DataFrame:
+    """Coefficients of all segments as ``(segment, feature, coef)``, for the segment scores."""
+    prefixes = "|".join(sorted({prefix for prefix, _ in fv.HCC_SEGMENTS.values()}, key=len, reverse=True))
+    segment = F.regexp_extract("name", f"^({prefixes})_", 1)
+    return (
+        _coefficient_rows(spark, path)
+        .where(segment != "")
+        .select(segment.alias("segment"), F.regexp_extract("name", f"^(?:{prefixes})_(.*)$", 1).alias("feature"), "coef")
+    )
+
+
+def hcc_coefficients(spark: SparkSession, path: str, segment: str = "CNA") -> DataFrame:
+    """Coefficients of one segment as ``(feature, kind, coef)``; kinds are hcc, interaction and count."""
+    raw = _coefficient_rows(spark, path)
+    feature = F.regexp_extract("name", f"^{segment}_(.*)$", 1)
     kind = (
         F.when(F.col("feature").rlike(r"^HCC\d+$"), "hcc")
         .when(F.col("feature").rlike(r"^D\d+P?$"), "count")
         .when(F.col("feature").isin(list(fv.HCC_INTERACTIONS)), "interaction")
     )
     return (
-        raw.select(feature.alias("feature"), to_number(F.trim("coef")).alias("coef"))
+        raw.select(feature.alias("feature"), "coef")
         .withColumn("kind", kind)
-        .where(F.col("kind").isNotNull() & F.col("coef").isNotNull())
+        .where(F.col("kind").isNotNull())
         .select("feature", "kind", "coef")
     )
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,7 +31,8 @@ def register_asset(
 ) -> list[str]:
     """Register each table directory of a site as a temporary view; return the names registered.
 
-    A table that cannot be read is left out, as one bad table must not stop the others.
+    A table that cannot be read, for whatever reason, is left out with a warning that names it, as one bad table must
+    not stop the others.
     """
     fs, root = _file_system(spark, site.path)
     if not fs.exists(root):
@@ -43,7 +44,8 @@ def register_asset(
             continue
         try:
             spark.read.parquet(status.getPath().toString()).createOrReplaceTempView(name)
-        except AnalysisException:
+        except Exception as error:  # a damaged file fails in other ways than a missing one
+            warnings.warn(f"table {name} is left out: {type(error).__name__}: {str(error)[:300]}", stacklevel=2)
             continue
         registered.append(name)
     return registered
@@ -56,9 +58,28 @@ def load_optional(spark: SparkSession, path: str, schema: StructType | str) -> D
     return spark.createDataFrame([], schema)
 
 
-def read_csv_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Some columns of a CSV file, as text; the others are not parsed."""
-    return spark.read.option("header", True).csv(path).select(*columns)
+# text fields are quoted and quotes doubled; an empty text is written as "" and a missing one as nothing
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def read_csv_columns(
+    spark: SparkSession, path: str, columns: Sequence[str], schema: StructType | str | None = None
+) -> DataFrame:
+    """Some columns of a CSV file; the others are not parsed.
+
+    Columns are text, or of the types in ``schema``, which describes the whole file.  Texts may hold line breaks and
+    quotes; an empty text stays apart from a missing one.
+    """
+    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": ""})
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(path).select(*columns)
+
+
+TYPED_FORMATS = ("parquet", "orc")
 
 
 def write_result(
@@ -66,34 +87,30 @@ def write_result(
 ) -> None:
     """Write a result in each format under ``directory/name.<format>``.
 
-    The result is computed once, into the first format; the others are copied from what was written.
+    The result is computed once, into a typed format, and the others are copied from that; text is never a source.  Without
+    a typed format among several, the result is computed for each.
     """
-    first, *others = formats
     target = f"{directory}/{name}"
-    writer = df.write.mode("overwrite")
-    if first == "csv":
-        writer = writer.option("header", True)
-    writer.format(first).save(f"{target}.{first}")
-    if not others:
-        return
-    reader = df.sparkSession.read.schema(df.schema)
-    if first == "csv":
-        reader = reader.option("header", True)
-    written = reader.format(first).load(f"{target}.{first}")
-    for other in others:
-        copy = written.write.mode("overwrite")
-        if other == "csv":
-            copy = copy.option("header", True)
-        copy.format(other).save(f"{target}.{other}")
-
-
-def publish_database(tables: Mapping[str, DataFrame | None], database: str, spark: SparkSession) -> list[str]:
-    """Save all tables of a site in one catalogue database; tables the site lacks are left out."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    typed = [f for f in formats if f in TYPED_FORMATS]
+    source = df
+    for number, form in enumerate([*typed, *(f for f in formats if f not in TYPED_FORMATS)]):
+        writer = source.write.mode("overwrite")
+        if form == "csv":
+            writer = writer.options(**CSV_OPTIONS)
+        writer.format(form).save(f"{target}.{form}")
+        if number == 0 and typed:
+            source = df.sparkSession.read.schema(df.schema).format(form).load(f"{target}.{form}")
+
+
+def publish_database(
+    tables: Mapping[str, DataFrame | None], database: str, spark: SparkSession, location: str
+) -> list[str]:
+    """Save all tables of a site in one catalogue database kept under ``location``; tables the site lacks are left out."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     saved = []
     for name, df in tables.items():
         if df is not None:
-            df.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+            df.write.mode("overwrite").option("path", f"{location}/{name}").saveAsTable(f"`{database}`.`{name}`")
             saved.append(name)
     return saved
 
