@@ -83,6 +83,13 @@ class Vocabulary:
         return np.log10(self.class_tokens + self.class_words + 1)
 
 
+class _Index(dict):
+    """Numbers of words, -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def class_of(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % CLASSES
 
@@ -94,8 +101,18 @@ def _class_column(word: str) -> Column:
 def vocabulary(train: DataFrame, text_col: str = "text", symbols: int = SYMBOLS, head: int = HEAD) -> Vocabulary:
     counts = stored(count_words(train, text_col), "word-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    # steps of falling counts, some 4,000 at most, tell down to which one the head reaches; so only the head itself is collected
+    step = F.when(F.col("n") < 1000, F.col("n")).otherwise(F.floor(1000 + 64 * F.log2(F.col("n") / 1000))).cast("long")
+    steps = counts.groupBy(step.alias("s")).count().collect()
+    room, least = head - 1, 0
+    for r in sorted(steps, key=lambda r: -r["s"]):
+        room -= r["count"]
+        if room < 0:
+            least = r["s"] + 1
+            break
     # the end is a symbol however rare it is
-    top = counts.orderBy((F.col("w") == F.lit(END)).desc(), F.col("n").desc(), "w").limit(head).collect()
+    top = counts.filter((step >= least) | (F.col("w") == F.lit(END))).collect()
+    top.sort(key=lambda r: (bytes(r["w"]) != END, -r["n"], bytes(r["w"])))
     listed = [bytes(r["w"]) for r in top]
     own = min(symbols, len(listed))
     sums = counts.withColumn("c", _class_column("w")).groupBy("c").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()
@@ -116,37 +133,44 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     ``base``: sum of log10(count + 1); ``own``: the same for words drawn from a class; ``rest``: sum of the
     divisors' log10 of all words drawn from a class; ``known``: tokens seen in training, so far."""
     n_own, class_logs = vocab.symbols, vocab.class_logs
-    index = {w: i for i, w in enumerate(vocab.head)}
+    index = _Index(zip(vocab.head, range(len(vocab.head)), strict=True))
     symbol = np.concatenate([np.arange(n_own), [n_own + class_of(w) for w in vocab.head[n_own:]], [0]]).astype(np.int16)
     logs = np.append(np.log10(vocab.head_counts + 1), 0.0)
     drawn = np.append(np.arange(len(vocab.head)) >= n_own, False)
 
+    def lists(parts: list, lengths: list[int], kind: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32), pa.array(parts, kind))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = index.get
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 some = batch.slice(begin, 1000)
-                rows = []
+                made, rows, others, times, sizes = [], [], [], [], []
                 for text in some.column("text").to_pylist():
                     words = words_of(text)
                     words.append(END)
-                    at = np.array([get(w, -1) for w in words])
-                    made, lacking = symbol[at], np.flatnonzero(at < 0)
-                    other: Counter = Counter()
-                    rest = 0.0
-                    if len(lacking):
-                        missing = [words[i] for i in lacking.tolist()]
-                        other.update(missing)
+                    at = np.fromiter(map(index.__getitem__, words), np.int32, len(words))
+                    symbols, lacking = symbol[at], np.flatnonzero(at < 0)
+                    missing = [words[i] for i in lacking.tolist()]
+                    other, rest = Counter(missing), 0.0
+                    if missing:
                         classes = np.array([class_of(w) for w in missing])
-                        made[lacking] = n_own + classes
+                        symbols[lacking] = n_own + classes
                         rest = class_logs[classes].sum()
                     inside = at[drawn[at]]
                     rest += class_logs[symbol[inside] - n_own].sum()
-                    rows.append((made, len(words), len(words) - len(lacking), logs[at].sum(), logs[inside].sum(), rest, list(other), list(other.values())))
-                kinds = (pa.list_(pa.int16()), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    made.append(symbols)
+                    rows.append((len(words), len(words) - len(lacking), logs[at].sum(), logs[inside].sum(), rest))
+                    others += other
+                    times += other.values()
+                    sizes.append(len(other))
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+                sums = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(some.column(c) for c in ("rid", "id", "train")), *columns],
+                    [
+                        *(some.column(c) for c in ("rid", "id", "train")), lists(np.concatenate(made), [len(m) for m in made], pa.int16()),
+                        *sums, lists(others, sizes, pa.binary()), lists(times, sizes, pa.int32()),
+                    ],
                     names=["rid", "id", "train", "symbols", "n_tokens", "known", "base", "own", "rest", "other", "times"],
                 )
 
@@ -165,8 +189,10 @@ class Hmm:
 
 
 def _sequences(batch: pa.RecordBatch, longest: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(rows, lengths, symbols, first)`` in groups of sequences of similar length, the longest first; ``first`` tells whether a sequence
-    begins its text."""
+    """``(rows, alive, symbols, first)`` in groups of sequences of similar length, the longest first.
+
+    ``symbols`` holds the first symbols of all sequences of the group, then the second ones, and so on; ``alive`` tells how many sequences
+    there are at each step, ``rows`` the text of each and ``first`` whether it begins its text."""
     column = batch.column("symbols")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False)).astype(np.int64)
@@ -184,48 +210,48 @@ def _sequences(batch: pa.RecordBatch, longest: int | None) -> Iterator[tuple[np.
     while at < len(order):
         # as many sequences as hold about 250,000 symbols
         some = order[at : at + max(1, min(2048, 250_000 // int(lengths[at])))]
-        size = (ends - begins)[some]
-        starts = np.cumsum(size) - size
-        yield rows[some], size, flat[np.repeat(begins[some] - starts, size) + np.arange(size.sum())].astype(np.int64), first[some]
         at += len(some)
+        size = (ends - begins)[some]
+        alive = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
+        step = np.repeat(np.arange(size[0]), alive)
+        nth = np.arange(len(step)) - np.repeat(np.cumsum(alive) - alive, alive)
+        yield rows[some], alive, flat[begins[some][nth] + step].astype(np.int64), first[some]
 
 
-def _forward(hmm: Hmm, lengths: np.ndarray, symbols: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray | None, np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward probabilities (on request) and scales of all places, the first place of each sequence and the number of
-    sequences alive at each step."""
-    starts = np.cumsum(lengths) - lengths
-    alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
+def _forward(hmm: Hmm, alive: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each step its range of places, the scaled forward probabilities there and their scales."""
     emits = np.ascontiguousarray(hmm.emits.T)
-    alpha, scale = np.empty((len(symbols), emits.shape[1])) if keep else None, np.empty(len(symbols))
     now = np.where(first[:, None], hmm.start, hmm.occupied)
-    for t in range(int(lengths[0])):
-        at = starts[: alive[t]] + t
-        now = (now[: alive[t]] @ hmm.moves if t else now) * emits[symbols[at]]
+    begin = 0
+    for t, n in enumerate(alive.tolist()):
+        now = (now[:n] @ hmm.moves if t else now) * emits[symbols[begin : begin + n]]
         total = now.sum(axis=1)
         now /= total[:, None]
-        scale[at] = total
-        if alpha is not None:
-            alpha[at] = now
-    return alpha, scale, starts, alive
+        yield begin, begin + n, now, total
+        begin += n
 
 
-def _expected(hmm: Hmm, lengths: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _expected(hmm: Hmm, alive: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, visits, moves and emissions of some sequences."""
-    alpha, scale, starts, alive = _forward(hmm, lengths, symbols, first, True)
-    emit = hmm.emits.T[symbols] / scale[:, None]
-    beta = np.ones_like(alpha)
-    for t in range(int(lengths[0]) - 2, -1, -1):
-        n = alive[t + 1]
-        after = starts[:n] + t + 1
-        beta[after - 1] = (emit[after] * beta[after]) @ hmm.moves.T
-    gamma = alpha * beta
-    inner = np.ones(len(symbols), bool)
-    inner[starts] = False
-    after = np.flatnonzero(inner)
-    moves = hmm.moves * (alpha[after - 1].T @ (emit[after] * beta[after]))
-    size = hmm.emits.shape[1]
-    emits = np.stack([np.bincount(symbols, gamma[:, k], size) for k in range(gamma.shape[1])])
-    return gamma[starts[first]].sum(axis=0), gamma.sum(axis=0), moves, emits
+    states, size = hmm.emits.shape
+    alpha, later = np.empty((len(symbols), states)), np.empty((len(symbols), states))
+    for begin, end, now, total in _forward(hmm, alive, symbols, first):
+        alpha[begin:end] = now
+        later[begin:end] = total[:, None]
+    np.divide(np.ascontiguousarray(hmm.emits.T)[symbols], later, out=later)  # what a place emits, scaled
+    beta, moves = np.ones_like(alpha), np.zeros((states, states))
+    ends = np.cumsum(alive)
+    back = np.ascontiguousarray(hmm.moves.T)
+    for t in range(len(alive) - 1, 0, -1):
+        begin, end = ends[t - 1], ends[t]
+        before = begin - alive[t - 1]
+        n = end - begin
+        after = later[begin:end] * beta[begin:end]
+        moves += alpha[before : before + n].T @ after
+        np.matmul(after, back, out=beta[before : before + n])
+    alpha *= beta  # the probability of each state at each place
+    emits = np.stack([np.bincount(symbols, alpha[:, k], size) for k in range(states)])
+    return alpha[: alive[0]][first].sum(axis=0), alpha.sum(axis=0), hmm.moves * moves, emits
 
 
 def baum_welch(texts: DataFrame, size: int, symbol_share: np.ndarray, states: int = 8, rounds: int = 5, weight: float = 50.0) -> Hmm:
@@ -248,8 +274,8 @@ def baum_welch(texts: DataFrame, size: int, symbol_share: np.ndarray, states: in
         def work(batches: Iterator[pa.RecordBatch], here: Hmm = here) -> Iterator[pa.RecordBatch]:
             sums = [np.zeros(states), np.zeros(states), np.zeros((states, states)), np.zeros((states, size))]
             for batch in batches:
-                for _, lengths, symbols, first in _sequences(batch, TRAIN_LENGTH):
-                    for total, part in zip(sums, _expected(here, lengths, symbols, first), strict=True):
+                for _, alive, symbols, first in _sequences(batch, TRAIN_LENGTH):
+                    for total, part in zip(sums, _expected(here, alive, symbols, first), strict=True):
                         total += part
             flat = np.concatenate([s.ravel() for s in sums])
             at = np.flatnonzero(flat)
@@ -274,9 +300,9 @@ def _likelihoods(texts: DataFrame, hmm: Hmm) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.zeros(batch.num_rows)
-            for rows, lengths, symbols, first in _sequences(batch, None):
-                _, scale, starts, _ = _forward(hmm, lengths, symbols, first, False)
-                found[rows] = np.add.reduceat(np.log10(scale), starts)
+            for rows, alive, symbols, first in _sequences(batch, None):
+                for _, _, _, total in _forward(hmm, alive, symbols, first):
+                    found[rows[: len(total)]] += np.log10(total)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found)], names=[*names, "forward"])
 
     schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in names)
