@@ -23,10 +23,10 @@ def test_forward_and_expected_counts_equal_enumeration():
     sequence = np.array([0, 3, 1, 4])
     paths = np.array(np.meshgrid(*[range(3)] * 4)).reshape(4, -1).T
     weight = [hmm.start[p[0]] * hmm.emits[p[0], sequence[0]] * math.prod(hmm.moves[p[t - 1], p[t]] * hmm.emits[p[t], sequence[t]] for t in range(1, 4)) for p in paths]
-    _, scale, _, _ = lm._forward(hmm, np.array([4]), sequence, np.array([True]), False)
-    assert math.isclose(np.prod(scale), sum(weight))
+    alive, begins = np.ones(4, int), np.array([True])
+    assert math.isclose(np.prod([scale[0] for _, _, _, scale in lm._forward(hmm, alive, sequence, begins)]), sum(weight))
     share = np.array(weight) / sum(weight)
-    start, seen, moves, emits = lm._expected(hmm, np.array([4]), sequence, np.array([True]))
+    start, seen, moves, emits = lm._expected(hmm, alive, sequence, begins)
     assert np.allclose(start, [share[paths[:, 0] == k].sum() for k in range(3)]) and math.isclose(seen.sum(), 4)
     assert np.allclose(moves, [[sum(share[(paths[:, t] == i) & (paths[:, t + 1] == j)].sum() for t in range(3)) for j in range(3)] for i in range(3)])
     assert np.allclose(emits[:, 3], [share[paths[:, 1] == k].sum() for k in range(3)])
@@ -36,13 +36,18 @@ def test_groups_of_sequences_give_the_same_as_single_ones():
     hmm, rng = model(), np.random.default_rng(1)
     texts = [rng.integers(0, 5, n).tolist() for n in (1, 9, 2, 30, 1, 17)]
     batch = pa.RecordBatch.from_pydict({"symbols": pa.array(texts, pa.list_(pa.int16()))})
-    found = {}
-    for rows, lengths, symbols, first in lm._sequences(batch, None):
-        _, scale, starts, _ = lm._forward(hmm, lengths, symbols, first, False)
-        found |= dict(zip(rows.tolist(), np.add.reduceat(np.log(scale), starts)))
+    found = np.zeros(len(texts))
+    total = [np.zeros(3), np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))]
+    for rows, alive, symbols, first in lm._sequences(batch, None):
+        for _, _, _, scale in lm._forward(hmm, alive, symbols, first):
+            found[rows[: len(scale)]] += np.log(scale)
+        total = [a + b for a, b in zip(total, lm._expected(hmm, alive, symbols, first))]
+    single = [np.zeros_like(a) for a in total]
     for i, t in enumerate(texts):
-        _, scale, _, _ = lm._forward(hmm, np.array([len(t)]), np.array(t), np.array([True]), False)
-        assert math.isclose(found[i], np.log(scale).sum())
+        alone = np.ones(len(t), int), np.array(t), np.array([True])
+        assert math.isclose(found[i], sum(np.log(scale[0]) for _, _, _, scale in lm._forward(hmm, *alone)))
+        single = [a + b for a, b in zip(single, lm._expected(hmm, *alone))]
+    assert all(np.allclose(a, b) for a, b in zip(total, single))
     cut = [(r, f) for rows, _, _, first in lm._sequences(batch, 8) for r, f in zip(rows.tolist(), first.tolist())]
     assert Counter(r for r, _ in cut) == {0: 1, 1: 2, 2: 1, 3: 4, 4: 1, 5: 3} and sum(f for _, f in cut) == 6
 
