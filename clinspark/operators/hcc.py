@@ -67,19 +67,20 @@ def heart_patch(cc: Column) -> Column:
 def rule_table(rules: DataFrame) -> Column:
     """Hierarchy rules read from a file, ``(position, parent, children)``, as one array in their order.
 
-    A scalar subquery, so nothing is collected while the plan is built; there are some sixty rules.
+    A scalar subquery, so nothing is collected while the plan is built; there are some sixty rules.  Add it as a column
+    and give that to :func:`apply_hierarchy`.
     """
     rows = F.sort_array(F.collect_list(F.struct("position", F.col("parent").alias("p"), F.col("children").alias("c"))))
     return rules.agg(rows.alias("rules")).scalar()
 
 
-def apply_hierarchy(cc: Column, rules: Sequence[tuple[int, Sequence[int]]] | DataFrame = fv.HCC_HIERARCHY) -> Column:
+def apply_hierarchy(cc: Column, rules: Sequence[tuple[int, Sequence[int]]] | Column = fv.HCC_HIERARCHY) -> Column:
     """Drop what each parent suppresses, rule by rule; a parent dropped earlier suppresses nothing.
 
-    ``rules`` are pairs, or the table that :func:`clinspark.sources.mappings.hcc_hierarchy` reads.
+    ``rules`` are pairs, or a column that holds the array of :func:`rule_table`.
     """
-    if isinstance(rules, DataFrame):
-        table = rule_table(rules)
+    if isinstance(rules, Column):
+        table = rules
     else:
         table = F.array(*[F.struct(F.lit(p).alias("p"), _ints(c).alias("c")) for p, c in rules])
 

@@ -231,6 +231,13 @@ def _(w):
     return rounded(sm.numeric_summary(admissions(w), "lengthofstayindays"), *NUMBERS)
 
 
+@query("numeric_summary_nan", f"""
+    SELECT {summary_sql('v')} FROM (SELECT CASE WHEN l_linenumber <> 3 THEN CAST(l_quantity AS DOUBLE) END AS v FROM {{lineitem}})""")
+def _(w):
+    measured = F.when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("l_quantity").cast("double"))
+    return rounded(sm.numeric_summary(w["lineitem"].select(measured.alias("v")), "v"), *NUMBERS)
+
+
 @query("numeric_summary_by_type", f"SELECT event_type, {summary_sql('value')} FROM {{events}} GROUP BY event_type")
 def _(w):
     return rounded(sm.numeric_summary(w["events"], "value", ["event_type"]), *NUMBERS)

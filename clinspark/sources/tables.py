@@ -73,7 +73,8 @@ def read_csv_columns(
     Columns are text, or of the types in ``schema``, which describes the whole file.  Texts may hold line breaks and
     quotes; an empty text stays apart from a missing one.
     """
-    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": ""})
+    # the reader puts its null value in place of a field that holds nothing; an empty text must not equal it
+    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": "", "nullValue": "\\N"})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path).select(*columns)

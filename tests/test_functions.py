@@ -111,6 +111,12 @@ def test_profile_with_one_value_holding_most_rows(spark):
     assert (row["n"], row["median"], row["q75"]) == (3000, 5.0, pytest.approx(2249.25))
 
 
+@pytest.mark.parametrize("ranges", [None, 2, 300])
+def test_nan_is_no_value_in_a_profile(rows, ranges):
+    row = numeric_profile(rows("v double", (1.0,), (2.0,), (float("nan"),), (None,)), [], "v", ranges=ranges).first()
+    assert (row["n"], row["missing"], row["mean"], row["median"], row["max"]) == (2, 2, 1.5, 1.5, 2.0)
+
+
 def test_profile_without_values(rows):
     row = numeric_profile(rows("v double", (None,), (None,)), [], "v").first()
     assert (row["n"], row["missing"], row["mean"], row["median"]) == (0, 2, None, None)

@@ -184,14 +184,20 @@ def test_inclusion_time_is_that_of_the_flag(rows):
 
 
 def test_a_code_counts_wherever_its_name_was_found(rows):
-    levels = ", ".join(f"icd_l{i}_name string" for i in range(1, 10))
+    levels = ", ".join(f"l{i}_name string" for i in range(1, 10))
     blank = [None] * 9
     named = blank.copy()
     named[5] = "Severe SEPSIS with shock"
     without = blank.copy()
     without[4] = "Sepsis without septic shock"
-    dx = rows(f"encounterkey int, icd_value string, {levels}", (1, "A", *named), (2, "A", *blank), (3, "B", *without), (4, "C", *blank))
-    assert rows_of(inc.dx_flags(dx)) == [(1, True, True), (2, True, True), (3, True, False), (4, False, False)]
+    terms = rows(
+        f"diagnosiskey int, type string, value string, {levels}",
+        (1, "ICD-10-CM", "A", *named), (2, "ICD-10-CM", "A", *blank), (3, "ICD-10-CM", "B", *without),
+        (4, "ICD-10-CM", "C", *blank), (5, "SNOMED", "A", *named),
+    )
+    dx = rows("encounterkey int, diagnosiskey int", (1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 1))
+    keys = rows("encounterkey int", *[(i,) for i in range(1, 6)])
+    assert rows_of(inc.dx_flags(dx, terms, keys)) == [(1, True, True), (2, True, True), (3, True, False), (4, False, False)]
 
 
 def window_of(rows):
@@ -270,6 +276,57 @@ def test_prefixes_equal_a_plain_prefix_search(rows):
     assert rows_of(cm.quan_long(dx), "encounterkey", "category") == want
 
 
+def test_prefixes_of_other_lengths(rows):
+    dx = rows(CODES, (1, "I4261", True), (2, "I42", True))
+    table = rows("prefix string, category string, poa_dependent boolean", ("I4261", "deep", False), ("I4", "wide", True))
+    got = cm.quan_long(dx, table, lengths=(2, 5))
+    assert rows_of(got) == [(1, "deep", True), (1, "wide", True), (2, "wide", True)]
+    with pytest.raises(Exception, match="prefix of a length not among"):
+        cm.quan_long(dx, table).collect()
+
+
+def test_categories_without_a_column_are_refused(rows):
+    long = rows("encounterkey int, category string, poa boolean", (1, "chf", False), (1, "new", True))
+    cohort = rows("encounterkey int", (1,))
+    with pytest.raises(Exception, match="category without a column: new"):
+        cm.to_wide(long, cohort, ["chf"]).collect()
+    with pytest.raises(Exception, match="category without a column"):
+        cm.ccsr_features(long, cohort, ["chf"]).collect()
+
+
+def test_features_count_categories_without_weight(rows):
+    mapping = rows("icd_code string, category string", ("A", "HF"), ("B", "NOWEIGHT"))
+    dx = rows(CODES, (1, "A", True), (1, "B", False), (2, "I10", False))
+    listed = {"ahrq": [*fv.VW_WEIGHTS_AHRQ, "NOWEIGHT"], "quan": list(fv.QUAN_CODES)}
+    got = {r["encounterkey"]: r for r in cm.elixhauser_features(dx, rows("encounterkey int", (1,), (2,)), mapping, categories=listed).collect()}
+    assert (got[1]["ahrq_all_noweight"], got[1]["ahrq_all_count"], got[1]["ahrq_poa_count"]) == (1, 2, 2)
+    assert got[1]["ahrq_all_vw_score"] == fv.VW_WEIGHTS_AHRQ["HF"] and got[2]["quan_all_hypunc"] == 1 and got[2]["quan_poa_hypunc"] == 1
+
+
+def test_codes_by_literal_expectation(rows):
+    """A few codes of every kind, written down by hand from the published table."""
+    wanted = {
+        "I099": "chf", "I420": "chf", "I4100": None, "I441": "carit", "I444": None, "A520": "valv", "I052": "valv", "I26": "pcd", "I289": "pcd",
+        "I710": "pvd", "I10": "hypunc", "I119": "hypc", "I15": "hypc", "G041": "para", "G82": "para", "G20": "ond", "R56": "ond", "J449": "cpd",
+        "E119": "diabunc", "E112": "diabc", "E890": "hypothy", "N19": "rf", "B18": "ld", "K257": "pud", "K254": None, "B24": "aids", "C81": "lymph",
+        "C77": "metacanc", "C50": "solidtum", "M05": "rheumd", "D65": "coag", "D692": None, "E66": "obes", "E40": "wloss", "E86": "fed",
+        "D500": "blane", "D508": "dane", "F10": "alcohol", "F11": "drug", "F17": None, "F20": "psycho", "F32": "depre",
+    }
+    got = dict(rows_of(cm.quan_long(rows(CODES, *[(i, c, False) for i, c in enumerate(wanted)])), "encounterkey", "category"))
+    assert {c: got.get(i) for i, c in enumerate(wanted)} == wanted
+
+
+def test_grouping_by_diagnosis_key_equals_grouping_by_code(rows):
+    dx = rows("encounterkey int, diagnosiskey int, poa_qualified boolean", (1, 1, True), (1, 2, False), (2, 2, True), (3, 9, True))
+    codes = rows("diagnosiskey int, icd_code string", (1, "I10"), (1, "E119"), (2, "I509"), (2, "I10"))
+    by_code = dx.join(codes, "diagnosiskey").drop("diagnosiskey")
+    assert rows_of(cm.quan_long(dx, codes=codes)) == rows_of(cm.quan_long(by_code))
+    crosswalk = rows("icd_code string, hcc int", ("I509", 226), ("E119", 38), ("E119", 37))
+    assert rows_of(hc.hcc_cc_set(dx, crosswalk, codes=codes)) == rows_of(hc.hcc_cc_set(by_code, crosswalk))
+    both = rows_of(hc.hcc_cc_sets(dx, crosswalk, codes=codes))
+    assert both == [(1, [37, 38, 226], [37, 38]), (2, [226], [226])]
+
+
 def test_wide_features_and_scores(rows):
     long = rows("encounterkey int, category string, poa boolean", (1, "chf", False), (1, "depre", True), (2, "drug", True))
     cohort = rows("encounterkey int", (1,), (2,), (3,), (3,))
@@ -359,6 +416,7 @@ def test_commonest_name_ties_go_to_the_lowest(rows):
         ("A", "b", None, "x", None, None), ("A", "a", "t", None, None, None), ("A", None, "t", None, None, None), ("B", None, "t", None, None, None),
     )
     assert rows_of(dg.top_icd_codes(dx), "icd_value", "diagnosisname", "count") == [("A", "a", 3), ("B", None, 1)]
+    assert dg.top_icd_codes(dx, 1).count() == 1 and dg.top_icd_codes(dx, None).count() == 2
 
 
 def test_concept_table(rows):

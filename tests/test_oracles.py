@@ -1,17 +1,13 @@
-"""A sample of the registered queries against their DuckDB oracles; all of them with ORACLE_ALL=1."""
-
-import os
+"""All registered queries against their DuckDB oracles."""
 
 import pytest
 
 import __spark_entry__ as entry
 from oracle_check import DATA, compare, oracle_connection
 
-SAMPLE = [
-    "encounter_keys", "diagnosis_events", "filtered_cohort", "cohort_attrition", "news_total", "esofa",
-    "last_before_anchor", "quan_poa_long", "comorbidity_wide", "hcc_raf", "covariate_table", "numeric_summary",
-]
-NAMES = sorted(entry.queries()) if os.environ.get("ORACLE_ALL") else SAMPLE
+from clinspark.plans.registry import ORACLES
+
+NAMES = sorted(ORACLES)
 SF_DIR = f"{DATA}/sf0.001"
 
 

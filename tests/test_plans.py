@@ -1,9 +1,12 @@
 """Plans of all registered queries, and results when one key holds a third of the rows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from clinspark.operators import cohort as co
+from clinspark.operators import comorbidity as cm
 from clinspark.operators import epochs as ep
 from clinspark.plans import load_all
 from clinspark.plans.adapter import Warehouse
@@ -113,6 +116,73 @@ def test_hot_encounter_in_epochs(spark, skewed):
     assert wide.where("encounterkey = 0").first()["epoch_1_sbp"] == 1.0
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are for tables too large to broadcast, before the run-time planner changes them."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def shuffles(df):
+    return [line for line in plan_of(df).splitlines() if re.search(r"\bExchange ", line)]
+
+
+FACT_COLUMNS = "l_orderkey|encounterkey"
+BY_CODE = ["ahrq_long", "quan_long", "ccsr_long", "hcc_cc_set", "hcc_raf", "elixhauser_features", "dx_flags"]
+
+
+@pytest.mark.parametrize("name", BY_CODE)
+def test_facts_are_not_shuffled_by_code(no_broadcast, name):
+    """What is exchanged by code has no encounter in it: it is the terminology and the mapping."""
+    frame = QUERIES[name](Warehouse(no_broadcast, DATA))
+    plan = frame._jdf.queryExecution().executedPlan()
+
+    def walk(node):
+        yield node
+        children = node.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+
+    hits = [
+        node.simpleString(200)
+        for node in walk(plan)
+        if node.nodeName() == "Exchange" and re.search(r"hashpartitioning\(icd_(code|value)", node.simpleString(200))
+        and "encounterkey" in node.output().mkString(",")
+    ]
+    assert not hits
+
+
+# exchanges of the heavy queries with broadcasting off; a rise means that an input is evaluated again
+MOST_SHUFFLES = {"elixhauser_features": 47, "table1": 75, "prevalence_all": 90, "hcc_features_wide": 43, "ccsr_features": 40}
+
+
+@pytest.mark.parametrize("name", MOST_SHUFFLES)
+def test_heavy_queries_shuffle_no_more_than_before(no_broadcast, name):
+    assert len(shuffles(QUERIES[name](Warehouse(no_broadcast, DATA)))) <= MOST_SHUFFLES[name]
+
+
+def test_one_code_on_a_third_of_the_facts(spark, skewed, rows):
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2000)
+    dx = spark.range(n).repartition(8).select(
+        (F.col("id") % 5000).alias("encounterkey"), key.alias("diagnosiskey"), (F.col("id") % 2 == 0).alias("poa_qualified")
+    )
+    codes = spark.range(2000).select(F.col("id").alias("diagnosiskey"), F.when(F.col("id") == 0, "I10").otherwise(F.concat(F.lit("E11"), (F.col("id") % 10).cast("string"))).alias("icd_code"))
+    got = {(r["encounterkey"], r["category"]): r["poa"] for r in cm.quan_long(dx, codes=codes).collect()}
+    want = {}
+    for i in range(n):
+        d = 0 if i % 3 == 0 else i % 2000
+        code = "I10" if d == 0 else f"E11{d % 10}"
+        category = "hypunc" if code == "I10" else "diabunc" if code[-1] in "019" else "diabc"
+        want[i % 5000, category] = True
+    assert got == want
+
+
 def test_union_keeps_all_rows(rows):
     a = rows("k int", (1,), (1,))
     assert union_sites({"x": a, "y": a}).count() == 4

@@ -1,8 +1,15 @@
 """Reading rule files and tables, writing results."""
 
+import datetime as dt
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
+from clinspark import fixed_values as fv
 from clinspark.config import SiteConfig, site_a, site_b
+from clinspark.operators import comorbidity as cm
+from clinspark.operators import hcc as hc
 from clinspark.sources import mappings as mp
 from clinspark.sources import tables as tb
 
@@ -31,13 +38,47 @@ def test_coefficients(spark, tmp_path):
     path = tmp_path / "coefs.csv"
     path.write_text(
         "name,coef,label\nCNA_HCC17, 2.341 ,\"a, b\"\nCNA_D10P,1.1,\nCNA_DIABETES_HF_V28,0.11,\n"
-        "CNA_F65_69,0.3,\nCND_HCC17,9,\nCNA_HCC18,bad,\n"
+        "CNA_F65_69,0.3,\nCND_HCC17,9,\nSNPNE_NMCAID_NORIGDIS_NEF65,0.7,\n"
     )
     assert rows_of(mp.hcc_coefficients(spark, str(path))) == [
         ("D10P", "count", 1.1), ("DIABETES_HF_V28", "interaction", 0.11), ("HCC17", "hcc", 2.341),
     ]
 
 
+def test_a_coefficient_that_is_no_number_fails(spark, tmp_path):
+    path = tmp_path / "coefs.csv"
+    path.write_text("name,coef,label\nCNA_HCC17,2.3,x\nCNA_HCC18,bad,x\n")
+    with pytest.raises(Exception, match="CNA_HCC18 = bad"):
+        mp.hcc_coefficients(spark, str(path)).collect()
+
+
+def test_rule_files_feed_the_operators(spark, rows, tmp_path):
+    """Rules, coefficients and labels as they are read give what the literals give, and nothing is collected on the way."""
+    (tmp_path / "rules.txt").write_text("".join(
+        f" %SET0(CC={p} , HIER=%STR({', '.join(map(str, c))} ));\n" for p, c in fv.HCC_HIERARCHY
+    ))
+    rules = mp.hcc_hierarchy(spark, str(tmp_path / "rules.txt"))
+    sets = rows("i int, cc array<int>", (1, [62, 63, 202]), (2, [17, 18, 19, 20]), (3, []), (4, [221, 226, 35, 36, 37]))
+    sets = sets.withColumn("rules", hc.rule_table(rules))
+    got = sets.select("i", hc.apply_hierarchy(F.col("cc"), F.col("rules")).alias("h"), hc.apply_hierarchy(F.col("cc")).alias("w")).collect()
+    assert len(got) == 4 and all(r["h"] == r["w"] for r in got)
+    terms = [("CNA", "HCC17", 1.5), ("CND", "HCC17", 2.0), ("INS", "HCC17", 0.5), ("NE", "NMCAID_NORIGDIS_NEF65", 0.25), ("SNPNE", "NMCAID_NORIGDIS_NEF65", 0.75), ("CNA", "F65_69", 0.125)]
+    (tmp_path / "coefs.csv").write_text("name,coef,label\n" + "".join(f"{s}_{f},{c},x\n" for s, f, c in terms))
+    read = mp.hcc_segment_coefficients(spark, str(tmp_path / "coefs.csv"))
+    literal = rows("segment string, feature string, coef double", *terms)
+    person = hc.demographics(
+        rows("p int, birthdate date, sex string, orec string, nemcaid int, ltimcaid int", (1, dt.date(1950, 1, 1), "2", "0", 0, 0)),
+        F.lit("2015-02-01").cast("date"),
+    )
+    final = rows("p int, hcc array<int>", (1, [17]))
+    scores = [rows_of(hc.segment_scores(final, person, table, "p")) for table in (read, literal)]
+    assert scores[0] == scores[1] and scores[0][0][1] == 1.625
+    (tmp_path / "labels.txt").write_text(' HCC17 ="Cancer "\n')
+    labels = mp.hcc_labels(spark, str(tmp_path / "labels.txt")).selectExpr("concat('HCC', hcc) AS category", "label")
+    long = rows("encounterkey int, category string, poa boolean", (1, "HCC17", True), (2, "HCC18", False))
+    assert rows_of(cm.prevalence(long, long, labels), "category", "label", "n") == [("HCC17", "Cancer", 1), ("HCC18", "HCC18", 1)]
+
+
 def test_labels(spark, tmp_path):
     path = tmp_path / "labels.txt"
     path.write_text(' LABEL\n HCC1 ="HIV/AIDS "\n HCC51 ="Addison\'s and Cushing\'s Diseases "\n CC1 ="HIV/AIDS "\n ;\n')
@@ -59,9 +100,13 @@ def test_register_asset_skips_and_tolerates(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "goodfact"))
     spark.range(3).write.parquet(str(tmp_path / "fmreportproperty"))
     (tmp_path / "emptyfact").mkdir()
+    (tmp_path / "damagedfact").mkdir()
+    (tmp_path / "damagedfact" / "part-0.parquet").write_text("no parquet at all")
     (tmp_path / "note.txt").write_text("no table")
     site = SiteConfig("s", str(tmp_path), "ED")
-    assert tb.register_asset(spark, site) == ["goodfact"]
+    with pytest.warns(UserWarning) as told:
+        assert tb.register_asset(spark, site) == ["goodfact"]
+    assert {str(w.message).split()[1] for w in told} == {"emptyfact", "damagedfact"}
     assert spark.table("goodfact").count() == 3
     spark.catalog.dropTempView("goodfact")
 
@@ -78,6 +123,18 @@ def test_write_result_in_both_formats(spark, rows, tmp_path):
     assert rows_of(tb.read_csv_columns(spark, str(tmp_path / "res.csv"), ["a"])) == [("1",), ("2",)]
 
 
+AWKWARD = [(1, "line\nbreak"), (2, 'say "hi", ok'), (3, ""), (4, None), (5, " spaces "), (6, "back\\slash\\"), (7, "a\r\nb")]
+
+
+@pytest.mark.parametrize("formats", [("parquet", "csv"), ("csv", "parquet"), ("csv",)])
+def test_texts_survive_every_format(spark, rows, tmp_path, formats):
+    tb.write_result(rows("a int, b string", *AWKWARD), str(tmp_path), "res", formats)
+    for form in formats:
+        path = str(tmp_path / f"res.{form}")
+        back = spark.read.parquet(path) if form == "parquet" else tb.read_csv_columns(spark, path, ["a", "b"], "a int, b string")
+        assert sorted(map(tuple, back.collect())) == AWKWARD
+
+
 def test_write_json(rows, tmp_path):
     tb.write_json(rows("a int", (7,)), str(tmp_path / "j"))
     part = next((tmp_path / "j").glob("part-*.json"))
@@ -85,8 +142,8 @@ def test_write_json(rows, tmp_path):
 
 
 def test_publish_database(spark, rows, tmp_path):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS site_out LOCATION '{tmp_path}/db'")
-    saved = tb.publish_database({"one": rows("a int", (1,)), "two": None}, "site_out", spark)
+    saved = tb.publish_database({"one": rows("a int", (1,)), "two": None}, "site_out", spark, f"{tmp_path}/db")
+    assert (tmp_path / "db" / "one").is_dir()
     assert saved == ["one"] and spark.table("site_out.one").count() == 1
     spark.sql("DROP DATABASE site_out CASCADE")
 
