@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark import fixed_values as fv
 from clinspark.functions.columns import to_number
-from clinspark.functions.scalars import bp_parts, hours
+from clinspark.functions.scalars import bp_parts, hours, null_safe_sum
+from clinspark.operators.esofa import LABS, PARTS, lab_events, lab_flags
 from clinspark.operators.windows import first_row, in_window, within_window
 
 KEY = "encounterkey"
@@ -190,31 +192,97 @@ def last_before_inclusion(measures: DataFrame, anchor: DataFrame, labels: Sequen
     return picked.select(KEY, *columns)
 
 
+def _matrix_cells(
+    labs: DataFrame, flow: DataFrame, antibiotics: DataFrame, pressors: DataFrame, ventilation: DataFrame
+) -> DataFrame:
+    """All events of the matrix as ``(encounterkey, kind, label, ts, v)``; a given action is a number in ``v``."""
+    actions = sorted(fv.GIVEN_ACTIONS)
+    code = F.array_position(F.array(*map(F.lit, actions)), F.col("administrationaction")).cast("double")
+    parts = [
+        labelled_labs(labs).unionByName(labelled_vitals(flow)).select(KEY, F.lit("measure").alias("kind"), "label", "ts", F.col("measure").alias("v")),
+        lab_events(labs).select(KEY, F.lit("lab").alias("kind"), F.col("kind").alias("label"), "ts", "v"),
+        antibiotics.where(F.col("administrationaction").isin(actions) & F.col("administrationinstant").isNotNull()).select(
+            KEY, F.lit("given").alias("kind"), F.lit("abx").alias("label"), F.col("administrationinstant").alias("ts"), code.alias("v")
+        ),
+    ]
+    for label, events in (("pressor", pressors), ("mv", ventilation)):
+        parts.append(events.select(KEY, F.lit("early").alias("kind"), F.lit(label).alias("label"), "ts", F.lit(1.0).alias("v")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def epoch_matrix(
-    anchor: DataFrame,
+    window: DataFrame,
     labs: DataFrame,
     flow: DataFrame,
     antibiotics: DataFrame,
-    esofa: DataFrame,
+    pressors: DataFrame,
+    ventilation: DataFrame,
     flags: DataFrame,
 ) -> DataFrame:
     """One wide row per included encounter: epochs, last values, antibiotic, eSOFA and diagnosis flags.
 
-    All measures are stacked and pivoted once, so the row is put together by four joins on the
-    encounter instead of one per label.
+    All events are stacked, joined with the window once and reduced to one cell per encounter and slot; the join, that
+    reduction and the pivot share one partitioning.  ``pressors`` and ``ventilation`` are ``(encounterkey, ts)`` events.
     """
-    measures = labelled_labs(labs).unionByName(labelled_vitals(flow))
     labels = [*fv.EPOCH_LABS, *fv.EPOCH_VITALS]
-    flags_only = [c for c in esofa.columns if c.startswith("esofa")]
-    time = "administrationinstant"
-    treated = epoch_bounds(anchor).join(first_given(antibiotics, time=time), KEY, "left")
-    return (
-        treated.select("*", *_action_columns("abx", time))
-        .drop(time, "administrationaction")
-        .join(measure_matrix(measures, anchor, labels), KEY, "left")
-        .join(esofa.select(KEY, *flags_only), KEY, "left")
-        .join(flags, KEY, "left")
+    kind, label, ts, none = F.col("kind"), F.col("label"), F.col("ts"), F.lit(None).cast("timestamp_ntz")
+    before = ts < F.col(START)
+    inside = in_window(ts, F.col("begin_timestamp"), 0, None, "none") & in_window(ts, F.col("end_timestamp"), None, 0, "none")
+
+    def cell(slot: Column, time: Column) -> Column:
+        return F.struct(slot.alias("slot"), time.alias("t"))
+
+    measured = F.when(before, F.concat(F.lit("pre_inclusion_"), label)).otherwise(_slot(epoch_number(ts, F.col(START)), label))
+    cells = F.array(
+        F.when(kind == "measure", cell(measured, F.when(before, ts))),
+        F.when(kind == "lab", cell(F.concat(F.lit("base_"), label), ts)),
+        F.when((kind == "lab") & inside, cell(F.concat(F.lit("window_"), label), none)),
+        F.when(kind == "given", cell(F.lit("abx"), ts)),
+        F.when((kind == "early") & (ts < F.col("midpoint_timestamp")), cell(label, none)),
+    )
+    columns = list(window.columns)
+    events = window.join(_matrix_cells(labs, flow, antibiotics, pressors, ventilation), KEY, "left")
+    reduced = (
+        events.select(*columns, "v", F.explode_outer(F.array_compact(cells)).alias("c"))
+        .groupBy(*columns, F.col("c.slot").alias("slot"))
+        .agg(
+            F.max(F.struct(F.col("c.t").alias("t"), F.col("v"))).alias("last"),
+            F.min(F.struct(F.col("c.t").alias("t"), F.col("v").isNull().alias("n"), F.col("v"))).alias("first"),
+        )
+    )
+    slot = F.col("slot")
+
+    def value(name: Column, v: Column) -> Column:
+        return F.struct(name.alias("slot"), v.alias("v"))
+
+    is_first = slot.startswith("base_") | (slot == "abx")
+    spread = reduced.select(
+        *columns,
+        F.explode(F.array(
+            value(slot, F.when(is_first, F.col("first.v")).otherwise(F.col("last.v"))),
+            value(F.concat(F.lit("min_"), slot), F.col("first.v")),
+            value(F.concat(slot, F.lit("_timestamp")), _micros(F.when(is_first, F.col("first.t")).otherwise(F.col("last.t")))),
+        )).alias("c"),
+    ).select(*columns, "c.slot", "c.v")
+    last = [f"pre_inclusion_{name}" for name in labels]
+    times = [f"{name}_timestamp" for name in last]
+    epochs = epoch_columns(labels)
+    parts = [f"base_{k}" for k in LABS] + [f"window_{k}" for k in LABS] + [f"min_window_{k}" for k in LABS]
+    wide = spread.groupBy(*columns).pivot("slot", [*epochs, *last, *times, *parts, "abx", "abx_timestamp", "pressor", "mv"]).agg(F.max("v"))
+    renamed = {f"base_{k}": f"baseline_{k}" for k in LABS} | {f"window_{k}": f"max_{k}" for k in LABS} | {f"min_window_{k}": f"min_{k}" for k in LABS}
+    wide = wide.withColumnsRenamed(renamed)
+    actions = F.array(*[F.lit(a) for a in sorted(fv.GIVEN_ACTIONS)])
+    epoch = epoch_number(_from_micros(F.col("abx_timestamp")), F.col(START))
+    action = F.get(actions, F.col("abx").cast("int") - 1)
+    organs = {"esofa_pressor": F.col("pressor").cast("int"), "esofa_mv": F.col("mv").cast("int")} | lab_flags()
+    rows = wide.select(
+        *columns, *epochs, *last, *[_from_micros(F.col(t)).alias(t) for t in times],
+        *[F.when(epoch == i, action).alias(f"epoch_{i}_abx") for i in range(1, EPOCHS + 1)],
+        *[organs[p].alias(p) for p in PARTS],
     )
+    count = null_safe_sum(*[F.col(p) for p in PARTS])
+    scored = rows.select("*", count.alias("esofa_count"), (count > 0).cast("int").alias("esofa_binary"))
+    return epoch_bounds(scored).join(flags, KEY, "left")
 
 
 def missingness(df: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def esofa_vent(
     return before_midpoint(rows, window, "esofa_mv", time)
 
 
-def _lab_events(labs: DataFrame) -> DataFrame:
+def lab_events(labs: DataFrame) -> DataFrame:
+    """Results of the scored components as ``(encounterkey, kind, ts, v)``."""
     kind = F.lit(None).cast("string")
     for label, names in LABS.items():
         kind = F.when(F.col("componentname").isin(names), label).otherwise(kind)
@@ -86,7 +87,8 @@ def _lab_extremes(kind: str, inside: Column) -> list[Column]:
     ]
 
 
-def _lab_flags() -> dict[str, Column]:
+def lab_flags() -> dict[str, Column]:
+    """The lab rules over ``baseline_``, ``max_`` and ``min_`` columns of each kind."""
     base, top, low = (lambda k: F.col(f"baseline_{k}")), (lambda k: F.col(f"max_{k}")), F.col("min_platelet")
     return {
         "esofa_lactate": _when_true(top("lactate") >= 2),
@@ -106,11 +108,11 @@ def _in_window() -> Column:
 
 def esofa_vs_baseline(labs: DataFrame, window: DataFrame) -> DataFrame:
     """Lab flags of the included encounters with the baselines they were measured against."""
-    events = _lab_events(labs).join(window.select(KEY, "begin_timestamp", "end_timestamp"), KEY)
+    events = lab_events(labs).join(window.select(KEY, "begin_timestamp", "end_timestamp"), KEY)
     extremes = [c for kind in LABS for c in _lab_extremes(kind, _in_window())]
     baselines = ["baseline_creatinine", "baseline_bilirubin", "baseline_platelet"]
     return events.groupBy(KEY).agg(*extremes).select(
-        KEY, *baselines, *[flag.alias(name) for name, flag in _lab_flags().items()]
+        KEY, *baselines, *[flag.alias(name) for name, flag in lab_flags().items()]
     )
 
 
@@ -127,7 +129,7 @@ def esofa(
         return events.select(KEY, F.lit(kind).alias("kind"), "ts", F.lit(None).cast("double").alias("v"))
 
     stacked = (
-        _lab_events(labs)
+        lab_events(labs)
         .unionByName(marked(pressors, "pressor"))
         .unionByName(marked(ventilation, "ventilation"))
     )
@@ -141,7 +143,7 @@ def esofa(
         .groupBy(KEY)
         .agg(early("pressor").alias("esofa_pressor"), early("ventilation").alias("esofa_mv"), *extremes)
         .select(
-            KEY, "esofa_pressor", "esofa_mv", *[flag.alias(name) for name, flag in _lab_flags().items()]
+            KEY, "esofa_pressor", "esofa_mv", *[flag.alias(name) for name, flag in lab_flags().items()]
         )
     )
     return (

@@ -8,7 +8,7 @@ from clinspark.operators.extraction import meds_by_class
 from clinspark.operators.windows import last_before_anchor
 from clinspark.plans.extraction import in_list, keys
 from clinspark.plans.registry import query, shared
-from clinspark.plans.severity import dx_flags, esofa, window
+from clinspark.plans.severity import dx_flags, organ_events, window
 
 LABS, VITALS = list(fv.EPOCH_LABS), list(fv.EPOCH_VITALS)
 
@@ -118,9 +118,8 @@ shared("matrix", f"""
 
 
 def matrix(w):
-    return ep.epoch_matrix(
-        window(w), w["lab2"], w["vit"], meds_by_class(w["mar"], keys(w)), esofa(w), dx_flags(w)
-    )
+    given = meds_by_class(w["mar"], keys(w))
+    return ep.epoch_matrix(window(w), w["lab2"], w["vit"], given, *organ_events(w), dx_flags(w))
 
 
 @query("epoch_matrix", "SELECT * FROM {matrix}")

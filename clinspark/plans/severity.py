@@ -242,10 +242,15 @@ def pressor_events(w):
     return meds_by_name(w["codes"], w["mar"], keys(w))
 
 
-def esofa(w):
+def organ_events(w):
+    """Vasopressor and ventilation events."""
     pressors = pressor_events(w).select("encounterkey", F.col("administrationinstant").alias("ts"))
     ventilation = w["resp"].where(F.col("flowsheetrowname").isin(fv.VENTILATION_ROWS)).select("encounterkey", "ts")
-    return es.esofa(window(w), pressors, ventilation, w["lab2"])
+    return pressors, ventilation
+
+
+def esofa(w):
+    return es.esofa(window(w), *organ_events(w), w["lab2"])
 
 
 @query("esofa", "SELECT * FROM {esofa}")

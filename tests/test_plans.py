@@ -158,7 +158,7 @@ def test_facts_are_not_shuffled_by_code(no_broadcast, name):
 
 
 # exchanges of the heavy queries with broadcasting off; a rise means that an input is evaluated again
-MOST_SHUFFLES = {"elixhauser_features": 47, "table1": 75, "prevalence_all": 90, "hcc_features_wide": 43, "ccsr_features": 40}
+MOST_SHUFFLES = {"epoch_matrix": 60, "table1": 72, "elixhauser_features": 47, "prevalence_all": 71, "hcc_features_wide": 43, "ccsr_features": 40}
 
 
 @pytest.mark.parametrize("name", MOST_SHUFFLES)
