@@ -52,7 +52,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A hash of every ``gram`` consecutive bytes."""
-    up, down = _powers(CHUNK + WINDOW + RUN_LIMIT)
+    up, down = _powers(max(1 << 20, 1 << len(data).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
     h = (sums[gram:] - sums[:-gram]) * down[: len(data) - gram + 1]
