@@ -9,12 +9,12 @@ from clinspark.llm import decontam, language_spans, length_packing, line_dedup,
 from clinspark.llm.store import stored
 
 
-#: Least share of letters in spans of a document's language.
-LANGUAGE_SHARE = 0.5
+#: Least share of letters in spans of a document's language.  Documents in two languages, or with quoted passages, stay.
+LANGUAGE_SHARE = 1 / 3
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters, and those in no language for at least half of their letters.
+    """Drops documents without letters, and those in no language for at least a third of their letters.
 
     The model is learned from the documents' own labels; none is changed.  Without any label nothing is known of
     languages, and every document stays."""

@@ -15,7 +15,7 @@ def brute(spark, rows):
     """Rows of (doc_id, text, lang, source) that are left before packing."""
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     labeller = language_spans.Labeller(language_spans.learn(frame, "doc_id", "text", "lang"), 8.0)
-    rows = [r for r, (lang, score, _) in zip(rows, labeller.label([r[1] for r in rows])) if lang != "und" and score >= 0.5]
+    rows = [r for r, (lang, score, _) in zip(rows, labeller.label([r[1] for r in rows])) if lang != "und" and score >= cp.LANGUAGE_SHARE]
     rows = [(r[0], t, r[2], r[3]) for r, (t, _) in zip(rows, without_boilerplate([(r[3], r[1]) for r in rows]))]
     rows.sort()
     rows = [r for r, (_, c) in zip(rows, near_copies([r[0] for r in rows], [r[1] for r in rows])) if c == r[0]]
