@@ -19,6 +19,7 @@ from clinspark.llm import (
     suffix_dedup,
     token_files,
 )
+from clinspark.llm.store import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,8 +41,9 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 @_query("op3_line_dedup", line_dedup.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = line_dedup.page_lines(_read(spark, sf_dir, "pages"))
-    cut = line_dedup.without_boilerplate(pages.select("page_id", "host", "text"))
+    pages = line_dedup.page_lines(_read(spark, sf_dir, "pages")).select("page_id", "host", "text")
+    # the operator reads its pages three times; their markup is taken off once
+    cut = line_dedup.without_boilerplate(stored(pages, "page-text"))
     return cut.select("page_id", "host", "n_lines", "n_dropped", "text")
 
 
