@@ -224,21 +224,22 @@ def hcc_features_wide(both: DataFrame, cohort: DataFrame, categories: Sequence[i
 def hcc_summary(both: DataFrame, cohort: DataFrame) -> DataFrame:
     """Per variant: encounters with any category and their share, mean count, mean and median score of the cohort."""
     every = cohort.select(KEY).distinct().join(both, KEY, "left")
-    rows = [
-        F.struct(
-            F.lit(v).alias("variant"), F.coalesce(f"n_{v}", F.lit(0)).alias("n"),
-            F.coalesce(f"raf_{v}", F.lit(0.0)).alias("raf"),
-        )
-        for v in VARIANTS
-    ]
+    rows = []
+    for v in VARIANTS:
+        n, raf = F.coalesce(f"n_{v}", F.lit(0)).cast("double"), F.coalesce(f"raf_{v}", F.lit(0.0))
+        for measure, value in (("any", (n > 0).cast("double")), ("count", n), ("raf", raf)):
+            rows.append(F.struct(F.lit(v).alias("variant"), F.lit(measure).alias("measure"), value.alias("value")))
     long = every.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    counts = long.groupBy("variant").agg(
-        F.count(F.when(F.col("n") > 0, True)).alias("n_any"), F.count("*").alias("_total"), F.avg("n").alias("mean_count")
-    )
-    profile = numeric_profile(long, ["variant"], "raf", {"median": 0.5})
-    profile = profile.select("variant", F.col("mean").alias("mean_raf"), F.col("median").alias("median_raf"))
-    return counts.join(profile, "variant").select(
-        "variant", "n_any", n_pct(F.col("n_any"), F.col("_total"), 4).alias("pct_any"), "mean_count", "mean_raf", "median_raf"
+    # every figure comes out of one count of the distinct values
+    profile = numeric_profile(long, ["variant", "measure"], "value", {"median": 0.5})
+
+    def of(measure: str, column: str) -> Column:
+        return F.max(F.when(F.col("measure") == measure, F.col(column)))
+
+    n_any = F.round(of("any", "mean") * of("any", "n")).cast("long")
+    return profile.groupBy("variant").agg(
+        n_any.alias("n_any"), n_pct(n_any, of("any", "n"), 4).alias("pct_any"),
+        of("count", "mean").alias("mean_count"), of("raf", "mean").alias("mean_raf"), of("raf", "median").alias("median_raf"),
     )
 
 
