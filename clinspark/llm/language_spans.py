@@ -47,6 +47,9 @@ PER_LANG = 500
 #: A worker remembers the scores of so many words.
 CACHE = 300_000
 UNDETERMINED = "und"
+#: A language fits down to ``FIT_BELOW + FIT_FEW / sqrt(places)`` under its learned texts, in natural logarithms a place.
+FIT_BELOW = 2.5
+FIT_FEW = 30.0
 
 
 def scripts_of(points: np.ndarray) -> np.ndarray:
@@ -85,27 +88,38 @@ def _features(letters: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Learned languages, log-probabilities of features (features x languages) and the scripts each language uses."""
+    """Learned languages, log-probabilities of features (features x languages) and the scripts each language uses; ``level`` is the mean
+    log-probability of a place in the texts each language was learned from."""
 
-    def __init__(self, langs: list[str], logs: np.ndarray, scripts: np.ndarray, prior: np.ndarray):
+    def __init__(self, langs: list[str], logs: np.ndarray, scripts: np.ndarray, prior: np.ndarray, level: np.ndarray | None = None):
         self.langs, self.prior = langs, prior
+        self.level = np.zeros(len(langs)) if level is None else level
         self.logs = np.vstack([logs, np.zeros((1, len(langs)))]).astype(np.float32)
         self.unused = np.array([sum(1 << i for i, used in enumerate(row) if not used) for row in scripts], np.int64)
 
     def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(words x languages, letters)``; the best language of a word has score 0, and so has each of a word without letters."""
+        return self.word_fits(words)[:2]
+
+    def word_fits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As :meth:`word_scores`, then the log-probability of each word in its best language, which its scores are relative to, and its
+        letters in scripts that some language uses."""
         letters = letters_of(words)
         places, points, first = _features(letters)
         totals = np.add.reduceat(self.logs[places].sum(axis=1), first, axis=0)
-        used = np.bitwise_or.reduceat(np.where(points == 32, 0, 1 << scripts_of(points)), first)
+        scripts = 1 << scripts_of(points)
+        used = np.bitwise_or.reduceat(np.where(points == 32, 0, scripts), first)
         barred = (used[:, None] & self.unused[None, :]) != 0
         # a word in scripts that no language uses together leaves all of them
         barred &= ~barred.all(axis=1, keepdims=True)
         totals = np.where(barred, totals.min(axis=1, keepdims=True) - 20, totals)
-        totals -= totals.max(axis=1, keepdims=True)
+        peaks = totals.max(axis=1, keepdims=True)
+        totals -= peaks
         lengths = np.fromiter(map(len, letters), np.int64, len(letters))
         totals[lengths == 0] = 0
-        return totals, lengths
+        nowhere = np.bitwise_and.reduce(self.unused)
+        known = np.add.reduceat((points != 32) & ((scripts & nowhere) == 0), first, dtype=np.int64)
+        return totals, lengths, np.where(lengths == 0, 0, peaks[:, 0]), known
 
 
 def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int = PER_LANG, script_share: float = 0.01) -> Model:
@@ -130,19 +144,22 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang:
             times = np.repeat(list(found.values()), np.diff(first, append=len(points)))
             sums = np.bincount(places.ravel(), np.repeat(times, 3), FEATURES + 1)[:FEATURES]
             letters = np.bincount(scripts_of(points), np.where(points == 32, 0, times), OTHER_SCRIPT + 1)
-            sums = np.concatenate([sums, letters]).astype(np.int64)
+            gaps = times[points == 32].sum() - sum(n for n, w in zip(found.values(), np.diff(first, append=len(points)), strict=True) if w == 1)
+            sums = np.concatenate([sums, letters, [gaps]]).astype(np.int64)
             at = np.flatnonzero(sums)
             yield pd.DataFrame({"lang": lang, "at": at, "n": sums[at]})
 
     langs = sorted(sizes)
-    total = np.zeros((FEATURES + OTHER_SCRIPT + 1, len(langs)))
+    total = np.zeros((FEATURES + OTHER_SCRIPT + 2, len(langs)))
     for r in map_pandas(sample, count, "lang string, at int, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).collect():
         total[r["at"], langs.index(r["lang"])] = r["n"]
-    counts, letters = total[:FEATURES], total[FEATURES:]
+    counts, letters, ends = total[:FEATURES], total[FEATURES:-1], total[-1]
     logs = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * FEATURES))
     share = letters / np.maximum(letters.sum(axis=0), 1)
     prior = np.log([sizes[x] / sum(sizes.values()) for x in langs])
-    return Model(langs, logs, (share >= script_share).T, prior)
+    # the row of gaps counts the ends of words, where a place has no script
+    places = np.maximum(ends + letters.sum(axis=0), 1)
+    return Model(langs, logs, (share >= script_share).T, prior, (counts * logs).sum(axis=0) / places)
 
 
 def best_paths(scores: np.ndarray, lengths: np.ndarray, prior: np.ndarray, penalty: float) -> np.ndarray:
@@ -184,21 +201,28 @@ class Labeller:
         self.index: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.langs)), np.float32)
         self.letters = np.zeros(0, np.int64)
+        self.peaks, self.known = np.zeros(0), np.zeros(0, np.int64)
 
     def _words(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words, and how many each text has."""
         words = [(t or "").split() for t in texts]
         new = list(set(chain.from_iterable(words)).difference(self.index))
         if new:
-            scores, letters = self.model.word_scores(new)
+            scores, letters, peaks, known = self.model.word_fits(new)
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
             self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, letters])
+            self.peaks, self.known = np.concatenate([self.peaks, peaks]), np.concatenate([self.known, known])
         lengths = np.array([len(w) for w in words], np.int64)
         return np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, lengths.sum()), lengths
 
-    def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
-        """``(language, score, spans)`` of each text; a span is a language and its first and last word."""
-        made: list[tuple[str, float, list[tuple[str, int, int]]]] = [(UNDETERMINED, 0.0, [])] * len(texts)
+    def label(self, texts: list[str | None], fits: bool = False) -> list[tuple]:
+        """``(language, score, spans)`` of each text; a span is a language and its first and last word.
+
+        With ``fits`` three more of each: the fit, the share of letters in scripts that some language uses, and the largest share of such
+        letters in spans of one language that fits.  A place is a letter or the end of a word.  The fit is the mean log-probability of a
+        place in the language of its span, less the mean in the texts which that language was learned from: about 0 for these.  A
+        language fits where the same mean over its spans is at most ``FIT_BELOW`` under 0, and on few places more, as chance has it."""
+        made: list[tuple] = [(UNDETERMINED, 0.0, [], 0.0, 0.0, 0.0) if fits else (UNDETERMINED, 0.0, [])] * len(texts)
         langs = self.model.langs
         if not langs:
             return made
@@ -222,19 +246,29 @@ class Labeller:
                 cut = np.flatnonzero(np.diff(path))
                 begins, lasts = [0, *(cut + 1).tolist()], [*cut.tolist(), len(path) - 1]
                 spans = [(langs[path[a]], a, b) for a, b in zip(begins, lasts, strict=True)]
-                made[i] = (langs[int(weight.argmax())], float(weight.max() / weight.sum()), spans)
+                made[i] = (langs[int(weight.argmax())], float(weight.max() / weight.sum()), spans, *(self._fits(words, path) if fits else ()))
         return made
 
+    def _fits(self, words: np.ndarray, path: np.ndarray) -> tuple[float, float, float]:
+        letters, n = self.letters[words], len(self.model.langs)
+        places = np.bincount(path, np.where(letters > 0, letters + 1, 0), n)
+        known = np.bincount(path, self.known[words], n)
+        over = np.bincount(path, self.peaks[words] + self.scores[words, path], n) - places * self.model.level
+        fine = over >= -(FIT_BELOW * places + FIT_FEW * np.sqrt(places))
+        return float(over.sum() / places.sum()), float(known.sum() / letters.sum()), float((known * fine).max() / letters.sum())
+
 
-def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, added: tuple[str, ...] = ("lang_pred", "score", "spans")) -> DataFrame:
+def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = 8.0, added: tuple[str, ...] = ("lang_pred", "score", "spans"), fits: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with the language, its score (the share of letters in spans of that language) and the spans added, under
-    the names in ``added``; two names leave out the spans.
+    the names in ``added``; two names leave out the spans.  The score compares the learned languages with each other and says nothing of
+    others; three names in ``fits`` add the fit, the share of letters in known scripts and the largest share of a language that fits
+    (:meth:`Labeller.label`).
 
     A span is a language and the numbers of its first and last word, words being what white space separates.  A null text, or one
     without a letter, is ``und`` with score 0 and no spans; so is every text if no language was learned.  Texts are read whole.
     Added columns replace others of their names, and all other columns stay."""
     with_spans = len(added) == 3
-    names = [c for c in docs.columns if c not in added]
+    names = [c for c in docs.columns if c not in added and c not in fits]
     fields = [docs.schema[c].dataType.simpleString() for c in names]
     span = pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("last", pa.int32())]))
 
@@ -243,14 +277,15 @@ def language_spans(docs: DataFrame, model: Model, text_col: str = "text", penalt
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):  # together at most so many texts, which may be long
                 some = batch.slice(at, 4096)
-                found = labeller.label(some.column("_text").to_pylist())
+                found = labeller.label(some.column("_text").to_pylist(), bool(fits))
                 made = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
                 if with_spans:
                     made.append(pa.array([[{"lang": a, "first": b, "last": c} for a, b, c in f[2]] for f in found], span))
+                made += [pa.array([f[3 + i] for f in found], pa.float64()) for i in range(len(fits))]
                 kept = [some.column(i) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays([*kept, *made], names=[*(f"_{i}" for i in range(len(names))), *added])
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=[*(f"_{i}" for i in range(len(names))), *added, *fits])
 
-    kinds = ["string", "double", *(["array<struct<lang:string,first:int,last:int>>"] if with_spans else [])]
+    kinds = ["string", "double", *(["array<struct<lang:string,first:int,last:int>>"] if with_spans else []), *(["double"] * len(fits))]
     rows = docs.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)), F.col(text_col).alias("_text"))
-    schema = ", ".join([*(f"_{i} {k}" for i, k in enumerate(fields)), *(f"{a} {k}" for a, k in zip(added, kinds, strict=True))])
-    return map_arrow(rows, work, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)), *added)
+    schema = ", ".join([*(f"_{i} {k}" for i, k in enumerate(fields)), *(f"{a} {k}" for a, k in zip([*added, *fits], kinds, strict=True))])
+    return map_arrow(rows, work, schema).select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(names)), *added, *fits)

@@ -14,15 +14,17 @@ LANGUAGE_SHARE = 1 / 3
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters, and those in no language for at least a third of their letters.
+    """Drops documents without letters, and those in no learned language for at least a third of their letters: what stands in
+    another script, or does not read like the texts of the language found for it, counts for none.
 
     The model is learned from the documents' own labels; none is changed.  Without any label nothing is known of
     languages, and every document stays."""
     model = language_spans.learn(docs, "doc_id", "text", "lang")
     if not model.langs:
         return docs
-    fine = (F.col("_lang_pred") != language_spans.UNDETERMINED) & (F.col("_lang_score") >= LANGUAGE_SHARE)
-    return language_spans.language_spans(docs, model, added=("_lang_pred", "_lang_score")).filter(fine).select(*docs.columns)
+    fine = (F.col("_lang_pred") != language_spans.UNDETERMINED) & (F.col("_lang_fitting") >= LANGUAGE_SHARE)
+    found = language_spans.language_spans(docs, model, added=("_lang_pred", "_lang_score"), fits=("_lang_fit", "_lang_known", "_lang_fitting"))
+    return found.filter(fine).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -55,3 +55,19 @@ def test_entry_registers_all():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names) and importlib.util.find_spec("corpus_pipeline")
+
+
+def test_language_stage_drops_what_no_learned_language_fits(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source")
+    texts = {k: [r["text"] for r in docs.filter(F.col("lang") == k).orderBy("doc_id").limit(8).collect()] for k in ("en", "de", "es")}
+    part = lambda k, n: " ".join(" ".join(texts[k]).split()[:n])
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava"
+    russian = "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью и должны поступать"
+    letters = " ".join(str(i * 7919 % 99991).translate(str.maketrans("0123456789", "qxzjkvwpyh")) for i in range(200))
+    bad = [finnish * 3, russian * 3, "漢字仮名交文 " * 50, letters, "1 2 3"]
+    good = [part("en", 60) + " " + part("de", 60), part("en", 60) + " " + part("es", 60), part("de", 60) + " " + russian, part("en", 3), part("es", 20)]
+    rows = [(10**6 + i, t, None, "x") for i, t in enumerate(bad)] + [(2 * 10**6 + i, t, None, "x") for i, t in enumerate(good)]
+    left = cp.keep_known_language(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), FOLDER)
+    ids = {r["doc_id"] for r in left.collect()}
+    assert {i for i in ids if i >= 10**6} == {2 * 10**6 + i for i in range(len(good))}
+    assert len(ids) == docs.count() + len(good)
