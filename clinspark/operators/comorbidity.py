@@ -327,19 +327,33 @@ def any_category(long: DataFrame, cohort: DataFrame) -> DataFrame:
 
 
 def all_systems(longs: Mapping[str, DataFrame]) -> DataFrame:
-    """Long tables of several systems under one another, with the system in front of each category."""
+    """Long tables of several systems under one another, with the system in front of each category.
+
+    Where a table has a flag ``all``, the result has it too; rows of tables without it are all of all diagnoses.
+    """
+    flagged = any("all" in long.columns for long in longs.values())
+
+    def flags(long: DataFrame) -> list[Column]:
+        held = F.col("all") if "all" in long.columns else F.lit(True).alias("all")
+        return [held, F.col("poa")] if flagged else [F.col("poa")]
+
     parts = [
-        long.select(KEY, F.lit(system).alias("system"), F.col("category").cast("string").alias("category"), "poa")
+        long.select(KEY, F.lit(system).alias("system"), F.col("category").cast("string").alias("category"), *flags(long))
         for system, long in longs.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def prevalence_all(longs: Mapping[str, DataFrame], cohort: DataFrame) -> DataFrame:
-    """As :func:`prevalence`, one row per system and category, from one aggregation."""
+    """As :func:`prevalence`, one row per system and category, from one aggregation.
+
+    ``n`` counts the rows of all diagnoses: those with the flag ``all``, where there is one.
+    """
     total = cohort.agg(F.count_distinct(KEY)).scalar()
-    counts = all_systems(longs).groupBy("system", "category").agg(
-        F.count("*").alias("n"), F.count(F.when(F.col("poa"), True)).alias("n_poa")
+    rows = all_systems(longs)
+    n = F.count(F.when(F.col("all"), True)) if "all" in rows.columns else F.count("*")
+    counts = rows.groupBy("system", "category").agg(
+        n.alias("n"), F.count(F.when(F.col("poa"), True)).alias("n_poa")
     )
     return counts.withColumns({"pct": 100.0 * F.col("n") / total, "pct_poa": 100.0 * F.col("n_poa") / total})
 

@@ -206,6 +206,18 @@ def hcc_long(both: DataFrame) -> DataFrame:
     )
 
 
+def hcc_long_variants(both: DataFrame) -> DataFrame:
+    """Categories of both variants of :func:`hcc_both` in the long form, with a flag for each: ``all`` and ``poa``.
+
+    One row per encounter and category that either variant keeps, also where the hierarchy leaves it in the
+    present-on-admission variant alone.
+    """
+    return both.select(KEY, "hcc_all", "hcc_poa", F.explode(F.array_union("hcc_all", "hcc_poa")).alias("hcc")).select(
+        KEY, F.concat(F.lit("HCC"), F.col("hcc").cast("string")).alias("category"),
+        F.array_contains("hcc_all", F.col("hcc")).alias("all"), F.array_contains("hcc_poa", F.col("hcc")).alias("poa"),
+    )
+
+
 def hcc_features_wide(both: DataFrame, cohort: DataFrame, categories: Sequence[int] = fv.HCC_NUMBERS) -> DataFrame:
     """Both variants of every category as 0/1 columns, with count and score, for every encounter of the cohort."""
     columns = []

@@ -363,6 +363,18 @@ def test_heart_patch_and_count_terms(rows):
     assert [r[0] for r in n.select(hc.dcount_key(F.col("n"))).collect()] == [None, "D1", "D9", "D10P", "D10P"]
 
 
+def test_long_form_keeps_what_only_the_poa_variant_has(rows):
+    dx = rows(CODES, (1, "A", False), (1, "B", True), (2, "A", True), (3, "B", False), (4, "B", True))
+    crosswalk = rows("icd_code string, hcc int", ("A", 17), ("B", 18))
+    both = hc.hcc_both(dx, crosswalk, rows("feature string, coef double", ("HCC17", 1.0)))
+    long = hc.hcc_long_variants(both)
+    want = [(1, "HCC17", True, False), (1, "HCC18", False, True), (2, "HCC17", True, True), (3, "HCC18", True, False), (4, "HCC18", True, True)]
+    assert sorted(tuple(r) for r in long.select("encounterkey", "category", "all", "poa").collect()) == want
+    other = rows("encounterkey int, category string, poa boolean", (1, "X", True), (2, "X", False))
+    got = cm.prevalence_all({"hcc": long, "other": other}, rows("encounterkey int", (1,), (2,), (3,), (4,)))
+    assert sorted((r["category"], r["n"], r["n_poa"]) for r in got.collect()) == [("HCC17", 2, 1), ("HCC18", 2, 2), ("X", 2, 1)]
+
+
 def test_raf_score(rows):
     dx = rows(CODES, (1, "A", True), (1, "B", False), (2, "C", True), (3, "Z", True))
     crosswalk = rows("icd_code string, hcc int", ("A", 37), ("B", 226), ("C", 223))
