@@ -32,17 +32,27 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return line_dedup.without_boilerplate(docs, host="source", text="text", added=())
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, ``_row``, stored so that it stays the same; ids may repeat or be missing."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "row-keys")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies.  Rows without an id are kept."""
-    found = simhash_tiles.near_duplicates(docs, shingle=4, radius=4)
-    gone = found.filter("id <> component_id").select("id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["id"], "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near copies: that of the smallest id, rows without an id last, and of equal ids the first."""
+    rows = with_row_keys(docs)
+    # keys in the order in which rows are chosen, so that the smallest of a group is the one that stays
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    found = simhash_tiles.near_duplicates(rows.select(key.alias("doc_id"), "text"), shingle=4, radius=4)
+    gone = found.filter("id.row <> component_id.row").select(F.col("id.row").alias("_gone"))
+    return rows.join(gone, rows["_row"] == gone["_gone"], "left_anti").select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
-    leaks = decontam.contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti").select(*docs.columns)
+    """Drops the rows that hold a benchmark item, each looked at by itself, whatever its id."""
+    rows = with_row_keys(docs)
+    found = decontam.contained(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="_row")
+    leaks = found.select(F.col("doc_id").alias("_leak")).distinct()
+    return rows.join(leaks, rows["_row"] == leaks["_leak"], "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

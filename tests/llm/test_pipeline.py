@@ -71,3 +71,23 @@ def test_language_stage_drops_what_no_learned_language_fits(spark):
     ids = {r["doc_id"] for r in left.collect()}
     assert {i for i in ids if i >= 10**6} == {2 * 10**6 + i for i in range(len(good))}
     assert len(ids) == docs.count() + len(good)
+
+
+SOME, OTHER = " ".join(f"word{i}" for i in range(40)), " ".join(f"other{i}" for i in range(40))
+THIRD = " ".join(f"third{i}" for i in range(40))
+
+
+def left_by(spark, stage, rows):
+    docs = spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id long, text string, lang string, source string")
+    return sorted(((r["doc_id"], r["text"]) for r in stage(spark, docs, FOLDER).collect()), key=str)
+
+
+def test_near_dedup_tells_rows_apart(spark):
+    rows = [(1, SOME), (1, SOME), (2, OTHER), (2, SOME), (None, SOME), (None, THIRD), (None, THIRD)]
+    assert left_by(spark, cp.drop_near_copies, rows) == sorted([(1, SOME), (2, OTHER), (None, THIRD)], key=str)
+
+
+def test_decontamination_tells_rows_apart(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, f"{SOME} {item}"), (None, SOME), (None, OTHER), (3, f"{THIRD} {item}"), (3, THIRD), (4, item), (5, OTHER)]
+    assert left_by(spark, cp.drop_benchmark_leaks, rows) == sorted([(None, SOME), (None, OTHER), (3, THIRD), (5, OTHER)], key=str)
