@@ -14,6 +14,7 @@ from clinspark.llm import (
     language_spans,
     length_packing,
     line_dedup,
+    prefix_trie,
     simhash_tiles,
     subspace_join,
     suffix_dedup,
@@ -112,3 +113,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hmm_lm.scored(docs, fold != 2)
     held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query("op11_prefix_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    ids = prefix_trie.conversation_ids(rows)
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.numbered_turns(rows), ids), ids)
