@@ -46,6 +46,9 @@ RUNTIME_SETTINGS = {
     # where the split costs one more exchange before the aggregation that follows
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # facts are much larger than the keys of a cohort: scans of facts take a Bloom filter of up to so many bytes of stored keys
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 

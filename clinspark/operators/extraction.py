@@ -56,9 +56,23 @@ def duration_dim(durations: DataFrame, low: int = -99, high: int = 99) -> DataFr
     return durations.where((F.col("years") > low) & (F.col("years") < high))
 
 
-def extract_by_key(fact: DataFrame, keys: DataFrame, on: str = "encounterkey") -> DataFrame:
-    """Fact rows of the cohort; a key that occurs twice brings its rows twice."""
-    return fact.join(keys.select(on), on)
+def key_ranges(keys: DataFrame) -> DataFrame:
+    """``keys``, which should be a stored table, with the least and the largest encounter and patient as a condition.
+
+    Only rows without encounter or patient go, which join nothing.  Catalyst carries the condition over each join to the facts, where
+    it reaches the scan: row groups without a key of the cohort are not read.  It also makes the keys a side from which Spark
+    builds a Bloom filter for large scans at run time (``configure`` sets the sizes).  Two pairs of numbers reach the driver.
+    """
+    columns = ("encounterkey", "patientdurablekey")
+    ends = keys.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]).first()
+    for c in columns:
+        keys = keys.where(F.col(c).between(F.lit(ends[f"min_{c}"]), F.lit(ends[f"max_{c}"])))
+    return keys
+
+
+def extract_by_key(fact: DataFrame, keys: DataFrame | None, on: str = "encounterkey") -> DataFrame:
+    """Fact rows of the cohort, all rows without ``keys``; a key that occurs twice brings its rows twice."""
+    return fact if keys is None else fact.join(keys.select(on), on)
 
 
 def extract_optional(fact: DataFrame | None, keys: DataFrame, on: str = "encounterkey") -> DataFrame | None:
@@ -158,7 +172,7 @@ def imaging_summary(
 
 
 def imaging_match(
-    imaging: DataFrame, keys: DataFrame, words: Sequence[str] = fv.LUNG_WORDS, counts: bool = False
+    imaging: DataFrame, keys: DataFrame | None, words: Sequence[str] = fv.LUNG_WORDS, counts: bool = False
 ) -> DataFrame:
     """Procedures whose name holds one of the words: the rows, or counts per name and category."""
     matching = imaging.where(contains_any(F.lower("firstprocedurename"), words))
@@ -166,7 +180,7 @@ def imaging_match(
 
 
 def meds_by_class(
-    administrations: DataFrame, keys: DataFrame, therapeutic_class: str = fv.ANTIBIOTIC_CLASS
+    administrations: DataFrame, keys: DataFrame | None, therapeutic_class: str = fv.ANTIBIOTIC_CLASS
 ) -> DataFrame:
     return extract_by_key(
         administrations.where(F.col("medicationtherapeuticclass") == therapeutic_class), keys
@@ -176,7 +190,7 @@ def meds_by_class(
 def meds_by_name(
     codes: DataFrame,
     administrations: DataFrame,
-    keys: DataFrame,
+    keys: DataFrame | None,
     names: Sequence[str] = fv.VASOPRESSOR_NAMES,
     routes: Sequence[str] = fv.VASOPRESSOR_ROUTES,
 ) -> DataFrame:

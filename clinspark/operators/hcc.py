@@ -195,18 +195,6 @@ def hcc_both(
 
 
 def hcc_long(both: DataFrame) -> DataFrame:
-    """Categories of :func:`hcc_both` in the long form of the other systems.
-
-    The hierarchy can leave a category in the present-on-admission variant alone, where its parent lacks
-    evidence; such a row has ``poa`` without being among the categories of all diagnoses, so it is left out here.
-    """
-    return both.select(KEY, F.explode("hcc_all").alias("hcc"), "hcc_poa").select(
-        KEY, F.concat(F.lit("HCC"), F.col("hcc").cast("string")).alias("category"),
-        F.array_contains("hcc_poa", F.col("hcc")).alias("poa"),
-    )
-
-
-def hcc_long_variants(both: DataFrame) -> DataFrame:
     """Categories of both variants of :func:`hcc_both` in the long form, with a flag for each: ``all`` and ``poa``.
 
     One row per encounter and category that either variant keeps, also where the hierarchy leaves it in the

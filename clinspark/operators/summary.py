@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -230,39 +231,49 @@ def completeness(tables: Mapping[str, DataFrame], fields: Mapping[str, Sequence[
     return whole
 
 
-def dataset_summary(tables: Mapping[str, DataFrame | None], keys: DataFrame) -> DataFrame:
+#: Facts of the summary: which key they count by, and the name of their figure.
+_BY_ENCOUNTER = {
+    "admissions": "n_hospital_admissions", "icu": "n_icu_admissions", "antibiotics": "encounters_with_antibiotics",
+    "vasopressors": "encounters_with_vasopressors",
+}
+_BY_ROW = {"labs": "lab_results", "assess": "flowsheet_assess_records", "resp": "flowsheet_resp_records", "imaging": "imaging_procedures"}
+
+
+def dataset_summary(tables: Mapping[str, DataFrame | None], keys: DataFrame, extracted: bool = False) -> DataFrame:
     """One row of four structs: cohort, outcomes, treatments and data availability.
 
     ``tables`` may hold admissions, icu, deaths, antibiotics, vasopressors, labs, assess, resp and
-    imaging; a table the site lacks counts zero.
-    """
+    imaging, as whole facts or, with ``extracted``, as tables made by :mod:`clinspark.operators.extraction`; a table the site
+    lacks counts zero.  Rows of other encounters and patients do not count.
 
-    def encounters(name: str, key=lambda df: F.col(KEY)) -> Column:
-        df = tables.get(name)
-        return F.lit(0).cast("long") if df is None else _one(df, F.count_distinct(key(df)))
-
-    def rows(name: str) -> Column:
-        df = tables.get(name)
-        return F.lit(0).cast("long") if df is None else _one(df, F.count("*"))
-
-    return keys.sparkSession.range(1).select(
-        F.struct(
-            _one(keys, F.count_distinct(PATIENT)).alias("n_patients"),
-            _one(keys, F.count("*")).alias("n_encounters"),
-        ).alias("cohort"),
-        F.struct(
-            encounters("admissions").alias("n_hospital_admissions"),
-            encounters("icu").alias("n_icu_admissions"),
-            encounters("deaths", _dead).alias("n_deaths"),
-        ).alias("outcomes"),
-        F.struct(
-            encounters("antibiotics").alias("encounters_with_antibiotics"),
-            encounters("vasopressors").alias("encounters_with_vasopressors"),
-        ).alias("treatments"),
-        F.struct(
-            rows("labs").alias("lab_results"),
-            rows("assess").alias("flowsheet_assess_records"),
-            rows("resp").alias("flowsheet_resp_records"),
-            rows("imaging").alias("imaging_procedures"),
-        ).alias("data_availability"),
+    Keys and facts are stacked as narrow rows of (key, table) and counted once per key, combined before the one
+    exchange.  An extract has the rows of a key as often as the cohort has the key, so rows of whole facts count that often.
+    """
+    encounter = F.struct(F.lit("e").alias("kind"), F.col(KEY).cast("string").alias("key"))
+    patient = lambda value: F.struct(F.lit("p").alias("kind"), value.cast("string").alias("key"))
+    row = lambda df, table, key: df.select(F.lit(table).alias("table"), key.alias("k")).select("table", "k.kind", "k.key")
+    parts = [keys.select(F.lit("keys").alias("table"), F.explode(F.array(encounter, patient(F.col(PATIENT)))).alias("k")).select("table", "k.kind", "k.key")]
+    for name, df in tables.items():
+        if df is not None:
+            parts.append(row(df, name, patient(_dead(df)) if name == "deaths" else encounter))
+    names = ["keys", *_BY_ENCOUNTER, "deaths", *_BY_ROW]
+    stacked = reduce(DataFrame.unionByName, parts)
+    per_key = stacked.groupBy("kind", "key").agg(*[F.count(F.when(F.col("table") == n, True)).alias(n) for n in names]).where("keys > 0")
+    is_encounter, known = F.col("kind") == "e", F.col("key").isNotNull()
+
+    def keyed(test: Column) -> Column:
+        return F.count(F.when(known & test, True))
+
+    figures = {"n_patients": keyed(~is_encounter), "n_encounters": F.coalesce(F.sum(F.when(is_encounter, F.col("keys"))), F.lit(0))}
+    figures |= {figure: keyed(is_encounter & (F.col(n) > 0)) for n, figure in _BY_ENCOUNTER.items()}
+    figures |= {"n_deaths": keyed(~is_encounter & (F.col("deaths") > 0))}
+    # a missing key joins nothing
+    times = F.lit(1) if extracted else F.col("keys")
+    figures |= {figure: F.coalesce(F.sum(F.when(is_encounter & known, times * F.col(n))), F.lit(0)) for n, figure in _BY_ROW.items()}
+    counted = per_key.agg(*[value.cast("long").alias(figure) for figure, value in figures.items()])
+    return counted.select(
+        F.struct("n_patients", "n_encounters").alias("cohort"),
+        F.struct("n_hospital_admissions", "n_icu_admissions", "n_deaths").alias("outcomes"),
+        F.struct("encounters_with_antibiotics", "encounters_with_vasopressors").alias("treatments"),
+        F.struct(*_BY_ROW.values()).alias("data_availability"),
     )

@@ -6,24 +6,33 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.config import SiteConfig
+from clinspark.config import SiteConfig, configure
 from clinspark.operators import cohort as co
 from clinspark.operators import extraction as ex
+from clinspark.operators import summary as sm
 from clinspark.sources import mappings as mp
 from clinspark.sources import tables as tb
 
 FORMATS = ("parquet", "csv")
 
 
-def site_extract(table: Callable[[str], DataFrame], site: SiteConfig, spark: SparkSession) -> dict[str, DataFrame]:
+def site_keys(table: Callable[[str], DataFrame], site: SiteConfig) -> DataFrame:
+    """The key rows of a site's cohort."""
+    return ex.encounter_keys(table("edvisitfact"), table("patientdim"), table("patientlocationeventfact"), table("departmentdim"), site.ed_department)
+
+
+def site_extract(
+    table: Callable[[str], DataFrame], site: SiteConfig, spark: SparkSession, keys: DataFrame | None = None, patients: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Every table of a site's extraction by name; ``table`` gives a warehouse table.
 
     The flags of the site say which optional tables it has.  Without the flag such a table is not asked for, and the
-    extraction has no table of that name.
+    extraction has no table of that name.  ``keys`` and ``patients`` should be stored tables, as nearly all others join
+    them; without them each of the others evaluates the keys by itself.
     """
     visits = table("edvisitfact")
-    keys = ex.encounter_keys(visits, table("patientdim"), table("patientlocationeventfact"), table("departmentdim"), site.ed_department)
-    patients = ex.patient_keys(keys)
+    keys = site_keys(table, site) if keys is None else keys
+    patients = ex.patient_keys(keys) if patients is None else patients
     imaging, encounters = table("imagingfact"), table("encounterfact")
     terms, given = table("diagnosisterminologydim"), table("medicationadministrationfact")
     flowsheets, admissions = table("flowsheetvaluefact"), table("hospitaladmissionfact")
@@ -65,10 +74,27 @@ def site_extract(table: Callable[[str], DataFrame], site: SiteConfig, spark: Spa
 
 
 def extract_site(spark: SparkSession, site: SiteConfig, directory: str, formats: Sequence[str] = FORMATS) -> list[str]:
-    """Read a site's warehouse below ``site.path``, write every extracted table to ``directory``, return their names."""
-    made = site_extract(lambda name: spark.read.parquet(f"{site.path}/{name}"), site, spark)
-    for name, frame in made.items():
+    """Read a site's warehouse below ``site.path``, write every extracted table to ``directory``, return their names.
+
+    The keys are evaluated once: their files are written first and all other tables join what is read from them.  ``formats`` needs
+    one that keeps types, as text would not bring the same keys back.
+    """
+    typed = [form for form in formats if form in tb.TYPED_FORMATS]
+    if not typed:
+        raise ValueError(f"one of the formats must be of {tb.TYPED_FORMATS}")
+    configure(spark)
+    table = lambda name: spark.read.parquet(f"{site.path}/{name}")
+
+    def kept(name: str, frame: DataFrame) -> DataFrame:
         tb.write_result(frame, directory, name, formats)
+        return spark.read.schema(frame.schema).format(typed[0]).load(f"{directory}/{name}.{typed[0]}")
+
+    keys = kept("enc_keys", site_keys(table, site))
+    patients = kept("pt_keys", ex.patient_keys(keys))
+    made = site_extract(table, site, spark, ex.key_ranges(keys), patients)
+    for name, frame in made.items():
+        if name not in ("enc_keys", "pt_keys"):
+            tb.write_result(frame, directory, name, formats)
     return list(made)
 
 
@@ -88,14 +114,39 @@ def cohort_outputs(visits: DataFrame, labs: DataFrame, flowsheets: DataFrame, im
 
 
 def filter_site(spark: SparkSession, extracted: str, directory: str, formats: Sequence[str] = FORMATS) -> list[str]:
-    """Apply the cohort criteria to an extraction in ``extracted`` and write all six results to ``directory``."""
+    """Apply the cohort criteria to an extraction in ``extracted`` and write all results to ``directory``: the six tables, and
+    how many encounters each step leaves (``cohort_attrition``)."""
     read = lambda name: spark.read.parquet(f"{extracted}/{name}.parquet")
-    made = cohort_outputs(read("ed"), read("labs"), read("flowsheet_assess"), read("img_lung"))
+    visits, inputs = read("ed"), (read("labs"), read("flowsheet_assess"), read("img_lung"))
+    made = cohort_outputs(visits, *inputs)
+    criteria = co.encounter_criteria(*inputs, co.ed_arrival(visits))
+    made["cohort_attrition"] = co.attrition(visits, read("enc_keys"), criteria)
     for name, frame in made.items():
         tb.write_result(frame, directory, name, formats)
     return list(made)
 
 
+#: Tables of an extraction that the summary counts, by their name there.
+SUMMARISED = {
+    "admissions": "hosp_adm", "icu": "icu_reg", "deaths": "death", "antibiotics": "med_ab", "vasopressors": "med_vp",
+    "labs": "labs", "assess": "flowsheet_assess", "resp": "flowsheet_resp", "imaging": "img_lung",
+}
+
+
+def summarise_site(spark: SparkSession, extracted: str, directory: str) -> DataFrame:
+    """The figures of an extraction in ``extracted`` as the JSON document ``dataset_summary.json`` in ``directory``.
+
+    A table that the site does not have counts zero.
+    """
+    path = lambda name: f"{extracted}/{name}.parquet"
+    tables = {part: spark.read.parquet(path(name)) if tb.path_exists(spark, path(name)) else None for part, name in SUMMARISED.items()}
+    keys = spark.read.parquet(path("enc_keys"))
+    # extracts have the rows of a key as often as the cohort has the key; each counts once
+    summary = sm.dataset_summary(tables, keys, extracted=True)
+    tb.write_json(summary, f"{directory}/dataset_summary.json")
+    return summary
+
+
 def combine_sites(spark: SparkSession, filtered: dict[str, str], directory: str, formats: Sequence[str] = FORMATS) -> DataFrame:
     """The filtered cohorts of several sites, ``{source: directory}``, as one, written to ``directory``."""
     cohorts = {source: spark.read.parquet(f"{path}/filtered_cohort.parquet") for source, path in filtered.items()}

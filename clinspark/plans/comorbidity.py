@@ -346,19 +346,30 @@ def _(w):
 
 
 def all_sql(source):
-    return " UNION ALL ".join(f"SELECT '{system}' AS system, encounterkey, category, poa FROM {{{table}}}" for system, table in source.items())
+    """Rows of several systems with a flag for each variant; ``in_all`` is true where a system's table does not have it."""
+    held = {"hcc_rows": "in_all"}
+    return " UNION ALL ".join(
+        f"SELECT '{system}' AS system, encounterkey, category, {held.get(table, 'true')} AS in_all, poa FROM {{{table}}}" for system, table in source.items()
+    )
 
 
 shared("hcc_rows", """
-    SELECT a.encounterkey, 'HCC' || a.h AS category, p.h IS NOT NULL AS poa
+    SELECT coalesce(a.encounterkey, p.encounterkey) AS encounterkey, 'HCC' || coalesce(a.h, p.h) AS category,
+           a.h IS NOT NULL AS in_all, p.h IS NOT NULL AS poa
     FROM (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final}) a
-    LEFT JOIN (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final_poa}) p ON a.encounterkey = p.encounterkey AND a.h = p.h""")
+    FULL JOIN (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final_poa}) p ON a.encounterkey = p.encounterkey AND a.h = p.h""")
 shared("systems", all_sql({"ahrq": "ahrq", "quan": "quan", "hcc": "hcc_rows", "ccsr": "ccsr"}))
 shared("prev_all", """
-    SELECT system, category, count(*) AS n, count(*) FILTER (WHERE poa) AS n_poa,
+    SELECT system, category, count(*) FILTER (WHERE in_all) AS n, count(*) FILTER (WHERE poa) AS n_poa,
            100.0 * n / (SELECT count(*) FROM {gcohort}) AS pct,
            100.0 * n_poa / (SELECT count(*) FROM {gcohort}) AS pct_poa
     FROM {systems} GROUP BY system, category""")
+PREVALENCE_SQL = "SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa) FROM {prev_all}"
+IMPACT_SQL = """
+    SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa, round(delta_pct, 6) AS delta_pct) FROM (
+      SELECT *, pct - pct_poa AS delta_pct,
+             row_number() OVER (PARTITION BY system ORDER BY pct - pct_poa DESC, category) AS rank
+      FROM {prev_all} WHERE pct - pct_poa > 0.1) WHERE rank <= 10"""
 
 
 def hcc_both(w):
@@ -369,51 +380,19 @@ def four_systems(w):
     return {"ahrq": ahrq(w), "quan": quan(w), "hcc": hc.hcc_long(hcc_both(w)), "ccsr": ccsr(w)}
 
 
-@query("prevalence_all", "SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa) FROM {prev_all}")
+# the second name of each is that of an earlier version which alone counted both variants of HCC
+@query("prevalence_all_variants", PREVALENCE_SQL)
+@query("prevalence_all", PREVALENCE_SQL)
 def _(w):
     return rounded(cm.prevalence_all(four_systems(w), cohort(w)), "pct", "pct_poa")
 
 
-@query("poa_impact_all", """
-    SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa, round(delta_pct, 6) AS delta_pct) FROM (
-      SELECT *, pct - pct_poa AS delta_pct,
-             row_number() OVER (PARTITION BY system ORDER BY pct - pct_poa DESC, category) AS rank
-      FROM {prev_all} WHERE pct - pct_poa > 0.1) WHERE rank <= 10""")
+@query("poa_impact_all_variants", IMPACT_SQL)
+@query("poa_impact_all", IMPACT_SQL)
 def _(w):
     return rounded(cm.poa_impact_all(cm.prevalence_all(four_systems(w), cohort(w))), "pct", "pct_poa", "delta_pct")
 
 
-shared("hcc_rows_variants", """
-    SELECT coalesce(a.encounterkey, p.encounterkey) AS encounterkey, 'HCC' || coalesce(a.h, p.h) AS category,
-           a.h IS NOT NULL AS in_all, p.h IS NOT NULL AS poa
-    FROM (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final}) a
-    FULL JOIN (SELECT encounterkey, unnest(hcc) AS h FROM {hcc_final_poa}) p ON a.encounterkey = p.encounterkey AND a.h = p.h""")
-shared("prev_all_variants", """
-    SELECT system, category, count(*) FILTER (WHERE in_all) AS n, count(*) FILTER (WHERE poa) AS n_poa,
-           100.0 * n / (SELECT count(*) FROM {gcohort}) AS pct,
-           100.0 * n_poa / (SELECT count(*) FROM {gcohort}) AS pct_poa
-    FROM (SELECT system, encounterkey, category, true AS in_all, poa FROM {systems} WHERE system <> 'hcc'
-          UNION ALL SELECT 'hcc', encounterkey, category, in_all, poa FROM {hcc_rows_variants}) GROUP BY system, category""")
-
-
-def four_systems_variants(w):
-    return four_systems(w) | {"hcc": hc.hcc_long_variants(hcc_both(w))}
-
-
-@query("prevalence_all_variants", "SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa) FROM {prev_all_variants}")
-def _(w):
-    return rounded(cm.prevalence_all(four_systems_variants(w), cohort(w)), "pct", "pct_poa")
-
-
-@query("poa_impact_all_variants", """
-    SELECT * REPLACE (round(pct, 6) AS pct, round(pct_poa, 6) AS pct_poa, round(delta_pct, 6) AS delta_pct) FROM (
-      SELECT *, pct - pct_poa AS delta_pct,
-             row_number() OVER (PARTITION BY system ORDER BY pct - pct_poa DESC, category) AS rank
-      FROM {prev_all_variants} WHERE pct - pct_poa > 0.1) WHERE rank <= 10""")
-def _(w):
-    return rounded(cm.poa_impact_all(cm.prevalence_all(four_systems_variants(w), cohort(w))), "pct", "pct_poa", "delta_pct")
-
-
 @query("ccsr_counts", """
     SELECT c.encounterkey, count(category) AS ccsr_all_count, count(category) FILTER (WHERE poa) AS ccsr_poa_count,
            count(DISTINCT left(category, 3)) AS ccsr_all_sys_count,

@@ -434,19 +434,18 @@ SUMMARY = {
 
 @query("dataset_summary", "SELECT " + ", ".join(f"(SELECT {sql}) AS {name}" for name, sql in SUMMARY.items()))
 def _(w):
-    k = keys(w)
-    tables = {
-        "admissions": admissions(w),
-        "icu": x.extract_by_key(w["icu"], k),
-        "deaths": x.death_rows(w["death"], k),
-        "antibiotics": antibiotics(w),
-        "vasopressors": vasopressors(w),
-        "labs": x.extract_by_key(w["lab2"], k),
-        "assess": x.extract_by_key(w["vit"], k),
-        "resp": x.extract_by_key(w["resp"], k),
-        "imaging": x.imaging_match(w["img"], k),
+    facts = {
+        "admissions": w["adm"],
+        "icu": w["icu"],
+        "deaths": w["death"],
+        "antibiotics": x.meds_by_class(w["mar"], None),
+        "vasopressors": x.meds_by_name(w["codes"], w["mar"], None),
+        "labs": w["lab2"],
+        "assess": w["vit"],
+        "resp": w["resp"],
+        "imaging": x.imaging_match(w["img"], None),
     }
-    summary = sm.dataset_summary(tables, k)
+    summary = sm.dataset_summary(facts, keys(w))
     return summary.select("cohort.*", "outcomes.*", "treatments.*", "data_availability.*")
 
 

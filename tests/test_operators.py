@@ -367,12 +367,18 @@ def test_long_form_keeps_what_only_the_poa_variant_has(rows):
     dx = rows(CODES, (1, "A", False), (1, "B", True), (2, "A", True), (3, "B", False), (4, "B", True))
     crosswalk = rows("icd_code string, hcc int", ("A", 17), ("B", 18))
     both = hc.hcc_both(dx, crosswalk, rows("feature string, coef double", ("HCC17", 1.0)))
-    long = hc.hcc_long_variants(both)
+    long = hc.hcc_long(both)
     want = [(1, "HCC17", True, False), (1, "HCC18", False, True), (2, "HCC17", True, True), (3, "HCC18", True, False), (4, "HCC18", True, True)]
     assert sorted(tuple(r) for r in long.select("encounterkey", "category", "all", "poa").collect()) == want
     other = rows("encounterkey int, category string, poa boolean", (1, "X", True), (2, "X", False))
     got = cm.prevalence_all({"hcc": long, "other": other}, rows("encounterkey int", (1,), (2,), (3,), (4,)))
     assert sorted((r["category"], r["n"], r["n_poa"]) for r in got.collect()) == [("HCC17", 2, 1), ("HCC18", 2, 2), ("X", 2, 1)]
+    # the counts are the column sums of the wide form
+    wide = hc.hcc_features_wide(both, rows("encounterkey int", (1,), (2,), (3,), (4,)), [17, 18])
+    sums = wide.agg(*[F.sum(f"hcc_{v}_hcc{c}") for c in (17, 18) for v in ("all", "poa")]).first()
+    assert tuple(sums) == (2, 1, 2, 2)
+    drops = cm.poa_impact_all(got).collect()
+    assert [(r["category"], r["delta_pct"]) for r in drops if r["system"] == "hcc"] == [("HCC17", 25.0)]
 
 
 def test_raf_score(rows):
