@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from clinspark.llm import (
     chat_links,
     decontam,
+    fill_middle,
     hmm_lm,
     language_spans,
     length_packing,
     line_dedup,
+    mixing,
     prefix_trie,
     simhash_tiles,
     subspace_join,
@@ -120,3 +122,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     ids = prefix_trie.conversation_ids(rows)
     return prefix_trie.prefix_trie(prefix_trie.rebuilt(prefix_trie.numbered_turns(rows), ids), ids)
+
+
+@_query("op12_fill_middle", fill_middle.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(_read(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@_query("op13_mixing", mixing.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.placed_documents(_read(spark, sf_dir, "documents"))
+    return mixing.taken(placed, mixing.mixed(placed))
