@@ -210,21 +210,19 @@ def _matrix_cells(
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def epoch_matrix(
+def _cells(
     window: DataFrame,
     labs: DataFrame,
     flow: DataFrame,
     antibiotics: DataFrame,
     pressors: DataFrame,
     ventilation: DataFrame,
-    flags: DataFrame,
 ) -> DataFrame:
-    """One wide row per included encounter: epochs, last values, antibiotic, eSOFA and diagnosis flags.
+    """What the matrix is made of, narrow: the window's columns, ``slot``, and its ``first`` and ``last`` as ``(t, v)``.
 
-    All events are stacked, joined with the window once and reduced to one cell per encounter and slot; the join, that
-    reduction and the pivot share one partitioning.  ``pressors`` and ``ventilation`` are ``(encounterkey, ts)`` events.
+    All events are stacked, joined with the window once and reduced to one cell per encounter and slot.  An encounter without
+    events has one row without a slot.
     """
-    labels = [*fv.EPOCH_LABS, *fv.EPOCH_VITALS]
     kind, label, ts, none = F.col("kind"), F.col("label"), F.col("ts"), F.lit(None).cast("timestamp_ntz")
     before = ts < F.col(START)
     inside = in_window(ts, F.col("begin_timestamp"), 0, None, "none") & in_window(ts, F.col("end_timestamp"), None, 0, "none")
@@ -242,7 +240,7 @@ def epoch_matrix(
     )
     columns = list(window.columns)
     events = window.join(_matrix_cells(labs, flow, antibiotics, pressors, ventilation), KEY, "left")
-    reduced = (
+    return (
         events.select(*columns, "v", F.explode_outer(F.array_compact(cells)).alias("c"))
         .groupBy(*columns, F.col("c.slot").alias("slot"))
         .agg(
@@ -250,6 +248,25 @@ def epoch_matrix(
             F.min(F.struct(F.col("c.t").alias("t"), F.col("v").isNull().alias("n"), F.col("v"))).alias("first"),
         )
     )
+
+
+def epoch_matrix(
+    window: DataFrame,
+    labs: DataFrame,
+    flow: DataFrame,
+    antibiotics: DataFrame,
+    pressors: DataFrame,
+    ventilation: DataFrame,
+    flags: DataFrame,
+) -> DataFrame:
+    """One wide row per included encounter: epochs, last values, antibiotic, eSOFA and diagnosis flags.
+
+    The events are reduced to cells first; their join with the window, that reduction and the pivot share one
+    partitioning.  ``pressors`` and ``ventilation`` are ``(encounterkey, ts)`` events.
+    """
+    labels = [*fv.EPOCH_LABS, *fv.EPOCH_VITALS]
+    columns = list(window.columns)
+    reduced = _cells(window, labs, flow, antibiotics, pressors, ventilation)
     slot = F.col("slot")
 
     def value(name: Column, v: Column) -> Column:
@@ -295,6 +312,59 @@ def missingness(df: DataFrame) -> DataFrame:
     )
 
 
+def matrix_missingness(
+    window: DataFrame,
+    labs: DataFrame,
+    flow: DataFrame,
+    antibiotics: DataFrame,
+    pressors: DataFrame,
+    ventilation: DataFrame,
+    flags: DataFrame,
+) -> DataFrame:
+    """:func:`missingness` of the :func:`epoch_matrix` of the same arguments, without making its columns.
+
+    The cells of an encounter name the columns that they fill; the names are counted.  Nothing is pivoted, and the widest row
+    holds an encounter's names.
+    """
+    labels = [*fv.EPOCH_LABS, *fv.EPOCH_VITALS]
+    columns = list(window.columns)
+    slot = F.col("slot")
+    measured = slot.startswith("epoch_") | slot.startswith("pre_inclusion_")
+    epoch = epoch_number(F.col("first.t"), F.col(START))
+    filled = F.array(
+        F.when(measured & F.col("last.v").isNotNull(), slot),
+        F.when(slot.startswith("pre_inclusion_") & F.col("last.t").isNotNull(), F.concat(slot, F.lit("_timestamp"))),
+        F.when((slot == "abx") & F.col("first.v").isNotNull(), _slot(epoch, F.lit("abx"))),
+    )
+
+    def of(name: str, v: str) -> Column:
+        return F.max(F.when(slot == name, F.col(v)))
+
+    organs = [of("pressor", "last.v").alias("esofa_pressor"), of("mv", "last.v").alias("esofa_mv")]
+    for k in LABS:
+        organs += [of(f"base_{k}", "first.v").alias(f"baseline_{k}"), of(f"window_{k}", "last.v").alias(f"max_{k}"), of(f"window_{k}", "first.v").alias(f"min_{k}")]
+    rows = (
+        _cells(window, labs, flow, antibiotics, pressors, ventilation)
+        .groupBy(*columns).agg(F.flatten(F.collect_list(F.array_compact(filled))).alias("_names"), *organs)
+        .select(*columns, "_names", "esofa_pressor", "esofa_mv", *[flag.alias(name) for name, flag in lab_flags().items()])
+        .join(flags, KEY, "left")
+    )
+    own = [*columns, *PARTS, *[c for c in flags.columns if c != KEY]]
+    held = [F.when(F.col(c).isNotNull(), F.lit(c)) for c in own]
+    counts = rows.select(F.explode(F.array_append(F.concat("_names", F.array_compact(F.array(*held))), F.lit("_rows"))).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    table = counts.agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("found"))
+    # columns that are there wherever another one is
+    always = {"esofa_count": "_rows", "esofa_binary": "_rows"} | {f"epoch_{i}_{end}": START for i in range(1, EPOCHS + 1) for end in ("begin", "end")}
+    last = [f"pre_inclusion_{name}" for name in labels]
+    named = [*own, *epoch_columns(labels), *last, *[f"{name}_timestamp" for name in last], *epoch_columns(["abx"])]
+    whole = {name: name for name in named} | always
+    listed = F.array(*[F.struct(F.lit(name).alias("key"), F.lit(by).alias("by")) for name, by in whole.items()])
+    present = F.coalesce(F.element_at("found", F.col("c.by")), F.lit(0))
+    return table.select("found", F.explode(listed).alias("c")).select(
+        F.col("c.key").alias("key"), (1 - present / F.element_at("found", F.lit("_rows"))).alias("value")
+    )
+
+
 def measurement_frequency(
     flow: DataFrame, anchor: DataFrame, item: str = "Pulse", window: float = 4
 ) -> DataFrame:
@@ -311,3 +381,14 @@ def epoch_coverage(matrix: DataFrame, label: str, epochs: Sequence[int] = range(
     for flag in present[1:]:
         covered = covered + flag
     return matrix.select(covered.alias("covered")).groupBy("covered").agg(F.count("*").alias("n"))
+
+
+def label_coverage(window: DataFrame, measures: DataFrame, label: str, epochs: Sequence[int] = range(1, 5)) -> DataFrame:
+    """:func:`epoch_coverage` of a matrix with the window's encounters and these measures, counted from the measures themselves."""
+    columns = list(window.columns)
+    valued = measures.where((F.col("label") == label) & F.col("measure").isNotNull()).select(KEY, "ts")
+    epoch = epoch_number(F.col("ts"), F.col(START))
+    held = [F.coalesce(F.max(F.when(epoch == i, 1)), F.lit(0)) for i in epochs]
+    covered = reduce(lambda a, b: a + b, held)
+    joined = window.join(valued, KEY, "left").groupBy(*columns).agg(covered.alias("covered"))
+    return joined.groupBy("covered").agg(F.count("*").alias("n"))

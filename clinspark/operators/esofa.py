@@ -121,8 +121,8 @@ def esofa(
 ) -> DataFrame:
     """All flags per included encounter, their number and whether there is any.
 
-    ``pressors`` and ``ventilation`` are ``(encounterkey, ts)`` events.  They and the labs are stacked
-    and joined with the window once.
+    ``pressors`` and ``ventilation`` are ``(encounterkey, ts)`` events.  They and the labs are stacked, joined to the window
+    once, and reduced per row of the window on the same partitioning; an encounter without events keeps its row.
     """
 
     def marked(events: DataFrame, kind: str) -> DataFrame:
@@ -137,17 +137,17 @@ def esofa(
     def early(kind: str) -> Column:
         return F.max(F.when((F.col("kind") == kind) & (F.col("ts") < F.col("midpoint_timestamp")), 1))
 
+    columns = list(window.columns)
     extremes = [c for kind in LABS for c in _lab_extremes(kind, _in_window())]
     parts = (
-        stacked.join(window, KEY)
-        .groupBy(KEY)
+        window.join(stacked, KEY, "left")
+        .groupBy(*columns)
         .agg(early("pressor").alias("esofa_pressor"), early("ventilation").alias("esofa_mv"), *extremes)
         .select(
-            KEY, "esofa_pressor", "esofa_mv", *[flag.alias(name) for name, flag in lab_flags().items()]
+            *columns, "esofa_pressor", "esofa_mv", *[flag.alias(name) for name, flag in lab_flags().items()]
         )
+        .select(*columns, *PARTS)
     )
-    return (
-        window.join(parts, KEY, "left")
-        .withColumn("esofa_count", null_safe_sum(*[F.col(p) for p in PARTS]))
-        .withColumn("esofa_binary", (F.col("esofa_count") > 0).cast("int"))
+    return parts.withColumn("esofa_count", null_safe_sum(*[F.col(p) for p in PARTS])).withColumn(
+        "esofa_binary", (F.col("esofa_count") > 0).cast("int")
     )

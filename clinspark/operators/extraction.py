@@ -37,9 +37,10 @@ def encounter_keys(
     is_adult = (visits["patientdurablekey"] == current["durablekey"]) & (
         age_years(current["birthdate"], visits["arrivaldatekeyvalue"]) >= min_age
     )
+    # the join by encounter comes last, so that the keys are already dealt by encounter for what joins them
     return (
-        visits.join(in_department.select("encounterkey"), "encounterkey", "left_semi")
-        .join(current, is_adult, "left_semi")
+        visits.join(current, is_adult, "left_semi")
+        .join(in_department.select("encounterkey"), "encounterkey", "left_semi")
         .select(
             "encounterkey", "patientkey", "patientdurablekey", "arrivaldatekeyvalue", "hospitaladmissionkey"
         )

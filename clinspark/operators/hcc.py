@@ -18,7 +18,6 @@ from clinspark.functions.scalars import age_completed, n_pct
 from clinspark.operators.comorbidity import by_fact_key
 
 KEY = "encounterkey"
-DROPPED = -1
 
 
 def _ints(values: Sequence[int]) -> Column:
@@ -30,22 +29,12 @@ def hcc_cc_set(
 ) -> DataFrame:
     """The set of condition categories per encounter.
 
-    ``dx`` holds codes, or facts whose codes are in ``codes`` (see :mod:`clinspark.operators.comorbidity`).  A
-    ``cc_override`` column, as made by :func:`age_sex_edits`, replaces the crosswalk: a category of its
-    own, or no category at all.
+    ``dx`` holds codes, or facts whose codes are in ``codes`` (see :mod:`clinspark.operators.comorbidity`).
     """
     if poa_only:
         dx = dx.where("poa_qualified")
-    if "cc_override" not in dx.columns:
-        keyed, on = by_fact_key(crosswalk, codes)
-        mapped = dx.join(keyed, on).select(key, "hcc")
-    else:
-        mapped = (
-            dx.join(crosswalk, "icd_code", "left")
-            .select(key, F.coalesce("cc_override", "hcc").alias("hcc"))
-            .where(F.col("hcc") != DROPPED)
-        )
-    return mapped.groupBy(key).agg(F.sort_array(F.collect_set("hcc")).alias("cc"))
+    keyed, on = by_fact_key(crosswalk, codes)
+    return dx.join(keyed, on).groupBy(key).agg(F.sort_array(F.collect_set("hcc")).alias("cc"))
 
 
 def hcc_cc_sets(dx: DataFrame, crosswalk: DataFrame, key: str = KEY, codes: DataFrame | None = None) -> DataFrame:
@@ -224,22 +213,17 @@ def hcc_features_wide(both: DataFrame, cohort: DataFrame, categories: Sequence[i
 def hcc_summary(both: DataFrame, cohort: DataFrame) -> DataFrame:
     """Per variant: encounters with any category and their share, mean count, mean and median score of the cohort."""
     every = cohort.select(KEY).distinct().join(both, KEY, "left")
-    rows = []
-    for v in VARIANTS:
-        n, raf = F.coalesce(f"n_{v}", F.lit(0)).cast("double"), F.coalesce(f"raf_{v}", F.lit(0.0))
-        for measure, value in (("any", (n > 0).cast("double")), ("count", n), ("raf", raf)):
-            rows.append(F.struct(F.lit(v).alias("variant"), F.lit(measure).alias("measure"), value.alias("value")))
+    rows = [
+        F.struct(F.lit(v).alias("variant"), F.coalesce(f"n_{v}", F.lit(0)).alias("count"), F.coalesce(f"raf_{v}", F.lit(0.0)).alias("raf"))
+        for v in VARIANTS
+    ]
     long = every.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    # every figure comes out of one count of the distinct values
-    profile = numeric_profile(long, ["variant", "measure"], "value", {"median": 0.5})
-
-    def of(measure: str, column: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, F.col(column)))
-
-    n_any = F.round(of("any", "mean") * of("any", "n")).cast("long")
-    return profile.groupBy("variant").agg(
-        n_any.alias("n_any"), n_pct(n_any, of("any", "n"), 4).alias("pct_any"),
-        of("count", "mean").alias("mean_count"), of("raf", "mean").alias("mean_raf"), of("raf", "median").alias("median_raf"),
+    sums = {"n_any": (F.col("count") > 0).cast("long"), "categories": F.col("count")}
+    # every figure comes out of one count of the distinct scores
+    profile = numeric_profile(long, ["variant"], "raf", {"median": 0.5}, sums=sums)
+    return profile.select(
+        "variant", "n_any", n_pct(F.col("n_any"), F.col("n"), 4).alias("pct_any"), (F.col("categories") / F.col("n")).alias("mean_count"),
+        F.col("mean").alias("mean_raf"), F.col("median").alias("median_raf"),
     )
 
 
@@ -286,19 +270,57 @@ def demographics(person: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def age_sex_edits(dx: DataFrame, person: DataFrame, key: str) -> DataFrame:
-    """Diagnoses with a ``cc_override`` where age or sex changes or removes the category.
+#: Edit classes: a bit for each list of codes that age or sex can change.
+EDIT_CLASSES = {"female": 1, "lung": 2, "breast": 4, "newborn": 8}
+
 
-    Persons bring ``age`` in years and ``sex`` (1 male, 2 female).
+def edited_crosswalk(crosswalk: DataFrame) -> DataFrame:
+    """``(icd_code, hcc, edits)``: the crosswalk with the edit classes of each code as bits.
+
+    Codes of a class that have no category are added with none, as an edit may give them one.
     """
-    code = F.col("icd_code")
-    override = (
-        F.when((F.col("sex") == "2") & code.isin(fv.EDIT_FEMALE_CODES), fv.EDIT_FEMALE_CC)
-        .when((F.col("age") < fv.EDIT_LUNG_UNDER_AGE) & code.isin(fv.EDIT_LUNG_CODES), DROPPED)
-        .when((F.col("age") < fv.EDIT_BREAST_UNDER_AGE) & code.isin(fv.EDIT_BREAST_CODES), fv.EDIT_BREAST_CC)
-        .when((F.col("age") >= fv.EDIT_NEWBORN_FROM_AGE) & code.isin(fv.EDIT_NEWBORN_CODES), DROPPED)
+    lists = {"female": fv.EDIT_FEMALE_CODES, "lung": fv.EDIT_LUNG_CODES, "breast": fv.EDIT_BREAST_CODES, "newborn": fv.EDIT_NEWBORN_CODES}
+    bits: dict[str, int] = {}
+    for name, codes in lists.items():
+        for code in codes:
+            bits[code] = bits.get(code, 0) | EDIT_CLASSES[name]
+    classes = crosswalk.sparkSession.createDataFrame(list(bits.items()), "icd_code string, edits int")
+    return crosswalk.select("icd_code", "hcc").join(classes, "icd_code", "full").select("icd_code", "hcc", F.coalesce("edits", F.lit(0)).alias("edits"))
+
+
+def edited_category() -> Column:
+    """The category of a diagnosis after the edits, null where they remove it; from ``hcc`` and ``edits`` of the code, and
+    ``age`` in years and ``sex`` (1 male, 2 female) of the person."""
+
+    def of(name: str) -> Column:
+        return F.col("edits").bitwiseAND(F.lit(EDIT_CLASSES[name])) != 0
+
+    none = F.lit(None).cast("int")
+    return (
+        F.when((F.col("sex") == "2") & of("female"), F.lit(fv.EDIT_FEMALE_CC))
+        .when((F.col("age") < fv.EDIT_LUNG_UNDER_AGE) & of("lung"), none)
+        .when((F.col("age") < fv.EDIT_BREAST_UNDER_AGE) & of("breast"), F.lit(fv.EDIT_BREAST_CC))
+        .when((F.col("age") >= fv.EDIT_NEWBORN_FROM_AGE) & of("newborn"), none)
+        .otherwise(F.col("hcc"))
     )
-    return dx.join(person.select(key, "age", "sex"), key).withColumn("cc_override", override)
+
+
+def edited_cc_set(
+    dx: DataFrame, crosswalk: DataFrame, person: DataFrame, key: str, poa_only: bool = False, codes: DataFrame | None = None
+) -> DataFrame:
+    """As :func:`hcc_cc_set` by person, where age or sex changes or removes categories.
+
+    The edit classes are put on the terminology, before any fact: a fact brings its category and classes along by diagnosis key, and what they
+    mean for the person is decided after the join with ``person`` (``key``, ``age`` and ``sex``).  A person has a row
+    if the edits leave a category.
+    """
+    if poa_only:
+        dx = dx.where("poa_qualified")
+    keyed, on = by_fact_key(edited_crosswalk(crosswalk), codes)
+    # what a person has of one category and class is the same however often, so it is reduced before the person is joined
+    held = dx.join(keyed, on).select(key, "hcc", "edits").distinct()
+    decided = held.join(person.select(key, "age", "sex"), key).select(key, edited_category().alias("hcc"))
+    return decided.where("hcc IS NOT NULL").groupBy(key).agg(F.sort_array(F.collect_set("hcc")).alias("cc"))
 
 
 def _age_cell(cells: Sequence[tuple[str, int]], prefix: str = "") -> Column:

@@ -625,16 +625,19 @@ EDIT_OVERRIDE = f"""
          WHEN age >= 2 AND icd_code IN {in_list(fv.EDIT_NEWBORN_CODES)} THEN -1 END"""
 
 
-def edit_dx(w):
-    table = F.array(*[F.lit(c) for c in EDITED])
+def edit_facts(w):
     owners = w["orders"].select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("patientdurablekey"))
     return w["lineitem"].join(owners, "l_orderkey").select(
-        "patientdurablekey",
-        F.element_at(table, (F.col("l_partkey") % len(EDITED)).cast("int") + 1).alias("icd_code"),
-        (F.col("l_returnflag") == "A").alias("poa_qualified"),
+        "patientdurablekey", F.col("l_partkey").alias("diagnosiskey"), (F.col("l_returnflag") == "A").alias("poa_qualified")
     )
 
 
+def edit_terms(w):
+    table = F.array(*[F.lit(c) for c in EDITED])
+    code = F.element_at(table, (F.col("p_partkey") % len(EDITED)).cast("int") + 1)
+    return w["part"].select(F.col("p_partkey").alias("diagnosiskey"), code.alias("icd_code"))
+
+
 @query("hcc_age_sex_edits", f"""
     SELECT patientdurablekey, {TEXT.format("list(DISTINCT cc)")} AS cc FROM (
       SELECT d.patientdurablekey, coalesce({EDIT_OVERRIDE}, hcc) AS cc
@@ -642,8 +645,7 @@ def edit_dx(w):
       LEFT JOIN {{edit_map}} USING (icd_code)) WHERE cc <> -1 GROUP BY patientdurablekey""")
 def _(w):
     key = "patientdurablekey"
-    edited = hc.age_sex_edits(edit_dx(w), persons(w), key)
-    return as_text(hc.hcc_cc_set(edited, mapping(w, EDIT_MAP, "int"), key), "cc")
+    return as_text(hc.edited_cc_set(edit_facts(w), mapping(w, EDIT_MAP, "int"), persons(w), key, codes=edit_terms(w)), "cc")
 
 
 # --- segment scores --------------------------------------------------------------------------------------------

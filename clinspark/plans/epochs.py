@@ -117,9 +117,14 @@ shared("matrix", f"""
     LEFT JOIN {{esofa}} s ON t.encounterkey = s.encounterkey LEFT JOIN {{dxflags}} f ON t.encounterkey = f.encounterkey""")
 
 
+def matrix_inputs(w):
+    # events of all encounters, as the window they are joined to holds the cohort's
+    given = meds_by_class(w["mar"], None)
+    return window(w), w["lab2"], w["vit"], given, *organ_events(w), dx_flags(w)
+
+
 def matrix(w):
-    given = meds_by_class(w["mar"], keys(w))
-    return ep.epoch_matrix(window(w), w["lab2"], w["vit"], given, *organ_events(w), dx_flags(w))
+    return ep.epoch_matrix(*matrix_inputs(w))
 
 
 @query("epoch_matrix", "SELECT * FROM {matrix}")
@@ -131,7 +136,7 @@ def _(w):
     SELECT name AS key, round(1 - n / (SELECT count(*) FROM {matrix}), 9) AS value
     FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {matrix}) ON COLUMNS(*) INTO NAME name VALUE n)""")
 def _(w):
-    return ep.missingness(matrix(w)).withColumn("value", F.round("value", 9))
+    return ep.matrix_missingness(*matrix_inputs(w)).withColumn("value", F.round("value", 9))
 
 
 @query("measurement_frequency", """
@@ -146,4 +151,4 @@ def _(w):
     SELECT (epoch_1_pulse IS NOT NULL)::INT + (epoch_2_pulse IS NOT NULL)::INT + (epoch_3_pulse IS NOT NULL)::INT
            + (epoch_4_pulse IS NOT NULL)::INT AS covered, count(*) AS n FROM {matrix} GROUP BY covered""")
 def _(w):
-    return ep.epoch_coverage(matrix(w), "pulse")
+    return ep.label_coverage(window(w), ep.labelled_vitals(w["vit"]), "pulse")

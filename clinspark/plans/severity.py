@@ -243,8 +243,8 @@ def pressor_events(w):
 
 
 def organ_events(w):
-    """Vasopressor and ventilation events."""
-    pressors = pressor_events(w).select("encounterkey", F.col("administrationinstant").alias("ts"))
+    """Vasopressor and ventilation events of all encounters; the window they are joined to holds the cohort's."""
+    pressors = meds_by_name(w["codes"], w["mar"], None).select("encounterkey", F.col("administrationinstant").alias("ts"))
     ventilation = w["resp"].where(F.col("flowsheetrowname").isin(fv.VENTILATION_ROWS)).select("encounterkey", "ts")
     return pressors, ventilation
 

@@ -66,18 +66,28 @@ CSV_OPTIONS = {
 
 
 def read_csv_columns(
-    spark: SparkSession, path: str, columns: Sequence[str], schema: StructType | str | None = None
+    spark: SparkSession, path: str, columns: Sequence[str], schema: StructType | str | None = None, line_breaks: bool = True
 ) -> DataFrame:
     """Some columns of a CSV file; the others are not parsed.
 
     Columns are text, or of the types in ``schema``, which describes the whole file.  Texts may hold line breaks and
     quotes; an empty text stays apart from a missing one.
+
+    A file whose texts may hold line breaks can only be read from its beginning, by one task.  With ``line_breaks=False`` files
+    are cut into splits and read by many tasks; if a text does hold a line break, the query fails.  That is told by a line
+    with an odd number of quotes, which a second pass over the lines looks for, in as many tasks.
     """
     # the reader puts its null value in place of a field that holds nothing; an empty text must not equal it
-    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": True, "emptyValue": "", "nullValue": "\\N"})
+    reader = spark.read.options(**CSV_OPTIONS | {"multiLine": line_breaks, "emptyValue": "", "nullValue": "\\N"})
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path).select(*columns)
+    if line_breaks:
+        return reader.csv(path).select(*columns)
+    quotes = F.regexp_count("value", F.lit(CSV_OPTIONS["quote"]))
+    # one line is enough; a scalar subquery, so that it runs with the query and not before
+    broken = spark.read.text(path).where(quotes % 2 == 1).limit(1).agg(F.count("*")).scalar()
+    sound = F.when(broken == 0, True).otherwise(F.raise_error(F.lit(f"line break inside a text of {path}; read it with line_breaks=True")).cast("boolean"))
+    return reader.csv(path).where(sound).select(*columns)
 
 
 TYPED_FORMATS = ("parquet", "orc")

@@ -105,6 +105,14 @@ def test_profile_matches_builtin_percentile(spark):
             assert got[row["g"]][name] == pytest.approx(row[name]), name
 
 
+def test_profile_over_all_sizes_of_numbers(rows):
+    values = [0.0, -0.0, 5e-324, -5e-324, 1e-300, -1e-300, 1.0, -1.0, 1.0000000001, 3.5, 3.5, -7.25, 1.7e308, -1.7e308, float("inf"), float("-inf"), 2.0, None]
+    shares = [i / 16 for i in range(17)]
+    got = numeric_profile(rows("v double, w int", *[(v, i) for i, v in enumerate(values)]), [], "v", {f"p{i}": p for i, p in enumerate(shares)}, sums={"w": F.col("w") % 3}).first()
+    ordered = sorted(v for v in values if v is not None)
+    assert [got[f"p{i}"] for i in range(1, 16)] == ordered[1:16] and got["n"] == 17 and got["w"] == sum(i % 3 for i in range(18))
+
+
 def test_profile_with_one_value_holding_most_rows(spark):
     df = spark.range(3000).select(F.when(F.col("id") < 2000, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
     row = numeric_profile(df, [], "v").first()

@@ -397,8 +397,16 @@ def test_age_and_sex_edits(rows):
     person = rows("p int, age int, sex string", (1, 17, "2"), (2, 49, "1"), (3, 50, "1"))
     dx = rows("p int, icd_code string, poa_qualified boolean", *[(p, c, True) for p in (1, 2, 3) for c in ("D66", "J42", "C50911", "P041")])
     crosswalk = rows("icd_code string, hcc int", ("D66", 111), ("J42", 280), ("C50911", 23), ("P041", 190))
-    sets = hc.hcc_cc_set(hc.age_sex_edits(dx, person, "p"), crosswalk, "p")
-    assert rows_of(sets) == [(1, [22, 112]), (2, [22, 111, 280]), (3, [23, 111, 280])]
+    want = [(1, [22, 112]), (2, [22, 111, 280]), (3, [23, 111, 280])]
+    assert rows_of(hc.edited_cc_set(dx, crosswalk, person, "p")) == want
+    # by diagnosis key, with a key that has two codes and one that has none
+    terms = rows("diagnosiskey int, icd_code string", (1, "D66"), (2, "J42"), (3, "C50911"), (3, "C50911"), (4, "P041"), (5, "D66"), (5, "J42"))
+    facts = rows("p int, diagnosiskey int, poa_qualified boolean", *[(p, d, d != 5) for p in (1, 2, 3) for d in (1, 2, 3, 4, 9)], (4, 5, False), (9, 1, True))
+    person = person.unionByName(rows("p int, age int, sex string", (4, 30, "2")))
+    assert rows_of(hc.edited_cc_set(facts, crosswalk, person, "p", codes=terms)) == [*want, (4, [112, 280])]
+    assert rows_of(hc.edited_cc_set(facts, crosswalk, person, "p", poa_only=True, codes=terms)) == want
+    # the class alone gives a category to a code that the crosswalk does not know
+    assert rows_of(hc.edited_cc_set(facts, crosswalk.where("icd_code <> 'D66'"), person, "p", codes=terms))[0] == (1, [22, 112])
 
 
 def test_sites_share_diagnosis_keys(rows):

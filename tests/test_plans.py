@@ -9,6 +9,7 @@ from clinspark.operators import cohort as co
 from clinspark.operators import comorbidity as cm
 from clinspark.operators import epochs as ep
 from clinspark.plans import load_all
+from clinspark.plans import epochs as plans_epochs
 from clinspark.plans.adapter import Warehouse
 from clinspark.plans.registry import ORACLES, QUERIES
 from clinspark.sources.tables import union_sites
@@ -132,8 +133,13 @@ def shuffles(df):
     return [line for line in plan_of(df).splitlines() if re.search(r"\bExchange ", line)]
 
 
+def made(df):
+    """Exchanges without those that read one made before."""
+    return [line for line in shuffles(df) if "ReusedExchange" not in line]
+
+
 FACT_COLUMNS = "l_orderkey|encounterkey"
-BY_CODE = ["ahrq_long", "quan_long", "ccsr_long", "hcc_cc_set", "hcc_raf", "elixhauser_features", "dx_flags"]
+BY_CODE = ["ahrq_long", "quan_long", "ccsr_long", "hcc_cc_set", "hcc_raf", "elixhauser_features", "dx_flags", "hcc_age_sex_edits"]
 
 
 @pytest.mark.parametrize("name", BY_CODE)
@@ -152,13 +158,15 @@ def test_facts_are_not_shuffled_by_code(no_broadcast, name):
         node.simpleString(200)
         for node in walk(plan)
         if node.nodeName() == "Exchange" and re.search(r"hashpartitioning\(icd_(code|value)", node.simpleString(200))
-        and "encounterkey" in node.output().mkString(",")
+        and re.search("encounterkey|patientdurablekey", node.output().mkString(","))
     ]
     assert not hits
 
 
 # exchanges of the heavy queries with broadcasting off; a rise means that an input is evaluated again
 MOST_SHUFFLES = {"epoch_matrix": 60, "table1": 72, "elixhauser_features": 47, "prevalence_all": 71, "hcc_features_wide": 43, "ccsr_features": 40}
+# those that the queries make themselves
+MOST_MADE = {"hcc_summary": 40, "esofa": 30, "dataset_summary": 32}
 
 
 @pytest.mark.parametrize("name", MOST_SHUFFLES)
@@ -166,6 +174,36 @@ def test_heavy_queries_shuffle_no_more_than_before(no_broadcast, name):
     assert len(shuffles(QUERIES[name](Warehouse(no_broadcast, DATA)))) <= MOST_SHUFFLES[name]
 
 
+@pytest.mark.parametrize("name", MOST_MADE)
+def test_inputs_are_evaluated_once(no_broadcast, name):
+    assert len(made(QUERIES[name](Warehouse(no_broadcast, DATA)))) <= MOST_MADE[name]
+
+
+def test_summary_is_one_count(no_broadcast):
+    """Facts and keys meet in one aggregation; the keys are made once and the facts join nothing."""
+    w = Warehouse(no_broadcast, DATA)
+    plan = plan_of(QUERIES["dataset_summary"](w))
+    assert plan.count("Exchange SinglePartition") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(kind", plan)) == 1
+    own = plan.split("Union")[0]
+    assert "Join" not in own
+
+
+@pytest.mark.parametrize("name", ["missingness", "epoch_coverage"])
+def test_counting_cells_needs_no_pivot(warehouse, name):
+    assert "pivotfirst" not in plan_of(QUERIES[name](warehouse)).lower()
+
+
+def test_counted_cells_equal_the_counted_matrix(warehouse):
+    plain = {r["key"]: r["value"] for r in ep.missingness(plans_epochs.matrix(warehouse)).collect()}
+    cells = {r["key"]: r["value"] for r in QUERIES["missingness"](warehouse).collect()}
+    assert cells == pytest.approx(plain, abs=1e-9) and len(cells) == len(plans_epochs.matrix(warehouse).columns)
+    for label in ("pulse", "map"):
+        of_matrix = {r["covered"]: r["n"] for r in ep.epoch_coverage(plans_epochs.matrix(warehouse), label).collect()}
+        of_measures = ep.label_coverage(plans_epochs.window(warehouse), ep.labelled_vitals(warehouse["vit"]), label)
+        assert {r["covered"]: r["n"] for r in of_measures.collect()} == of_matrix
+
+
 def test_one_code_on_a_third_of_the_facts(spark, skewed, rows):
     n = 60_000
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2000)

@@ -135,6 +135,32 @@ def test_texts_survive_every_format(spark, rows, tmp_path, formats):
         assert sorted(map(tuple, back.collect())) == AWKWARD
 
 
+def test_files_without_line_breaks_are_read_in_many_tasks(spark, rows, tmp_path):
+    lines = ["a,b"] + [f'{i},"say ""{i}"", ok"' if i % 3 else f'{i},""' if i % 2 else f"{i}," for i in range(20_000)]
+    (tmp_path / "big.csv").write_text("\n".join(lines) + "\n")
+    path, before = str(tmp_path / "big.csv"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        whole = tb.read_csv_columns(spark, path, ["a", "b"], "a int, b string")
+        split = tb.read_csv_columns(spark, path, ["a", "b"], "a int, b string", line_breaks=False)
+        tasks = [frame.select(F.spark_partition_id().alias("p")).distinct().count() for frame in (whole, split)]
+        assert tasks[0] == 1 and tasks[1] > 4
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect())) and split.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("row", AWKWARD)
+def test_line_breaks_are_refused_where_files_are_split(spark, rows, tmp_path, row):
+    tb.write_result(rows("a int, b string", row, (9, "plain")), str(tmp_path), "res", ("csv",))
+    back = tb.read_csv_columns(spark, str(tmp_path / "res.csv"), ["a", "b"], "a int, b string", line_breaks=False)
+    if row[1] and "\n" in row[1]:
+        with pytest.raises(Exception, match="line break inside a text"):
+            back.collect()
+    else:
+        assert sorted(map(tuple, back.collect())) == [row, (9, "plain")]
+
+
 def test_write_json(rows, tmp_path):
     tb.write_json(rows("a int", (7,)), str(tmp_path / "j"))
     part = next((tmp_path / "j").glob("part-*.json"))
