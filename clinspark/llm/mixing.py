@@ -27,25 +27,41 @@ WEIGHTS = (3, 1, 2)
 #: Rounds of a permutation, and a prime for its arithmetic.
 ROUNDS = 24
 PRIME = 2_147_483_647
-#: Slots that one row is expanded to.
-PIECE = 65_536
+#: Slots that one row is expanded to, slots of a task, and tasks at most.
+PIECE = 16_384
+TASK_SLOTS = 1 << 20
+MOST_TASKS = 100_000
 #: Tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 100_000
 
 
-def permuted(x: Column, n: Column, seed: Column) -> Column:
-    """The place of ``x`` in a pseudorandom permutation of ``0 .. n - 1``, one permutation for each ``seed``.
+def _round(seed: Column, r: int | Column) -> tuple[Column, Column]:
+    """Two numbers below ``PRIME`` that belong to a seed and a round."""
+    first = (seed * 7919 + r * 104_729 + 12_345) % PRIME
+    return first, ((first * first + first) % PRIME * 48_271 + r) % PRIME
 
-    Rounds of swap-or-not: each pairs every number with another, by a reflection at a place of its own, and a bit that belongs to
+
+def round_numbers(n: Column, seed: Column) -> Column:
+    """The numbers of all rounds of one permutation of ``0 .. n - 1``: an array of ``(c, k)``."""
+
+    def numbers(r: Column) -> Column:
+        first, c = _round(seed, r.cast("long"))
+        return F.struct(c.alias("c"), F.pmod(c * PRIME + first, n).alias("k"))
+
+    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), numbers)
+
+
+def permuted(x: Column, n: Column, rounds: Column) -> Column:
+    """The place of ``x`` in a pseudorandom permutation of ``0 .. n - 1``.
+
+    ``rounds`` holds what :func:`round_numbers` gives for ``n`` and a seed; there is one permutation for each seed.  Rounds of
+    swap-or-not: each pairs every number with another, by a reflection at a place of its own, and a bit that belongs to
     the pair tells whether the two change places; so every round is a permutation for any ``n``.  ``n`` up to 10 ** 14, seeds up to 10 ** 14."""
-    first = lambda r: (seed * 7919 + r.cast("long") * 104_729 + 12_345) % PRIME
-    number = lambda r: ((first(r) * first(r) + first(r)) % PRIME * 48_271 + r.cast("long")) % PRIME
-    rounds = F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: F.struct(number(r).alias("c"), F.pmod(number(r) * PRIME + first(r), n).alias("k")))
 
     def step(at: Column, now: Column) -> Column:
         other = F.pmod(now["k"] - at, n)
         pair = (F.greatest(at, other) * 48_271 + now["c"]) % PRIME
-        bit = F.floor((pair * pair % PRIME * 69_621 + now["c"]) % PRIME / 65_536) % 2
+        bit = F.shiftright((pair * pair % PRIME * 69_621 + now["c"]) % PRIME, 16).bitwiseAND(F.lit(1))
         return F.when(bit == 1, other).otherwise(at)
 
     return F.aggregate(rounds, x.cast("long"), step)
@@ -87,17 +103,27 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -
     wanted = stored(running(wanted, [], [F.col("rank").asc()], {"ahead": ("sum", F.col("slots"))}, "source-slots"), "source-slots")
     total = wanted.agg(F.sum("slots").alias("n")).first()["n"] or 0
     cut = wanted.filter("slots > 0").select("rank", "ahead", "slots", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(PIECE).cast("long"))).alias("at"))
-    each = cut.repartition("rank", "at").select("rank", "ahead", F.explode(F.sequence("at", F.least(F.col("at") + PIECE, F.col("slots")) - 1)).alias("i"))
-    shard = F.floor(permuted(F.col("ahead") + F.col("i"), F.lit(max(total, 1)), F.lit(0)) / shard_slots).cast("long")
-    drawn = each.select("rank", shard.alias("shard")).groupBy("rank", "shard").agg(F.count(F.lit(1)).alias("n"))
+    # a few bytes become many slots, so the number of tasks is that of the slots and not left to the size of the rows
+    pieces = total // PIECE + 1
+    tasks = max(-(-total // TASK_SLOTS), min(pieces, int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    each = cut.repartition(min(tasks, MOST_TASKS), "rank", "at").select("rank", "ahead", F.explode(F.sequence("at", F.least(F.col("at") + PIECE, F.col("slots")) - 1)).alias("i"))
+    # one row of numbers for all slots, as literals
+    order = plan.sparkSession.range(1).select(round_numbers(F.lit(max(total, 1)).cast("long"), F.lit(0).cast("long")).alias("r")).first()["r"]
+    order = F.array(*[F.struct(F.lit(x["c"]).cast("long").alias("c"), F.lit(x["k"]).cast("long").alias("k")) for x in order])
+    place = permuted(F.col("ahead") + F.col("i"), F.lit(max(total, 1)).cast("long"), order)
+    drawn = each.groupBy("rank", F.floor(place / shard_slots).cast("long").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     numbered = running(drawn, ["rank"], [F.col("shard").asc()], {"before": ("sum", F.col("n"))}, "draws")
     # a shard draws from a source no more slots than it has
     one = numbered.select("rank", "shard", F.explode(F.sequence("before", F.col("before") + F.col("n") - 1)).alias("ordinal"))
-    placed = _with(one, wanted.drop("ahead"), ["rank"])
-    time, index = F.expr("ordinal div blocks"), F.col("ordinal") % F.col("blocks")
     even = F.col("blocks") - F.when(F.col("source_size") % block > 0, 1).otherwise(0)
-    found = F.when(index < even, permuted(index, F.greatest(even, F.lit(1)), F.col("rank") * (MOST + 1) + time + 1)).otherwise(index)
-    left = F.when(time < F.col("whole"), block).otherwise(F.least(F.lit(block), F.col("rest") - index * block))
+    times = F.sequence(F.lit(1).cast("long"), F.lit(MOST + 1).cast("long"))
+    orders = wanted.withColumn("even", F.greatest(even, F.lit(1)).cast("long")).withColumn("short", even < F.col("blocks"))
+    orders = orders.withColumn("orders", F.transform(times, lambda t: round_numbers(F.col("even"), F.col("rank") * (MOST + 1) + t)))
+    placed = _with(one, stored(orders.drop("ahead", "slots", "asked"), "block-orders"), ["rank"])
+    placed = placed.withColumns({"time": F.expr("ordinal div blocks"), "index": F.col("ordinal") % F.col("blocks")})
+    last = F.col("short") & (F.col("index") == F.col("blocks") - 1)
+    found = F.when(last, F.col("index")).otherwise(permuted(F.col("index"), F.col("even"), F.col("orders")[F.col("time").cast("int")]))
+    left = F.when(F.col("time") < F.col("whole"), block).otherwise(F.least(F.lit(block), F.col("rest") - F.col("index") * block))
     return placed.select("shard", "rank", "ordinal", found.alias("block"), left.cast("long").alias("words"))
 
 
