@@ -295,11 +295,14 @@ def repeats(texts: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRA
         .dropDuplicates(["key", "c1", "c2"])
     )
     pieces = stored(pieces, "pieces")
-    found = _sorted_repeats(pieces.filter(F.col("d") <= key_limit), window)
+    # at the last level a key is that of a whole window, so its contents are runs of one string's repetitions, at most
+    # RUN_LIMIT of them for each period, and all are sorted
+    deepest = len(grams) == 1
+    found = _sorted_repeats(pieces if deepest else pieces.filter(F.col("d") <= key_limit), window)
     whole = contents.filter("n > 1").select("key", "c1", "c2", F.lit(0).alias("lo"), F.col("m").alias("hi"))
     found = found.unionByName(whole)
     hot = pieces.filter(F.col("d") > key_limit)
-    if len(grams) > 1 and not hot.isEmpty():
+    if not deepest and not hot.isEmpty():
         inner = hot.select(F.concat_ws(":", "key", "c1", "c2").alias("t"), F.col("piece").alias("data"), F.lit(None).cast("long").alias("spread"))
         deeper, _ = repeats(inner, window, grams[1:], key_limit)
         part = F.split("t", ":")

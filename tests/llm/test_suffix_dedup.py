@@ -63,6 +63,16 @@ def test_removal_equals_brute_force(spark, key_limit):
         assert tuple(got.loc[i, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]]) == expected, texts[i]
 
 
+def test_nothing_is_lost_at_the_last_level(spark):
+    """Periodic texts share a key down to whole windows, whatever the limit of the levels before."""
+    texts = ["a" * 500, "a" * 600, "ab" * 300, "ab" * 301, "b" + "ab" * 250, "unlike " * 3]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sd.without_repeats(frame, key_limit=1).toPandas().set_index("id")
+    for i, expected in enumerate(repeats(texts, 400)):
+        assert tuple(got.loc[i, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]]) == expected
+    assert got["n_removed"].tolist()[:2] == [500, 600]
+
+
 def test_ids_may_repeat_or_be_null_and_tables_empty(spark):
     schema = "doc_id long, text string"
     frame = spark.createDataFrame([(1, "abcdefghijklmnop"), (1, "abcdefghijklmnop"), (None, "q" * 5), (None, None)], schema)
