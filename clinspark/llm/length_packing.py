@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinspark.llm.ranks import before
+from clinspark.llm.ranks import running
 from clinspark.llm.store import stored
 
 
@@ -59,7 +59,8 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buck
     bounds = best_bounds(np.array([r[0] for r in histogram]), np.array([r[1] for r in histogram]), buckets)
     bucket = F.element_at(F.filter(F.array(*map(F.lit, bounds)), lambda b: b >= F.col("n_tokens")), 1) if bounds else F.lit(0)
     placed = pieces.withColumn("bucket_tokens", bucket)
-    ranked = before(placed, "bucket_tokens", "doc_id", ["piece", "n_tokens"], F.lit(1), "_rank")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("piece").asc(), F.col("n_tokens").asc()]
+    ranked = running(placed, ["bucket_tokens"], order, {"_rank": ("sum", F.lit(1))}, "sequence-places")
     rows = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.col("bucket_tokens")))
     return ranked.select(
         "doc_id", "piece", "n_tokens", "bucket_tokens",
