@@ -13,16 +13,15 @@ others lie in the exception list, and zero bits stand in their place.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +38,10 @@ KEEP = 0.9
 FILE_IDS = 2_000_000
 #: Offsets of up to so many files are broadcast; more are joined by shuffle.
 BROADCAST_FILES = 100_000
+#: Bytes of text that are encoded at a time.
+SLICE_BYTES = 4 << 20
 #: New words after which a worker begins to forget.
 CACHE = 450_000
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
 # ---------------------------------------------------------------- file format
@@ -210,23 +210,34 @@ class WordEncoder:
             if word != stem:
                 known[word] = known[stem] + signs.get(word[-1], b"")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text.  Words of the last two spells are remembered, a spell being ``CACHE`` new words."""
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text, and all ids one after the other.
+
+        Arrow cuts the texts at ASCII white space and numbers their distinct words, so that only those are looked up, and the ids of all
+        places are gathered at once.  Words of the last two spells are remembered, a spell being ``CACHE`` new words."""
         if len(self.known) > CACHE:
             self.known, self.older = {}, self.known
-        # str.split also parts at these four signs, which the tokenizer does not take for white space
-        odd = [i for i, t in enumerate(texts) if _SEPARATORS.search(t)]
-        words = [t.split() for t in texts]
-        for i in odd:
-            words[i] = []
-        known = self.known
-        missing = set(chain.from_iterable(words)).difference(known)
-        if missing:
-            self._add(list(missing))
-        out = [b"".join(map(known.__getitem__, w)) for w in words]
-        for i, data in zip(odd, self._plain([texts[i] for i in odd]), strict=True):
-            out[i] = data
-        return out
+        lists = pc.ascii_split_whitespace(texts)
+        places = lists.flatten().dictionary_encode()
+        words = places.dictionary.to_pylist()
+        self.known.setdefault("", b"")
+        if missing := [w for w in words if w not in self.known]:
+            self._add(missing)
+        coded = [self.known[w] for w in words]
+        sizes = np.fromiter((len(d) // 4 for d in coded), np.int64, len(coded))
+        table, starts = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(sizes) - sizes
+        which = places.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[which])))
+        # a place's ids lie in the table from its word's start on
+        shift = np.repeat(starts[which] - ends[:-1], sizes[which])
+        ids = table[shift + np.arange(ends[-1])]
+        bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
+        return np.diff(ends[bounds]), ids
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian bytes."""
+        counts, ids = self.encode_all(pa.array(texts, pa.string()))
+        return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
 
 @lru_cache(maxsize=1)
@@ -261,18 +272,31 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
             system.move(f"{name}.{attempt}.writing", name)
             made, numbers, chunks, counts, held = made + 1, [], [], [], 0
 
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for number, data in zip(some.column("id").to_pylist(), encoder.encode(some.column("text").to_pylist()), strict=True):
-                    ids = np.frombuffer(data, "<u4")
-                    chunks += (ids, end)
-                    numbers.append(number)
-                    counts.append(len(ids) + 1)
-                    held += len(ids) + 1
+            column = batch.column("text")
+            sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                # as many texts as fit, one at least
+                upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, side="right")))
+                lengths, flat = encoder.encode_all(column.slice(at, upto - at))
+                flat = np.insert(flat, np.cumsum(lengths), end_id)
+                lengths = lengths + 1
+                ids_of = batch.column("id").slice(at, upto - at).to_pylist()
+                total = np.cumsum(lengths)
+                begin, done = 0, 0
+                while begin < len(lengths):
+                    # up to the text with which the file is full
+                    last = int(np.searchsorted(total, done + file_ids - held))
+                    stop = min(last + 1, len(lengths))
+                    chunks.append(flat[done : total[stop - 1]])
+                    numbers += ids_of[begin:stop]
+                    counts += lengths[begin:stop].tolist()
+                    held += int(total[stop - 1]) - done
+                    begin, done = stop, int(total[stop - 1])
                     if held >= file_ids:
                         close()
+                at = upto
         if numbers:
             close()
         yield pa.RecordBatch.from_pydict({"files": pa.array([made], pa.int32())})
