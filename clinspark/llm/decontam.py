@@ -36,12 +36,21 @@ def _shingles(words: Column, n: int, of) -> Column:
     return F.element_at(runs, 1)
 
 
-def _hashes(text: Column, n: int) -> Column:
-    return _shingles(F.transform(_words(text), lambda w: F.xxhash64(w)), n, lambda w: F.xxhash64(w))
+def _all_shingles(words: Column, n: int, short: list[int], of) -> Column:
+    """As ``_shingles``, and every run of each of the lengths ``short``, for items that have no more words."""
+    runs = [_shingles(words, n, of)]
+    for k in short:
+        none = F.filter(F.transform(words, lambda w: of(F.array(w))), lambda x: F.lit(False))
+        runs.append(F.when(F.size(words) >= k, _shingles(words, k, of)).otherwise(none))
+    return F.concat(*runs) if short else runs[0]
 
 
-def _strings(text: Column, n: int) -> Column:
-    return _shingles(_words(text), n, lambda w: F.array_join(w, " "))
+def _hashes(text: Column, n: int, short: list[int] = ()) -> Column:
+    return _all_shingles(F.transform(_words(text), lambda w: F.xxhash64(w)), n, short, lambda w: F.xxhash64(w))
+
+
+def _strings(text: Column, n: int, short: list[int] = ()) -> Column:
+    return _all_shingles(_words(text), n, short, lambda w: F.array_join(w, " "))
 
 
 def sketches(items: DataFrame, containment: float, shingle: int) -> DataFrame:
@@ -68,19 +77,23 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     """``(doc_id, item_id, n_item, n_shared, containment)``: one row for each document and item of which the document holds
     at least that share of distinct shingles.
 
-    Words are runs of letters and digits, lower-cased.  A text with fewer words than a shingle has the whole
-    sequence as its one shingle; null and wordless texts match nothing.  Items with equal words are one item under the
-    smallest id.  Rows that repeat a document id or have none are one document under that id, whose shingles are those of all of
-    them.  Other columns are not read."""
+    Words are runs of letters and digits, lower-cased.  An item with fewer words than a shingle is one run of its own length, looked for
+    wherever it stands; a text with fewer words has the whole sequence as its one shingle.  Null and wordless texts match
+    nothing.  Items with equal words are one item under the smallest id, which is null where none of them has an id; different items that share an
+    id, or have none, are searched by themselves, and a document may have a row for each.  Rows that repeat a document id or have none are
+    one document under that id, whose shingles are those of all of them.  Other columns are not read."""
     doc = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
+    # the key of an item is its place in a stored table, as ids may repeat or be missing
     item = stored(
-        items.select(F.col(item_id).alias("item_id"), F.array_join(_words(F.col(item_text)), " ").alias("text"))
-        .filter("text <> ''").groupBy("text").agg(F.min("item_id").alias("item_id"))
-        .select("item_id", "text"),
+        items.select(F.col(item_id).alias("name"), F.array_join(_words(F.col(item_text)), " ").alias("text"))
+        .filter("text <> ''").groupBy("text").agg(F.min("name").alias("name"))
+        .select(F.monotonically_increasing_id().alias("item_id"), "name", "text"),
         "items",
     )
+    lengths = item.select(F.size(F.split("text", " ")).alias("n")).filter(F.col("n") < shingle).distinct()
+    short = sorted(r["n"] for r in lengths.collect())
     sketch = stored(sketches(item, containment, shingle), "sketches")
-    seen = doc.select("doc_id", F.explode(_hashes(F.col("text"), shingle)).alias("h"))
+    seen = doc.select("doc_id", F.explode(_hashes(F.col("text"), shingle, short)).alias("h"))
     if sketch.count() > BROADCAST_ROWS:
         # only hashes that some item keeps can match; the largest of them bounds what is shuffled
         top = sketch.agg(F.max("h").alias("top"))
@@ -90,35 +103,37 @@ def contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
         .groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("found"), F.first("least").alias("least"))
     )
     candidates = stored(hits.filter("found >= least").select(F.col("doc_id").alias("_doc"), "item_id"), "candidates")
-    exact = item.select("item_id", F.array_distinct(_strings(F.col("text"), shingle)).alias("whole"))
+    exact = item.select("item_id", "name", F.array_distinct(_strings(F.col("text"), shingle)).alias("whole"))
     wanted = candidates.join(exact, "item_id")
     held = doc.join(_small(candidates.select("_doc").distinct()), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     pairs = (
-        held.select("doc_id", F.array_distinct(_strings(F.col("text"), shingle)).alias("shingles"))
+        held.select("doc_id", F.array_distinct(_strings(F.col("text"), shingle, short)).alias("shingles"))
         .join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
-        .select("doc_id", "item_id", F.size("whole").alias("n_item"), F.explode(F.array_intersect("whole", "shingles")).alias("s"))
+        .select("doc_id", "item_id", "name", F.size("whole").alias("n_item"), F.explode(F.array_intersect("whole", "shingles")).alias("s"))
     )
     return (
-        pairs.distinct().groupBy("doc_id", "item_id", "n_item").agg(F.count(F.lit(1)).alias("n_shared"))
-        .withColumn("containment", F.col("n_shared") / F.col("n_item"))
+        pairs.distinct().groupBy("doc_id", "item_id", "name", "n_item").agg(F.count(F.lit(1)).alias("n_shared"))
         .filter(F.col("n_shared") >= F.ceil(F.col("n_item") * F.lit(containment) - F.lit(1e-9)))
+        .select("doc_id", F.col("name").alias("item_id"), "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
     )
 
 
 ORACLE = """
 WITH item AS (
-  SELECT min(item_id) AS item_id, words FROM (
+  SELECT min(item_id) AS item_id, words, row_number() OVER () AS k FROM (
     SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS words FROM benchmark)
   WHERE len(words) > 0 GROUP BY words),
 item_shingle AS (
-  SELECT DISTINCT item_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+  SELECT DISTINCT k, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
     ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM item),
 doc AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS words FROM documents),
 doc_shingle AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM doc WHERE len(words) > 0),
-size AS (SELECT item_id, count(*) AS n_item FROM item_shingle GROUP BY item_id),
-shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM doc_shingle JOIN item_shingle USING (s) GROUP BY doc_id, item_id)
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s FROM doc WHERE len(words) > 0
+  UNION SELECT doc_id, unnest(list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))) AS s
+  FROM doc JOIN (SELECT DISTINCT len(words) AS n FROM item WHERE len(words) < 5) ON len(words) >= n),
+size AS (SELECT k, count(*) AS n_item FROM item_shingle GROUP BY k),
+shared AS (SELECT doc_id, k, count(*) AS n_shared FROM doc_shingle JOIN item_shingle USING (s) GROUP BY doc_id, k)
 SELECT doc_id, item_id, n_item, n_shared, n_shared::DOUBLE / n_item AS containment
-FROM shared JOIN size USING (item_id) WHERE n_shared >= ceil(n_item * 0.8::DOUBLE - 1e-9)
+FROM shared JOIN size USING (k) JOIN item USING (k) WHERE n_shared >= ceil(n_item * 0.8::DOUBLE - 1e-9)
 """

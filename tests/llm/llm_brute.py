@@ -89,18 +89,22 @@ def shingles(text, n=5):
 
 
 def contained(docs, items, containment=0.8):
-    """{(doc, item): (item size, shared)}"""
-    found, by_words = {}, {}
+    """[(doc, item, item size, shared)]; items with fewer than five words are runs of their own length."""
+    by_words, pooled = {}, {}
     for item, text in items:
         words = " ".join(w for w in re.split(r"[\W_]+", (text or "").lower()) if w)
         if words:
-            by_words[words] = min(item, by_words.get(words, item))
+            by_words[words] = min((i for i in (item, by_words.get(words)) if i is not None), default=None)
     for doc, text in docs:
-        held = shingles(text)
+        pooled.setdefault(doc, []).append(text)
+    found = []
+    for doc, texts in pooled.items():
         for words, item in by_words.items():
+            n = min(5, words.count(" ") + 1)
             whole = shingles(words)
+            held = set().union(*(shingles(t, n) if n < 5 else shingles(t) for t in texts))
             if len(whole & held) >= math.ceil(containment * len(whole) - 1e-9):
-                found[doc, item] = (len(whole), len(whole & held))
+                found.append((doc, item, len(whole), len(whole & held)))
     return found
 
 

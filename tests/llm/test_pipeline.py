@@ -20,7 +20,7 @@ def brute(spark, rows):
     rows.sort()
     rows = [r for r, (_, c) in zip(rows, near_copies([r[0] for r in rows], [r[1] for r in rows])) if c == r[0]]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
-    leaks = {d for d, _ in contained([(r[0], r[1]) for r in rows], items)}
+    leaks = {d for d, *_ in contained([(r[0], r[1]) for r in rows], items)}
     return [r for r in rows if r[0] not in leaks]
 
 
