@@ -14,6 +14,8 @@ from clinspark.llm.store import stored
 #: Candidate lines and boilerplate text up to these sizes are broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 100_000
 BROADCAST_CHARS = 8_000_000
+#: Standard deviations over the ratio from which a line on few pages counts.
+FEW_Z = 2.5
 
 
 def _lines(text: Column) -> Column:
@@ -26,11 +28,13 @@ def _surely_over(n: Column, pages: Column, ratio: float, z: float) -> Column:
     return (n >= 2) & (over > 0) & (over * over > F.lit(z) * F.lit(z) * F.lit(ratio) * F.lit(1 - ratio) * pages)
 
 
-def boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5, few_z: float | None = None) -> DataFrame:
-    """``(host, lines)``: the lines on more than ``ratio`` of the host's pages and on ``min_pages`` at least.
+def boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5, few_z: float | None = FEW_Z) -> DataFrame:
+    """``(host, lines)``: the lines whose share of the host's pages is over ``ratio``.
 
-    With ``few_z`` also those on two pages or more that are surely over the ratio, so that it decides on small hosts too: their
-    share is so many standard deviations above it, and pages of one text count once, as copies share every line.
+    On ``min_pages`` pages or more the share itself decides.  On fewer, where chance alone may lift it, a line counts that is on two different
+    pages at least and surely over the ratio: by ``few_z`` standard deviations of a line with just that share.  There pages of one
+    text count once, as copies share every line.  So a line on two of five pages counts, and on two of twenty does not.  Without
+    ``few_z`` lines on fewer than ``min_pages`` pages never count.
 
     A page counts once for a line however often it repeats it.  Lines are compared without outer
     spaces, blank ones never count.  A host has at most (lines per page) / ``ratio`` such lines."""
@@ -61,7 +65,7 @@ def boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio:
     )
 
 
-def without_boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5, added: tuple[str, ...] = ("n_lines", "n_dropped"), few_z: float | None = None) -> DataFrame:
+def without_boilerplate(pages: DataFrame, host: str = "host", text: str = "text", ratio: float = 0.08, min_pages: int = 5, added: tuple[str, ...] = ("n_lines", "n_dropped"), few_z: float | None = FEW_Z) -> DataFrame:
     """``pages`` with the boilerplate lines of their host cut out of ``text``; the numbers of lines and of dropped lines are added
     under the names in ``added``, if it has any.
 
@@ -98,27 +102,6 @@ def page_lines(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 ORACLE = f"""
-WITH page AS (
-  SELECT page_id, nullif(lower(regexp_extract(url, '{HOST}', 1)), '') AS host,
-         regexp_replace(regexp_replace(regexp_replace(html, '{HIDDEN}', '', 'g'), '{BREAK.replace(chr(92) + "t", chr(9))}', chr(10), 'g'), '{MARKUP}', '', 'g') AS text
-  FROM pages),
-total AS (SELECT host, count(*) AS pages FROM page WHERE host IS NOT NULL GROUP BY host),
-line AS (SELECT page_id, host, unnest(list_distinct(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> ''))) AS line
-         FROM page WHERE host IS NOT NULL),
-boiler AS (SELECT host, list(line) AS lines FROM (
-  SELECT line.host, line.line FROM line JOIN total ON line.host = total.host GROUP BY line.host, line.line
-  HAVING count(*) >= 5 AND count(*) > 0.08 * any_value(pages)) GROUP BY host),
-cut AS (SELECT page.page_id, page.host, string_split(text, chr(10)) AS parts,
-               list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(coalesce(lines, []), trim(x))) AS kept
-        FROM page LEFT JOIN boiler ON page.host = boiler.host)
-SELECT page_id, host, coalesce(len(list_filter(parts, lambda x: trim(x) <> '')), 0) AS n_lines,
-       coalesce(len(parts) - len(kept), 0) AS n_dropped, array_to_string(kept, chr(10)) AS text
-FROM cut
-"""
-
-#: Standard deviations over the ratio from which a line on few pages counts.
-FEW_Z = 2.5
-FEW_ORACLE = f"""
 WITH page AS (
   SELECT page_id, nullif(lower(regexp_extract(url, '{HOST}', 1)), '') AS host,
          regexp_replace(regexp_replace(regexp_replace(html, '{HIDDEN}', '', 'g'), '{BREAK.replace(chr(92) + "t", chr(9))}', chr(10), 'g'), '{MARKUP}', '', 'g') AS text

@@ -42,6 +42,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# the second name is that of a version beside one that kept every line on fewer than five pages
+@_query("op3_line_dedup_few", line_dedup.ORACLE)
 @_query("op3_line_dedup", line_dedup.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = line_dedup.page_lines(_read(spark, sf_dir, "pages")).select("page_id", "host", "text")
@@ -50,13 +52,6 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("page_id", "host", "n_lines", "n_dropped", "text")
 
 
-@_query("op3_line_dedup_few", line_dedup.FEW_ORACLE)
-def op3_few(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = line_dedup.page_lines(_read(spark, sf_dir, "pages")).select("page_id", "host", "text")
-    cut = line_dedup.without_boilerplate(stored(pages, "page-text"), few_z=line_dedup.FEW_Z)
-    return cut.select("page_id", "host", "n_lines", "n_dropped", "text")
-
-
 @_query("op4_simhash_tiles")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_tiles.near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, radius=4)

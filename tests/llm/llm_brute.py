@@ -62,14 +62,21 @@ def near_copies(ids, texts, radius=4):
     return [(p, ids[r]) for p, r in zip(prints, roots)]
 
 
-def without_boilerplate(rows, ratio=0.08, least=5):
+def without_boilerplate(rows, ratio=0.08, least=5, z=2.5):
     """rows of (host, text): the texts, and the lines dropped."""
     pages, seen = Counter(h for h, _ in rows if h is not None), defaultdict(set)
+    texts = Counter(h for h, t in {r for r in rows if r[0] is not None and r[1] is not None})
     for i, (h, t) in enumerate(rows):
         for line in (t or "").split("\n"):
             if h is not None and line.strip(" "):
                 seen[h, line.strip(" ")].add(i)
-    bad = {k for k, v in seen.items() if len(v) >= least and len(v) > ratio * pages[k[0]]}
+
+    def over(k, v):
+        on, of = len({rows[i][1] for i in v}), texts[k[0]]
+        surely = on >= 2 and on > ratio * of and (on - ratio * of) ** 2 > z * z * ratio * (1 - ratio) * of
+        return len(v) >= least and len(v) > ratio * pages[k[0]] or surely
+
+    bad = {k for k, v in seen.items() if over(k, v)}
     out = []
     for h, t in rows:
         if t is None:
