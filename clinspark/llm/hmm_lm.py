@@ -31,6 +31,8 @@ SYMBOLS, HEAD, CLASSES = 8192, 1 << 17, 128
 FLUSH = 500_000
 #: Training cuts longer texts into sequences of so many symbols; scoring never does.
 TRAIN_LENGTH = 256
+#: Tokens of the texts with which a state begins, and how many texts are looked at for that, for each state.
+SEED_TOKENS, SEED_TEXTS = 50, 64
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -254,17 +256,47 @@ def _expected(hmm: Hmm, alive: np.ndarray, symbols: np.ndarray, first: np.ndarra
     return alpha[: alive[0]][first].sum(axis=0), alpha.sum(axis=0), hmm.moves * moves, emits
 
 
+def first_emissions(texts: DataFrame, size: int, symbol_share: np.ndarray, states: int) -> np.ndarray:
+    """What each state emits at first: half the symbols of some texts of its own, half those of all.
+
+    Texts are taken in the order of a hash of their symbols, equal ones once, so that the choice depends on what the texts hold and not on where
+    they lie.  A state takes texts until they have ``SEED_TOKENS`` tokens, one if it is that long and several if texts are short; where
+    too few are left, its symbols are weighed by a hash instead, as equal states would stay equal.  Of the texts only
+    their lengths and the number of each symbol reach the driver."""
+    hashed = texts.select(F.xxhash64("symbols").alias("h"), "n_tokens", "symbols")
+    chosen = hashed.select("h").distinct().orderBy("h").limit(states * SEED_TEXTS)
+    # a table of bounded length, that of limit()
+    some = stored(hashed.join(F.broadcast(chosen), "h", "left_semi").dropDuplicates(["h"]), "seed-texts")
+    taken, state, held = {}, 0, 0
+    for r in some.select("h", "n_tokens").orderBy("h").collect():
+        if state < states:
+            taken[r["h"]] = state
+            held += r["n_tokens"]
+            if held >= SEED_TOKENS:
+                state, held = state + 1, 0
+    emits = np.tile(symbol_share, (states, 1))
+    found = np.zeros((states, size))
+    if taken:
+        named = texts.sparkSession.createDataFrame(list(taken.items()), "h long, state int")
+        counts = some.join(F.broadcast(named), "h").select("state", F.explode("symbols").alias("symbol")).groupBy("state", "symbol").count()
+        for r in counts.collect():
+            found[r["state"], r["symbol"]] = r["count"]
+    for k in range(states):
+        if found[k].any():
+            emits[k] = 0.5 * emits[k] + 0.5 * found[k] / found[k].sum()
+        if k >= state:
+            weight = np.array([zlib.crc32(f"{k} {i}".encode()) % 1024 for i in range(size)]) + 512
+            emits[k] = emits[k] * weight / (emits[k] * weight).sum()
+    return emits
+
+
 def baum_welch(texts: DataFrame, size: int, symbol_share: np.ndarray, states: int = 8, rounds: int = 5, weight: float = 50.0) -> Hmm:
     """A model learned from ``symbols`` of all rows of ``texts``.
 
     Every task adds up what it expects of its texts, Spark adds up the tasks, and states x symbols numbers reach the
-    driver each round.  Every state begins with the symbols of one text, chosen by a hash, mixed with those of all.
+    driver each round.  Every state begins with the symbols of texts of its own (see :func:`first_emissions`).
     ``weight`` symbols, shared out as in all texts, are added to what each state emits, so that it can emit any."""
-    seeds = texts.filter("n_tokens >= 50").orderBy(F.xxhash64("rid")).limit(states).select("symbols").collect()
-    emits = np.tile(symbol_share, (states, 1))
-    for k, row in enumerate(seeds):
-        found = np.bincount(np.array(row["symbols"], np.int64), minlength=size)
-        emits[k] = 0.5 * emits[k] + 0.5 * found / found.sum()
+    emits = first_emissions(texts, size, symbol_share, states)
     moves = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(moves, 0.9 if states > 1 else 1.0)
     hmm = Hmm(np.full(states, 1 / states), np.full(states, 1 / states), moves, emits)
@@ -315,7 +347,8 @@ def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
 
     ``base_score`` is the log10 probability under the words' counts plus one; ``score`` that under the model.  Null and
     empty texts have the end alone.  Rows that repeat an id or a text are rows of their own.  If nothing can be learned, every
-    word counts as unseen.  An empty table gives an empty table; other columns are not read."""
+    word counts as unseen.  An empty table gives an empty table; other columns are not read.  Scores depend on what the rows hold and not on
+    how they are dealt to partitions, but for the last digits of sums."""
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     vocab = vocabulary(docs.filter("train"), "text", symbols, head)
     texts = stored(encoded(docs, vocab), "encoded-texts")

@@ -86,6 +86,27 @@ def test_probabilities_of_one_token_add_up(spark):
     assert math.isclose(total, 1.0)
 
 
+def scores(frame, **how):
+    return {r["id"]: r["score"] for r in lm.scored(frame, F.col("doc_id") % 5 != 0, **how).collect()}
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id < 40").withColumn("doc_id", F.col("doc_id") + 10**6))
+    found = [scores(docs.repartition(n), symbols=500, rounds=3) for n in (1, 7, 61)]
+    for other in found[1:]:
+        assert other.keys() == found[0].keys() and all(math.isclose(other[k], v, rel_tol=1e-9) for k, v in found[0].items())
+
+
+def test_short_texts_are_learned_too(spark):
+    rng = np.random.default_rng(3)
+    topics = [[f"{t}word{i}" for i in range(6)] for t in "abcdefgh"]
+    rows = [(i, " ".join(rng.choice(topics[rng.integers(8)], 4))) for i in range(600)]
+    got = lm.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 5 != 0).toPandas()
+    held = got[got["id"] % 5 == 0]
+    assert held["score"].sum() > held["base_score"].sum() + 0.1 * held["n_tokens"].sum()
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm.scored(empty, F.lit(True)).count() == 0
