@@ -241,3 +241,32 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
 
 def conversation_ids(turns: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     return stored(turns.filter(F.col(conv_id).isNotNull()).select(F.col(conv_id).cast("long").alias("conv_id")).distinct(), "conversations")
+
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+ORACLE = f"""
+WITH turn AS (
+  SELECT conv_id, role, text, item, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, item) AS pos FROM (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS item FROM conversations WHERE conv_id IS NOT NULL)),
+held AS (SELECT conv_id, count(*) AS n FROM turn GROUP BY conv_id),
+conv AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM held),
+plan AS (SELECT conv.*, least(h, coalesce(n, 0)) AS lent FROM conv LEFT JOIN held ON held.conv_id = conv.base),
+rebuilt AS (
+  SELECT plan.conv_id, pos, item, text FROM plan JOIN turn ON turn.conv_id = base AND pos <= h WHERE base <> plan.conv_id
+  UNION ALL SELECT plan.conv_id, lent + pos - h, item, text FROM plan JOIN turn ON turn.conv_id = plan.conv_id AND pos > h WHERE base <> plan.conv_id
+  UNION ALL SELECT plan.conv_id, pos, item, text FROM plan JOIN turn ON turn.conv_id = plan.conv_id WHERE base = plan.conv_id),
+path AS (
+  SELECT conv_id, pos AS depth, sha256(string_agg(item, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS k, strlen(text) AS n_bytes FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM conv),
+linked AS (SELECT *, lag(k) OVER (PARTITION BY conv_id ORDER BY depth) AS pk, lead(k) OVER (PARTITION BY conv_id ORDER BY depth) AS nk FROM path),
+node AS (SELECT depth, k, any_value(pk) AS pk, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes, count(DISTINCT nk) AS n_children,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE nk IS NULL), '')) AS ends_sha256
+         FROM linked GROUP BY depth, k),
+total AS (SELECT path.depth, path.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * node.n_bytes)::BIGINT AS saved_tokens
+          FROM node JOIN path ON path.conv_id = node.conv_id AND path.depth <= node.depth GROUP BY path.depth, path.k)
+SELECT node.conv_id, node.depth::BIGINT AS depth, parent.conv_id AS parent_conv_id, node.n_convs, node.n_children, n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN total ON node.depth = total.depth AND node.k = total.k LEFT JOIN node parent ON parent.depth = node.depth - 1 AND parent.k = node.pk
+"""

@@ -112,7 +112,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@_query("op11_prefix_trie")
+@_query("op11_prefix_trie", prefix_trie.ORACLE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     ids = prefix_trie.conversation_ids(rows)
