@@ -53,7 +53,7 @@ def test_entry_registers_all():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names) and importlib.util.find_spec("corpus_pipeline")
 
 
