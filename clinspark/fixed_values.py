@@ -1,8 +1,7 @@
 """Item keys, name lists, code lists, weights, bands and patterns.
 
 Everything in this module is data, not logic.  The values have to equal the published or site-given
-ones for results to be right, so they are written out plainly and in their natural order.  Where a
-list is a regular code range it is written as the range and expanded by ``expand_icd_ranges``.
+ones for results to be right, so they are written out plainly and in their natural order.
 """
 
 # --- Fixed values: warehouse item keys -----------------------------------------------------------
