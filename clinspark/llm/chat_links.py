@@ -6,11 +6,11 @@ are never gathered in one place, however many it has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinspark.llm.ranks import before
-from clinspark.llm.store import stored
+from clinspark.llm.ranks import running
+from clinspark.llm.store import new_folder, stored
 
 _TYPES = {"string": ["STRING"], "integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "DECIMAL", "FLOAT"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"]}
 
@@ -55,24 +55,61 @@ def argument_errors(name: Column, arguments: Column, tools: list[dict]) -> Colum
     return chosen.otherwise(F.array(F.lit("name: unknown tool")))
 
 
+def _up_chains(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, parents, up, hops, ended)``: from each node along single parents up to the first one that has none or several.
+
+    Every round doubles the way that a node has gone, so a chain of n calls takes some log2(n) rounds.  A node that is not
+    ``ended`` at last is on a cycle of single parents or comes after one."""
+    key = ["conv_id", "call_id"]
+    degree = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("parent").alias("_parent"))
+    single = F.col("parents") == 1
+    state = nodes.join(degree, key, "left").withColumn("parents", F.coalesce("_n", F.lit(0))).select(
+        *key, "parents", F.when(single, F.col("_parent")).otherwise(F.col("call_id")).alias("up"), F.when(single, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("hops"), (~single).alias("ended")
+    )
+    state, left = stored(state, "chains"), None
+    while True:
+        going = state.filter("not ended")
+        now = going.count()
+        # each round ends a node that is not behind a cycle, if any is left
+        if not now or now == left:
+            return state
+        left = now
+        above = state.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("_up"), F.col("hops").alias("_hops"), F.col("ended").alias("_ended"))
+        moved = going.join(above, ["conv_id", "up"]).select(*key, "parents", F.col("_up").alias("up"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_ended").alias("ended"))
+        state = stored(state.filter("ended").unionByName(moved), "chains")
+
+
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(conv_id, call_id, level)``: 0 without a parent, else one more than the highest parent; null on and behind cycles.
 
-    ``nodes`` has ``conv_id`` and ``call_id``, each pair once, ``edges`` also ``parent``, all of them nodes.  Nodes whose parents are all
-    placed are placed in each round, so there are as many rounds as levels.  Each round is written to the shared folder."""
+    ``nodes`` has ``conv_id`` and ``call_id``, each pair once, ``edges`` also ``parent``, all of them nodes.  Chains of single parents
+    are contracted first, so rounds go over nodes with several parents only: those whose parents are all placed are placed in
+    each round, and a round reads and writes no more than the nodes that the round before has touched, beside the links.
+    Each round is written to the shared folder."""
     key = ["conv_id", "call_id"]
     edges = stored(edges.select(*key, "parent").distinct(), "edges")
-    degree = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("_open"))
-    state = stored(nodes.join(degree, key, "left").select(*key, F.coalesce("_open", F.lit(0)).alias("_open"), F.when(F.col("_open").isNull(), 0).alias("level")), "levels")
-    level = 0
-    while True:
-        placed = state.filter(F.col("level") == level).select("conv_id", F.col("call_id").alias("parent"))
-        closed = edges.join(placed, ["conv_id", "parent"]).groupBy(*key).agg(F.count(F.lit(1)).alias("_closed"))
-        if edges.isEmpty() or placed.isEmpty():
-            return state.select(*key, "level")
-        level += 1
-        left = F.col("_open") - F.coalesce("_closed", F.lit(0))
-        state = stored(state.join(closed, key, "left").select(*key, left.alias("_open"), F.when(F.col("level").isNull() & (left == 0), F.lit(level)).otherwise(F.col("level")).alias("level")), "levels")
+    chains = _up_chains(nodes, edges)
+    placed = chains.filter("parents = 0").select("conv_id", F.col("call_id").alias("up"), F.lit(0).cast("long").alias("_base"))
+    several = chains.filter("parents > 1").select(*key, "parents")
+    above = chains.filter("ended").select("conv_id", F.col("call_id").alias("parent"), "up", (F.col("hops") + 1).alias("_more"))
+    links = stored(edges.join(several, key, "left_semi").join(above, ["conv_id", "parent"]), "links")
+    if not links.isEmpty():
+        folder, number, latest = new_folder(nodes.sparkSession, "levels"), 0, placed
+        pending = several.select(*key, F.lit(0).cast("long").alias("_closed"), F.lit(0).cast("long").alias("_base")).limit(0)
+        while True:
+            hits = links.join(latest, ["conv_id", "up"]).select(*key, F.lit(1).cast("long").alias("_closed"), (F.col("_base") + F.col("_more")).alias("_base"))
+            touched = hits.unionByName(pending).groupBy(*key).agg(F.sum("_closed").alias("_closed"), F.max("_base").alias("_base"))
+            ready = touched.join(several, key).withColumn("_ready", F.col("_closed") == F.col("parents")).drop("parents")
+            ready.write.parquet(f"{folder}/round={number}")
+            done = nodes.sparkSession.read.schema(ready.schema).parquet(f"{folder}/round={number}")
+            latest = done.filter("_ready").select("conv_id", F.col("call_id").alias("up"), "_base")
+            pending = done.filter("not _ready").select(*key, "_closed", "_base")
+            if latest.isEmpty():
+                break
+            number += 1
+        rounds = nodes.sparkSession.read.schema(ready.schema).parquet(*(f"{folder}/round={i}" for i in range(number + 1)))
+        placed = placed.unionByName(rounds.filter("_ready").select("conv_id", F.col("call_id").alias("up"), "_base"))
+    return chains.join(placed, ["conv_id", "up"], "left").select(*key, (F.col("_base") + F.col("hops")).alias("level"))
 
 
 def linked(calls: DataFrame, results: DataFrame, tools: list[dict]) -> DataFrame:
@@ -133,17 +170,14 @@ def linked(calls: DataFrame, results: DataFrame, tools: list[dict]) -> DataFrame
         spare = again.filter(same).groupBy(*key, "turn", "json", *(["errors"] if kind == "call" else [])).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1")
         spare = spare.withColumn("_i", F.explode(F.sequence(F.lit(2), F.col("_k").cast("int"))))
         for rows, status in ((again.filter(~same), "duplicate"), (spare, "duplicate"), (frame.filter(~named), "unidentified")):
-            parts.append(rows.select("conv_id", "turn", F.lit(kind).alias("kind"), "call_id", F.lit(status).alias("status"), errors.alias("errors"), null.cast("int").alias("step"), "json"))
+            parts.append(rows.select("conv_id", "turn", F.lit(kind).alias("kind"), "call_id", F.lit(status).alias("status"), errors.alias("errors"), null.cast("long").alias("step"), "json"))
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
     every = stored(every.withColumn("errors", F.array_join("errors", "; ")), "linked")
-    stepped = every.filter("step is not null").withColumn("_group", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("step").cast("string")))
-    ranked = before(stepped, "_group", "turn", ["call_id"], F.lit(1), "_rank")
-    per_step = stepped.groupBy("conv_id", "step").agg(F.count(F.lit(1)).alias("_n"))
-    ahead = F.coalesce(F.sum("_n").over(Window.partitionBy("conv_id").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offset = per_step.select("conv_id", "step", ahead.alias("_ahead"))
-    ordered = ranked.join(offset, ["conv_id", "step"]).withColumn("position", F.col("_ahead") + F.col("_rank"))
+    # a conversation may be one long chain, so its rows are numbered over ranges of steps
+    order = [F.col("step").asc(), F.col("turn").asc_nulls_first(), F.col("call_id").asc()]
+    ordered = running(every.filter("step is not null"), ["conv_id"], order, {"position": ("sum", F.lit(1))}, "steps")
     rest_rows = every.filter("step is null").withColumn("position", null.cast("long"))
     columns = ["conv_id", "turn", "kind", "call_id", "status", "errors", "step", "position", "json"]
     return ordered.select(*columns).unionByName(rest_rows.select(*columns))
@@ -157,33 +191,42 @@ TURN_TOOLS = [
 
 
 def calls_of_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Plain turns as calls and results: a system turn calls ``configure``, any other but an assistant's calls ``reply`` after
-    the first turn; an assistant's turn is the result of the turn before.  Identifiers are conversation and turn."""
+    """Plain turns as calls and results: a system turn calls ``configure``, any other but an assistant's calls ``reply``; an
+    assistant's turn is the result of the turn before.  Identifiers are conversation and turn.
+
+    A call comes after the one before it: that of the turn before or, where that turn is an assistant's, the call which it
+    answers, two turns before.  So a conversation whose turns alternate is one chain; where the turn needed is missing or no call, the
+    dependency is an unknown one.  The first turn, and turns without conversation or number, come after nothing."""
     name = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     identified = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     answer = F.coalesce(F.col("role") == "assistant", F.lit(False))
     arguments = F.to_json(F.struct(F.col("turn"), F.col("text")), {"ignoreNullFields": "false"})
     system = F.coalesce(F.col("role") == "system", F.lit(False))
-    calls = turns.filter(~answer).select(
+    answers = turns.filter(answer).select("conv_id", (F.col("turn") + 1).alias("turn"), F.lit(2).alias("_back")).distinct()
+    calls = turns.filter(~answer).select("conv_id", "turn", "role", "text").join(answers, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", F.when(identified, name(F.col("turn"))).alias("call_id"), F.when(system, "configure").otherwise("reply").alias("name"),
         arguments.alias("arguments"),
-        F.when(~system & (F.col("turn") > 0), F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("after"),
+        F.when(identified & (F.col("turn") > 0), F.array(name(F.col("turn") - F.coalesce("_back", F.lit(1))))).otherwise(F.array().cast("array<string>")).alias("after"),
     )
     results = turns.filter(answer).select("conv_id", "turn", F.when(identified, name(F.col("turn") - 1)).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 
 ORACLE = """
-WITH call AS (
-  SELECT conv_id, turn, conv_id || ':' || turn AS call_id, CASE WHEN role = 'system' THEN 'configure' ELSE 'reply' END AS name, text,
-         CASE WHEN role <> 'system' AND turn > 0 THEN [conv_id || ':0'] ELSE [] END AS after
-  FROM conversations WHERE role <> 'assistant'),
+WITH RECURSIVE call AS (
+  SELECT c.conv_id, c.turn, c.conv_id || ':' || c.turn AS call_id, CASE WHEN c.role = 'system' THEN 'configure' ELSE 'reply' END AS name, c.text,
+         CASE WHEN c.turn > 0 THEN [c.conv_id || ':' || (c.turn - CASE WHEN p.role = 'assistant' THEN 2 ELSE 1 END)] ELSE [] END AS after
+  FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1
+  WHERE c.role <> 'assistant'),
 result AS (SELECT conv_id, turn, conv_id || ':' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'assistant'),
-root AS (SELECT conv_id, call_id AS parent FROM call),
+known AS (SELECT c.*, p.call_id AS parent FROM call c LEFT JOIN call p ON p.conv_id = c.conv_id AND p.call_id = c.after[1]),
+leveled AS (
+  SELECT conv_id, call_id, 0::BIGINT AS level FROM known WHERE parent IS NULL
+  UNION ALL
+  SELECT k.conv_id, k.call_id, l.level + 1 FROM known k JOIN leveled l ON k.conv_id = l.conv_id AND k.parent = l.call_id),
 placed AS (
-  SELECT call.*, CASE WHEN len(after) = 0 OR parent IS NULL THEN 0 ELSE 1 END AS level,
-         CASE WHEN len(after) > 0 AND parent IS NULL THEN 'after: unknown ' || after[1] END AS unknown
-  FROM call LEFT JOIN root ON call.conv_id = root.conv_id AND after[1] = parent),
+  SELECT known.*, level, CASE WHEN len(after) > 0 AND parent IS NULL THEN 'after: unknown ' || after[1] END AS unknown
+  FROM known LEFT JOIN leveled USING (conv_id, call_id)),
 every AS (
   SELECT p.conv_id, p.turn, 'call' AS kind, p.call_id, CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
          concat_ws('; ', CASE WHEN length(text) < 1 THEN 'text: minLength' END, CASE WHEN length(text) > 400 THEN 'text: maxLength' END, unknown) AS errors,

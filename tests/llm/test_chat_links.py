@@ -1,10 +1,13 @@
 import json
+import random
 
 import duckdb
+import pytest
 from oracle_check import compare
 from pyspark.sql import functions as F
 
 from clinspark.llm import chat_links as cl
+from clinspark.llm import store
 from clinspark.llm.queries import ORACLES, QUERIES
 
 TOOLS = [{"name": "add", "parameters": {
@@ -61,6 +64,61 @@ def test_order_links_and_cycles(spark):
     assert sum(r["status"] == "unidentified" for r in rows) == 3
 
 
+def placed_by_hand(nodes, edges):
+    """Levels by repeated passes; what is never placed is on or behind a cycle."""
+    level = {}
+    while True:
+        new = {}
+        for n in nodes:
+            parents = {p for c, p in edges if c == n}
+            if n not in level and parents <= level.keys():
+                new[n] = 1 + max((level[p] for p in parents), default=-1)
+        if not new:
+            return {n: level.get(n) for n in nodes}
+        level |= new
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_levels_equal_a_plain_count(spark, seed):
+    """Chains, ladders, cycles of one, two and more calls and what hangs from them, over conversations that share identifiers."""
+    rng = random.Random(seed)
+    nodes, edges = set(), set()
+    for conv in range(12):
+        names = [f"c{i}" for i in range(30)]
+        nodes |= {(conv, n) for n in names}
+        for i in range(1, 30):
+            for _ in range(rng.choice([0, 1, 1, 1, 1, 2, 3])):
+                edges.add(((conv, names[i]), (conv, names[rng.randrange(max(0, i - 4), i)])))
+        if conv % 3 == 0:
+            edges.add(((conv, names[10]), (conv, names[rng.randrange(10, 30)])))
+        if conv % 4 == 0:
+            edges.add(((conv, names[20]), (conv, names[20])))
+    want = placed_by_hand(nodes, edges)
+    n = spark.createDataFrame(sorted(nodes), "conv_id long, call_id string")
+    e = spark.createDataFrame([(*c, p[1]) for c, p in sorted(edges)], "conv_id long, call_id string, parent string")
+    assert {(r["conv_id"], r["call_id"]): r["level"] for r in cl.levels(n, e).collect()} == want
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of 500 calls beside cycles of single parents, which end no round."""
+    made = []
+    monkeypatch.setattr(cl, "stored", lambda frame, name: made.append(name) or store.stored(frame, name))
+    chain = [(1, f"n{i}") for i in range(500)]
+    ring = [(2, f"n{i}") for i in range(7)]
+    n = spark.createDataFrame([*chain, *ring], "conv_id long, call_id string")
+    e = spark.createDataFrame([(1, f"n{i}", f"n{i - 1}") for i in range(1, 500)] + [(2, f"n{i}", f"n{(i + 1) % 7}") for i in range(7)], "conv_id long, call_id string, parent string")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in cl.levels(n, e).collect()}
+    assert got == {(1, f"n{i}"): i for i in range(500)} | {(2, f"n{i}"): None for i in range(7)}
+    assert made.count("chains") <= 12
+
+
+def test_a_conversation_of_many_turns_is_one_chain(spark):
+    turns = [(1, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(60)]
+    calls, results = cl.calls_of_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    rows = cl.linked(calls, results, cl.TURN_TOOLS).collect()
+    assert sorted((r["turn"], r["step"], r["position"], r["status"]) for r in rows) == [(t, t, t, "linked" if t % 2 else "answered") for t in range(60)]
+
+
 def test_empty_and_plain_turns(spark):
     assert run(spark, []) == []
     turns = [(1, 0, "system", "s"), (1, 1, "user", "u" * 100_000), (1, 2, "assistant", ""), (1, 3, "assistant", None), (1, 4, None, ""), (None, 0, "user", "x"), (2, 3, "user", "x")]
@@ -68,7 +126,7 @@ def test_empty_and_plain_turns(spark):
     got = {(r["conv_id"], r["turn"]): (r["kind"], r["status"], r["errors"], r["step"]) for r in cl.linked(calls, results, cl.TURN_TOOLS).collect()}
     assert got == {
         (1, 0): ("call", "unanswered", "", 0), (1, 1): ("call", "answered", "text: maxLength", 2), (1, 2): ("result", "linked", "", 3), (1, 3): ("result", "orphan", "", None),
-        (1, 4): ("call", "unanswered", "text: minLength", 2), (None, 0): ("call", "unidentified", "", None), (2, 3): ("call", "unanswered", "after: unknown 2:0", 0),
+        (1, 4): ("call", "unanswered", "text: minLength; after: unknown 1:2", 0), (None, 0): ("call", "unidentified", "", None), (2, 3): ("call", "unanswered", "after: unknown 2:2", 0),
     }
 
 
