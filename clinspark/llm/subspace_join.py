@@ -2,7 +2,7 @@
 
 Vectors of unit length are rotated to their principal axes and their coordinates dealt to blocks.  Two vectors within a squared
 distance D are, in some block, within the share of D that equals the block's share of the variance.  So each block is joined by
-range under its own share, in cells of its leading coordinate, and every pair found is checked on the vectors as given.
+range under its own share, in cells of its leading coordinates, and every pair found is checked on the vectors as given.
 """
 
 from __future__ import annotations
@@ -22,6 +22,11 @@ from clinspark.llm.workers import map_pandas
 #: Room for rounding in squared distances of unit vectors; the exact check decides.
 SLACK = 1e-9
 
+#: A block is cut along its leading coordinates that vary, in standard deviations, by ``CUT`` radii of the block at least: such a cut
+#: leaves less than half of the pairs to compare, for twice the rows.  Always along the first one, and along ``MOST_CUTS`` at most.
+CUT = 2.0
+MOST_CUTS = 3
+
 
 def _units(vectors: pd.Series) -> np.ndarray:
     x = np.stack(vectors.to_numpy()).astype(np.float64)
@@ -57,6 +62,15 @@ def _blocks(variance: np.ndarray, count: int) -> list[np.ndarray]:
     return [np.arange(b, len(variance), count) for b in range(min(count, len(variance)))]
 
 
+def _cuts(variance: np.ndarray, dealt: list[np.ndarray], budgets: np.ndarray) -> list[np.ndarray]:
+    """The coordinates that cut each block into cells."""
+    made = []
+    for d, budget in zip(dealt, budgets, strict=True):
+        wide = int((np.sqrt(variance[d[:MOST_CUTS]]) >= CUT * np.sqrt(budget)).sum())
+        made.append(d[: max(wide, 1)])
+    return made
+
+
 def _rotated(vectors: pd.Series, axes: np.ndarray) -> np.ndarray:
     """Unit vectors along ``axes``; a row comes out the same, to the last bit, in whatever batch it stands."""
     unit = _units(vectors)
@@ -90,14 +104,21 @@ def linked_pairs(vectors: DataFrame, cosine: float, blocks: int, tile: int) -> D
     shares = np.array([variance[d].sum() + 1e-12 for d in dealt])
     budgets = limit * shares / shares.sum() + SLACK
 
+    cuts = _cuts(variance, dealt, budgets)
+    places = ["block", *(f"c{i}" for i in range(MOST_CUTS))]
+
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Each vector in its cell, as wide as the block's radius, and as a guest in the next one above."""
+        """Each vector in its cell, as wide as the block's radius along every cut, and as a guest in the next ones above.
+
+        Bit ``i`` of ``up`` tells that the vector was moved up along cut ``i``.  Two vectors in equal or neighbouring cells meet in one cell in
+        which neither is moved along a cut where the other one is."""
         for batch in batches:
             y = _rotated(batch["v"], axes)
-            for k, d in enumerate(dealt):
-                cell = np.floor(y[:, d[0]] / np.sqrt(budgets[k])).astype(np.int64)
-                for up in (0, 1):
-                    yield batch.assign(block=k, cell=cell + up, guest=bool(up))[["block", "cell", "guest", "node", "w", "v"]]
+            for k, cut in enumerate(cuts):
+                cell = np.floor(y[:, cut] / np.sqrt(budgets[k])).astype(np.int64)
+                for up in range(1 << len(cut)):
+                    at = {f"c{i}": cell[:, i] + (up >> i & 1) if i < len(cut) else 0 for i in range(MOST_CUTS)}
+                    yield batch.assign(block=k, up=up, **at)[[*places, "up", "node", "w", "v"]]
 
     def compare(group: pd.DataFrame) -> pd.DataFrame | None:
         if len(group) < 2:
@@ -106,42 +127,45 @@ def linked_pairs(vectors: DataFrame, cosine: float, blocks: int, tile: int) -> D
         y = _rotated(group["v"], axes)
         order = np.argsort(y[:, dealt[k][0]], kind="stable")
         group, y = group.iloc[order], y[order]
-        guest, side = group["guest"].to_numpy(), group["_t"].to_numpy()
+        up, side = group["up"].to_numpy(), group["_t"].to_numpy()
         node, w = group["node"].to_numpy(), group["w"].to_numpy()
         given = np.stack(group["v"].to_numpy()).astype(np.float64)
         given /= np.abs(given).max(axis=1, keepdims=True)
         norm = np.sqrt((given * given).sum(axis=1))
         label, found = np.arange(len(group)), np.zeros(len(group), np.int64)
-        rows = np.flatnonzero(~guest) if one == two else np.flatnonzero(side == one)
-        cols = np.arange(len(group)) if one == two else np.flatnonzero(side == two)
-        for p, q in _close(y[:, dealt[k]], rows, cols, budgets[k]):
-            once = guest[q] | (p < q) if one == two else ~(guest[p] & guest[q])
-            p, q = p[once], q[once]
-            for i in range(0, len(p), 65536):
-                a, b = p[i : i + 65536], q[i : i + 65536]
-                apart = y[a] - y[b]
-                apart *= apart
-                fine = apart[:, dealt[k]].sum(axis=1) <= budgets[k]
-                for j in range(k):  # a pair counts in the first block that finds it
-                    fine &= apart[:, dealt[j]].sum(axis=1) > budgets[j]
-                a, b = a[fine], b[fine]
-                exact = (given[a] * given[b]).sum(axis=1) / (norm[a] * norm[b]) >= cosine
-                a, b = a[exact], b[exact]
-                found += np.bincount(a, w[b], len(group)).astype(np.int64) + np.bincount(b, w[a], len(group)).astype(np.int64)
-                if (label[a] != label[b]).any():
-                    label = forest(len(label), label[a], label[b])[label]
+        moves = range(1 << len(cuts[k]))
+        for s, t in ((s, t) for s in moves for t in moves if not s & t and (one != two or s <= t)):
+            rows, cols = np.flatnonzero((up == s) & (side == one)), np.flatnonzero((up == t) & (side == two))
+            for p, q in _close(y[:, dealt[k]], rows, cols, budgets[k]):
+                if one == two and s == t:
+                    p, q = p[p < q], q[p < q]
+                for i in range(0, len(p), 65536):
+                    a, b = p[i : i + 65536], q[i : i + 65536]
+                    apart = y[a] - y[b]
+                    apart *= apart
+                    fine = apart[:, dealt[k]].sum(axis=1) <= budgets[k]
+                    for j in range(k):  # a pair counts in the first block that finds it
+                        fine &= apart[:, dealt[j]].sum(axis=1) > budgets[j]
+                    a, b = a[fine], b[fine]
+                    exact = (given[a] * given[b]).sum(axis=1) / (norm[a] * norm[b]) >= cosine
+                    a, b = a[exact], b[exact]
+                    found += np.bincount(a, w[b], len(group)).astype(np.int64) + np.bincount(b, w[a], len(group)).astype(np.int64)
+                    if (label[a] != label[b]).any():
+                        label = forest(len(label), label[a], label[b])[label]
         linked = np.flatnonzero(found)
         return pd.DataFrame({"node": node[linked], "n": found[linked], "a": node[linked], "b": node[label[linked]]})
 
     kind = vectors.schema["v"].dataType.simpleString()
-    spread = stored(map_pandas(vectors, place, f"block int, cell long, guest boolean, node long, w long, v {kind}"), "cells")
-    tiled = with_tile_pairs(spread, ["block", "cell"], "node", tile)
-    return by_group(tiled, ["block", "cell", "_a", "_b"], compare, "node long, n long, a long, b long")
+    spread = stored(map_pandas(vectors, place, f"block int, c0 long, c1 long, c2 long, up int, node long, w long, v {kind}"), "cells")
+    tiled = with_tile_pairs(spread, places, "node", tile)
+    return by_group(tiled, [*places, "_a", "_b"], compare, "node long, n long, a long, b long")
 
 
-def near_vectors(frame: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, blocks: int = 4, tile: int = 8192) -> DataFrame:
+def near_vectors(frame: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, blocks: int = 4, tile: int = 32_768) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row of ``frame``.
 
+    A task holds two tiles of ``tile`` vectors at most; the more a tile holds, the fewer times a vector of a hot cell is sent.
+
     Two rows link if the cosine of their vectors, in double precision, is ``cosine`` at least.  Null and zero vectors and
     such with null or non-finite components link with nothing.  Vectors of different length never link.  Equal vectors
     are joined as one with a weight.  Rows that repeat an id are rows of their own; a row without an id takes the component of

@@ -32,6 +32,25 @@ def test_links_equal_brute_force(spark, tile, blocks):
     assert (got["kept"] == (got["id"] == got["component_id"])).all()
 
 
+@pytest.mark.parametrize("tile", [32_768, 6])
+def test_cells_along_several_coordinates(spark, tile):
+    """Vectors that spread along few axes are cut along two or three of them; links cross the cells' borders in every direction."""
+    rng = np.random.default_rng(tile)
+    axes = np.linalg.qr(rng.normal(size=(12, 12)))[0][:, :6]
+    base = rng.normal(size=(60, 6)) @ axes.T
+    found = np.concatenate([base, *(base + rng.normal(size=base.shape) * s for s in (0.02, 0.1, 0.2))]).tolist()
+    vectors = np.array(found) / np.linalg.norm(found, axis=1, keepdims=True)
+    variance = np.sort(np.linalg.eigvalsh(np.cov(vectors.T, bias=True)))[::-1]
+    dealt = sj._blocks(variance, 2)
+    shares = np.array([variance[d].sum() for d in dealt])
+    assert {len(c) for c in sj._cuts(variance, dealt, 0.02 * shares / shares.sum())} == {3}
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(found)], "vec_id long, embedding array<double>")
+    got = sj.near_vectors(frame, cosine=0.99, blocks=2, tile=tile).toPandas().sort_values("id")
+    want = brute(list(range(len(found))), found, 0.99)
+    assert sum(n for n, _ in want) > 60
+    assert list(zip(got["n_links"], got["component_id"])) == want
+
+
 def test_repeated_and_missing_ids(spark):
     rows = [(3, [1.0, 0.0]), (3, [1.0, 0.0]), (None, [1.0, 0.001]), (None, [0.0, 1.0]), (1, None)]
     got = sj.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
