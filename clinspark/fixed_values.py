@@ -638,3 +638,8 @@ POA_TYPES = ["Medical History", "Problem List"]
 HIERARCHY_RULE = r"%SET0\s*\(\s*CC\s*=\s*(\d+)\s*,\s*HIER\s*=\s*%STR\(([^)]+)\)\s*\)"
 # a word that rules out one that comes after it
 RULED_OUT = r"WITHOUT\b.*\b"
+
+# --- Fixed values: HCC label text ----------------------------------------------------------------
+# Number and description of a category in a label text.
+
+HCC_LABEL_PATTERN = r'\bHCC(\d+)\s*=\s*"([^"]+)"'

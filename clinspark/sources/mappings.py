@@ -121,11 +121,10 @@ def hcc_coefficients(spark: SparkSession, path: str, segment: str = "CNA") -> Da
 
 def hcc_labels(spark: SparkSession, path: str) -> DataFrame:
     """Category numbers and descriptions of a label text."""
-    label = r'\bHCC(\d+)\s*=\s*"([^"]+)"'
     text = spark.read.text(path, wholetext=True)
     found = F.arrays_zip(
-        F.regexp_extract_all("value", F.lit(label), 1).alias("hcc"),
-        F.regexp_extract_all("value", F.lit(label), 2).alias("label"),
+        F.regexp_extract_all("value", F.lit(fv.HCC_LABEL_PATTERN), 1).alias("hcc"),
+        F.regexp_extract_all("value", F.lit(fv.HCC_LABEL_PATTERN), 2).alias("label"),
     )
     return text.select(F.explode(found).alias("r")).select(
         F.col("r.hcc").cast("int").alias("hcc"), F.trim("r.label").alias("label")
