@@ -5,11 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from clinspark.config import configure
 from clinspark.operators import cohort as co
 from clinspark.operators import comorbidity as cm
 from clinspark.operators import epochs as ep
+from clinspark.operators import esofa as es
 from clinspark.plans import load_all
 from clinspark.plans import epochs as plans_epochs
+from clinspark.plans import severity
 from clinspark.plans.adapter import Warehouse
 from clinspark.plans.registry import ORACLES, QUERIES
 from clinspark.sources.tables import union_sites
@@ -224,3 +227,21 @@ def test_one_code_on_a_third_of_the_facts(spark, skewed, rows):
 def test_union_keeps_all_rows(rows):
     a = rows("k int", (1,), (1,))
     assert union_sites({"x": a, "y": a}).count() == 4
+
+
+def test_a_stack_of_joined_facts_is_dealt_out_before_it_is_joined(no_broadcast, warehouse):
+    """Its parts may be joined in other ways at run time, and then have other partitions than the plan says."""
+    dealt = [events.repartition("encounterkey") for events in (*severity.organ_events(warehouse), warehouse["lab2"])]
+    lines = plan_of(es.esofa(severity.window(warehouse), *dealt)).splitlines()
+    union = next(i for i, line in enumerate(lines) if re.search(r"\bUnion\b", line))
+    above = next(line for line in reversed(lines[:union]) if not re.search(r"\bProject\b", line))
+    assert "Exchange hashpartitioning(encounterkey" in above
+
+
+def test_a_small_file_of_many_rows_is_not_broadcast(spark, tmp_path):
+    configure(spark)
+    spark.range(300_000).withColumn("twice", F.col("id") * 2).coalesce(1).write.parquet(f"{tmp_path}/medications")
+    medications = spark.read.parquet(f"{tmp_path}/medications")
+    joined = spark.range(2_000_000).join(medications, "id")
+    assert "Broadcast" not in plan_of(joined)
+    assert joined.count() == 300_000
