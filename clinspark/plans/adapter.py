@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clinspark.config import size_shuffles
+from clinspark.sources.tables import stored_bytes
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -246,11 +249,15 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._bytes = 0
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE_TABLES:
-                frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                path = f"{self.sf_dir}/{name}.parquet"
+                frame = self.spark.read.parquet(path)
+                self._bytes += stored_bytes(self.spark, path)
+                size_shuffles(self.spark, self._bytes)
             else:
                 text = _render(VIEWS[name], _SPARK)
                 frame = self.spark.sql(text, **{n: self[n] for n in _uses(text)})

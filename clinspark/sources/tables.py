@@ -26,6 +26,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under the path, on whichever file system it names."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def register_asset(
     spark: SparkSession, site: SiteConfig, skip: Iterable[str] = SKIPPED_TABLES
 ) -> list[str]:

@@ -6,10 +6,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from clinspark import config
 from clinspark import fixed_values as fv
 from clinspark.config import SiteConfig, site_a, site_b
 from clinspark.operators import comorbidity as cm
 from clinspark.operators import hcc as hc
+from clinspark.plans.adapter import Warehouse
 from clinspark.sources import mappings as mp
 from clinspark.sources import tables as tb
 
@@ -177,3 +179,19 @@ def test_publish_database(spark, rows, tmp_path):
 def test_union_fills_missing_columns(rows):
     both = tb.union_sites({"a": rows("k int, x int", (1, 2)), "b": rows("k int", (3,))})
     assert rows_of(both, "k", "source") == [(1, "a"), (3, "b")] and both.where("x is null").count() == 1
+
+
+def test_shuffle_partitions_follow_the_bytes_of_the_tables_read(spark, tmp_path):
+    """However large the tables, one partition of a shuffle stays small; small tables get what the session sets."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(200_000).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    before, least = config.BYTES_PER_PARTITION, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert Warehouse(spark, str(tmp_path))["orders"].count() == 200_000
+        assert int(spark.conf.get(name)) == least
+        config.BYTES_PER_PARTITION = 1000
+        Warehouse(spark, str(tmp_path))["orders"]
+        assert int(spark.conf.get(name)) == tb.stored_bytes(spark, f"{tmp_path}/orders.parquet") // 1000 > least
+    finally:
+        config.BYTES_PER_PARTITION = before
+        spark.conf.unset(name)
