@@ -83,11 +83,14 @@ def by_fact_key(mapping: DataFrame, codes: DataFrame | None) -> tuple[DataFrame,
     return codes.join(mapping, "icd_code").drop("icd_code").distinct(), on
 
 
+def _evidence() -> Column:
+    return (~F.col("poa_dependent") | F.col("poa_qualified")).alias("evidence")
+
+
 def _matches(dx: DataFrame, mapping: DataFrame, codes: DataFrame | None) -> DataFrame:
     """``(encounter, category, evidence)`` from a mapping with ``category`` and ``poa_dependent``."""
     keyed, on = by_fact_key(mapping, codes)
-    evidence = ~F.col("poa_dependent") | F.col("poa_qualified")
-    return dx.join(keyed, on).select(KEY, "category", evidence.alias("evidence"))
+    return dx.join(keyed, on).select(KEY, "category", _evidence())
 
 
 def _long(matches: DataFrame) -> DataFrame:
@@ -131,19 +134,28 @@ def quan_prefixes(spark) -> DataFrame:
 QUAN_LENGTHS = (3, 4)
 
 
+def _heads(lengths: Sequence[int]) -> Column:
+    """The first characters of a code in each of ``lengths``."""
+    return F.array_distinct(F.array(*[F.left("icd_code", F.lit(n)) for n in sorted(set(lengths))]))
+
+
+def _checked(prefixes: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """``prefixes``; one of a length that is not looked up would never be found, so it fails the query."""
+    sizes = sorted(set(lengths))
+    known = F.length("prefix").isin(sizes)
+    message = F.concat(F.lit(f"prefix of a length not among {sizes}: "), F.col("prefix"))
+    return prefixes.withColumn("prefix", F.when(known, F.col("prefix")).otherwise(F.raise_error(message)))
+
+
 def prefix_mapping(codes: DataFrame, prefixes: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """``prefixes`` as a mapping of the whole codes in ``codes``.
 
     A code is looked up by its first characters in each of ``lengths``: an equality join instead of a LIKE against
     every prefix.  A prefix of another length would never be found, so it fails the query.
     """
-    sizes = sorted(set(lengths))
-    known = F.length("prefix").isin(sizes)
-    message = F.concat(F.lit(f"prefix of a length not among {sizes}: "), F.col("prefix"))
-    checked = prefixes.withColumn("prefix", F.when(known, F.col("prefix")).otherwise(F.raise_error(message)))
-    heads = F.array_distinct(F.array(*[F.left("icd_code", F.lit(n)) for n in sizes]))
     whole = codes.select("icd_code").distinct()
-    return whole.select("icd_code", F.explode(heads).alias("prefix")).join(checked, "prefix").drop("prefix").distinct()
+    headed = whole.select("icd_code", F.explode(_heads(lengths)).alias("prefix"))
+    return headed.join(_checked(prefixes, lengths), "prefix").drop("prefix").distinct()
 
 
 def quan_long(
@@ -152,11 +164,18 @@ def quan_long(
     codes: DataFrame | None = None,
     lengths: Sequence[int] = QUAN_LENGTHS,
 ) -> DataFrame:
-    """Elixhauser categories by code prefix; ``lengths`` are those of the prefixes."""
+    """Elixhauser categories by code prefix; ``lengths`` are those of the prefixes.
+
+    A code set is looked up where it is, with the prefixes broadcast, as a mapping of its codes would read it twice and
+    join it by code; prefixes are bounded by the coding system and do not grow with the facts.
+    """
     if prefixes is None:
         prefixes = quan_prefixes(dx.sparkSession)
-    mapping = prefix_mapping(dx if codes is None else codes, prefixes, lengths)
-    return _long(_matches(dx, mapping, codes))
+    if codes is not None:
+        return _long(_matches(dx, prefix_mapping(codes, prefixes, lengths), codes))
+    headed = dx.select(KEY, "poa_qualified", F.explode(_heads(lengths)).alias("prefix"))
+    found = headed.join(F.broadcast(_checked(prefixes, lengths)), "prefix")
+    return _long(found.select(KEY, "category", _evidence()))
 
 
 def ccsr_long(dx: DataFrame, mapping: DataFrame, codes: DataFrame | None = None) -> DataFrame:

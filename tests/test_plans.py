@@ -166,6 +166,13 @@ def test_facts_are_not_shuffled_by_code(no_broadcast, name):
     assert not hits
 
 
+def test_a_code_set_is_looked_up_by_prefix_in_one_pass(no_broadcast):
+    """Its facts meet the terminology once and are not dealt out by code or prefix."""
+    lines = made(QUERIES["quan_long_prefixes"](Warehouse(no_broadcast, DATA)))
+    assert not [line for line in lines if re.search(r"hashpartitioning\((icd_code|prefix)", line)]
+    assert sum("hashpartitioning(diagnosiskey" in line for line in lines) == 2
+
+
 # exchanges of the heavy queries with broadcasting off; a rise means that an input is evaluated again
 MOST_SHUFFLES = {"epoch_matrix": 60, "table1": 72, "elixhauser_features": 47, "prevalence_all": 71, "hcc_features_wide": 43, "ccsr_features": 40}
 # those that the queries make themselves
