@@ -133,12 +133,17 @@ def hcc_sets(
     return sets.select(key, apply_hierarchy(heart_patch(F.col("cc"))).alias("hcc"))
 
 
+def _weights(coefficients: DataFrame, *columns: str) -> DataFrame:
+    """Coefficients as exact numbers, broadcast: a model has few terms, and each may hold a large share of all persons, so that
+    a join by term must not deal the terms of persons out."""
+    return F.broadcast(coefficients.select(*columns, "feature", F.col("coef").cast("decimal(12,6)").alias("coef")))
+
+
 def raf_score(sets: DataFrame, coefficients: DataFrame, key: str = KEY) -> DataFrame:
     """Sum of the coefficients of all terms that hold; a term without coefficient adds nothing."""
     hcc = F.col("hcc")
     terms = sets.select(key, F.explode(_features(hcc, _products(hcc, fv.HCC_INTERACTIONS))).alias("feature"))
-    exact = coefficients.select("feature", F.col("coef").cast("decimal(12,6)").alias("coef"))
-    scores = terms.join(exact, "feature").groupBy(key).agg(F.sum("coef").alias("raf"))
+    scores = terms.join(_weights(coefficients), "feature").groupBy(key).agg(F.sum("coef").alias("raf"))
     return sets.join(scores, key, "left").select(
         key, "hcc", F.size("hcc").alias("hcc_count"),
         F.coalesce(F.col("raf"), F.lit(0)).cast("double").alias("raf_score"),
@@ -171,9 +176,8 @@ def hcc_both(
         for v in VARIANTS
     ]
     terms = final.select(key, F.explode(F.array(*named)).alias("t")).select(key, "t.variant", F.explode("t.f").alias("feature"))
-    exact = coefficients.select("feature", F.col("coef").cast("decimal(12,6)").alias("coef"))
     sums = [F.sum(F.when(F.col("variant") == v, F.col("coef"))).alias(f"_{v}") for v in VARIANTS]
-    scores = terms.join(exact, "feature").groupBy(key).agg(*sums)
+    scores = terms.join(_weights(coefficients), "feature").groupBy(key).agg(*sums)
     columns = []
     for v in VARIANTS:
         columns += [
@@ -394,9 +398,7 @@ def segment_scores(
     spark = sets.sparkSession
     rows = [(segment, model, score) for score, (segment, model) in fv.HCC_SEGMENTS.items()]
     segments = F.broadcast(spark.createDataFrame(rows, "segment string, model string, score string"))
-    weights = coefficients.join(segments, "segment").select(
-        "model", "score", "feature", F.col("coef").cast("decimal(12,6)").alias("coef")
-    )
+    weights = _weights(coefficients.join(segments, "segment"), "model", "score")
     names = list(fv.HCC_SEGMENTS)
     sums = (
         segment_features(sets, person, key)

@@ -173,6 +173,13 @@ def test_a_code_set_is_looked_up_by_prefix_in_one_pass(no_broadcast):
     assert sum("hashpartitioning(diagnosiskey" in line for line in lines) == 2
 
 
+@pytest.mark.parametrize("name", ["hcc_raf", "hcc_raf_poa", "hcc_wide", "hcc_features_wide", "hcc_summary", "hcc_segment_scores"])
+def test_scores_are_not_dealt_out_by_term(no_broadcast, name):
+    """A term of the model may hold for most encounters, and all of it would be one task's."""
+    frame = QUERIES[name](Warehouse(no_broadcast, DATA))
+    assert not [line for line in shuffles(frame) if re.search(r"hashpartitioning\((model#\d+, )?feature", line)]
+
+
 # exchanges of the heavy queries with broadcasting off; a rise means that an input is evaluated again
 MOST_SHUFFLES = {"epoch_matrix": 60, "table1": 72, "elixhauser_features": 47, "prevalence_all": 71, "hcc_features_wide": 43, "ccsr_features": 40}
 # those that the queries make themselves
